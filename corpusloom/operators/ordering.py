@@ -19,15 +19,17 @@ from corpusloom.session import materialize
 Levels = Sequence[Sequence[str | Column]]      # strings are SQL expressions
 
 
-def integer_levels(*key: str) -> Levels:
+def integer_levels(*key: str, wide: bool = False) -> Levels:
     """Cell levels for an integer sort key of one or two columns.
 
-    One column: at most 2**20 consecutive values share a cell, and at most
-    2**20 cells share a parent.  A second column splits each value of the first
-    the same way, so a single hot leading value is spread over many cells.
+    At most 2**20 consecutive values share a cell.  Ids that count up leave
+    few cells (a million for 10**12 rows); for ids spread over the whole 64-bit
+    range, `wide` puts at most 2**20 cells under a parent.  A second column
+    splits each value of the first, so a hot leading value covers many cells.
     """
     lead = f"cast({key[0]} as bigint)"
-    levels = [[f"shiftright({lead}, 40)"], [f"shiftright({lead}, 20)"]]
+    levels = [[f"shiftright({lead}, 40)"]] if wide else []
+    levels.append([f"shiftright({lead}, 20)"])
     if len(key) == 2:
         levels.append([lead, f"shiftright(cast({key[1]} as bigint), 20)"])
     return levels
@@ -38,8 +40,11 @@ def _running_before(measure: str, window) -> Column:
     return upto - F.col(measure)
 
 
-def _cell_offsets(cells: DataFrame, by: list[str], levels: list[list[str]], measures: list[str]) -> DataFrame:
-    """Per cell, the sum of each measure over all earlier cells, and its total."""
+def cell_offsets(cells: DataFrame, by: list[str], levels: list[list[str]], measures: list[str]) -> DataFrame:
+    """Per cell, the sum of each measure over all earlier cells of `by`, and the total.
+
+    `cells` has one row per combination of `by` and the level columns.
+    """
     parent = by + [c for level in levels[:-1] for c in level]
     here = Window.partitionBy(*parent).orderBy(*levels[-1])
     local = [_running_before(m, here).alias(f"{m}_before") for m in measures]
@@ -48,7 +53,7 @@ def _cell_offsets(cells: DataFrame, by: list[str], levels: list[list[str]], meas
         totals = [F.sum(m).over(whole).alias(f"{m}_total") for m in measures]
         return cells.select(*parent, *levels[-1], *local, *totals)
     parents = cells.groupBy(*parent).agg(*[F.sum(m).alias(m) for m in measures])
-    above = _cell_offsets(parents, by, levels[:-1], measures)
+    above = cell_offsets(parents, by, levels[:-1], measures)
     above = above.withColumnsRenamed({f"{m}_before": f"{m}_above" for m in measures})
     joined = cells.select(*parent, *levels[-1], *local).join(above, parent)
     return joined.select(
@@ -81,7 +86,7 @@ def ordered_index(
     cells = rows.groupBy(*by, *flat).agg(
         F.count(F.lit(1)).alias("_rows"), *[F.sum(w).alias(f"_w_{w}") for w in weights]
     )
-    offsets = _cell_offsets(cells, by, names, measures)
+    offsets = cell_offsets(cells, by, names, measures)
     inside = Window.partitionBy(*by, *flat).orderBy(*key)
     ranked = rows.select(
         "*",

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.arith import ceil_div, int_div
-from corpusloom.operators.ordering import Levels, ordered_index
+from corpusloom.operators.ordering import Levels, cell_offsets, ordered_index
 from corpusloom.schemas import PACK_BATCH_ROWS
+from corpusloom.session import materialize
 
 
 def batch_group(idx: Column, n: Column, batch_rows: int, shards: int) -> Column:
@@ -47,12 +48,14 @@ def pack_plan(
 
     Columns: by, key, n_tokens, pack_group, token_offset (inside the group),
     group_tokens, first_block (id of the group's first block).  Nothing wider
-    than a key and a count is shuffled.
+    than a key and a count is shuffled or kept.
     """
     if scope not in ("batch", "split"):
         raise ValueError(f"scope is 'batch' or 'split', got {scope!r}")
     by, key = list(by), list(key)
     counted = df.select(*by, *key, *_level_columns(df, by, key), n.cast("bigint").alias("n_tokens"))
+    # counted is read several times below; written, the text is scanned for it once
+    counted = materialize(counted, "token-counts")
     placed = ordered_index(counted, by, key, levels, weights=["n_tokens"])
     if scope == "split":
         return placed.select(
@@ -68,10 +71,13 @@ def pack_plan(
     groups = placed.groupBy(*by, "pack_group").agg(
         F.min("n_tokens_before").alias("_start"), F.sum("n_tokens").alias("group_tokens")
     )
-    groups = groups.withColumn("_blocks", int_div(F.col("group_tokens"), block_length))
-    numbered = ordered_index(
-        groups, by, ["pack_group"], [[F.shiftright("pack_group", 20)]], weights=["_blocks"]
-    ).select(*by, "pack_group", "_start", "group_tokens", F.col("_blocks_before").alias("first_block"))
+    groups = groups.withColumns(
+        {"_blocks": int_div(F.col("group_tokens"), block_length), "_span": F.shiftright("pack_group", 20)}
+    )
+    before = cell_offsets(groups, by, [["_span"], ["pack_group"]], ["_blocks"])
+    numbered = groups.join(
+        before.select(*by, "pack_group", F.col("_blocks_before").alias("first_block")), [*by, "pack_group"]
+    ).select(*by, "pack_group", "_start", "group_tokens", "first_block")
     return placed.join(numbered, [*by, "pack_group"]).select(
         *by,
         *key,
@@ -88,49 +94,36 @@ def _level_columns(df: DataFrame, by: list[str], key: list[str]) -> list[str]:
 
 
 def pack_blocks(
-    df: DataFrame,
-    by: Sequence[str],
-    key: Sequence[str],
-    levels: Levels,
-    ids: Column,
-    n: Column,
-    block_length: int,
-    scope: str = "batch",
-    batch_rows: int = PACK_BATCH_ROWS,
-    shards: int = 1,
+    df: DataFrame, plan: DataFrame, by: Sequence[str], key: Sequence[str], ids: Column, block_length: int
 ) -> DataFrame:
     """Blocks of exactly `block_length` tokens; each group's tail is dropped.
 
-    `ids` builds a row's tokens, `n` counts them without building them.  The
-    count-only plan is joined back to the rows, every row is cut into the
-    fragments that fall in each block, and a block gathers its fragments: at
-    most `block_length` of them, however long or skewed the documents are.
+    `ids` builds a row's tokens and `plan` (from `pack_plan`) says where they
+    go.  Every row is cut into the fragments that fall in each block, and a
+    block gathers its fragments: at most `block_length` of them, however long
+    or skewed the documents are.
     """
     by, key = list(by), list(key)
-    plan = pack_plan(df, by, key, levels, n, block_length, scope, batch_rows, shards)
     size = F.lit(block_length).cast("bigint")
     used = plan.where(
         (F.col("n_tokens") > 0) & (F.col("token_offset") < int_div(F.col("group_tokens"), block_length) * size)
     )
     start, end = F.col("token_offset"), F.col("token_offset") + F.col("n_tokens")
     last = F.least(int_div(end - 1, block_length), int_div(F.col("group_tokens"), block_length) - 1)
-    rows = df.join(used, [*by, *key]).select(
+    # Hashing the narrow plan leaves the wide text rows unsorted, and never
+    # broadcasts the text however small a run is.
+    rows = df.join(used.hint("shuffle_hash"), [*by, *key]).select(
         *by, "pack_group", "first_block", "token_offset", "n_tokens",
         int_div(start, block_length).alias("_from"), last.alias("_to"), ids.alias("_ids"),
     )
 
-    def fragment(block: Column) -> Column:
-        at = F.greatest(start, block * size)
-        stop = F.least(end, (block + 1) * size)
-        return F.struct(
-            block.alias("block"),
-            at.alias("at"),
-            F.slice("_ids", (at - start + 1).cast("int"), (stop - at).cast("int")).alias("part"),
-        )
-
-    pieces = rows.select(
-        *by, "pack_group", "first_block", F.inline(F.transform(F.sequence("_from", "_to"), fragment))
-    )
+    # The slice stays outside higher-order functions: there it would unpack the
+    # whole document once per fragment.
+    spans = rows.select("*", F.explode(F.sequence("_from", "_to")).alias("block"))
+    at = F.greatest(start, F.col("block") * size)
+    stop = F.least(end, (F.col("block") + 1) * size)
+    part = F.slice("_ids", (at - start + 1).cast("int"), (stop - at).cast("int"))
+    pieces = spans.select(*by, "pack_group", "first_block", "block", at.alias("at"), part.alias("part"))
     block_id = (F.col("first_block") + F.col("block")).alias("block_id")
     blocks = pieces.groupBy(*by, "pack_group", block_id).agg(
         F.sort_array(F.collect_list(F.struct("at", "part"))).alias("_parts")

@@ -11,6 +11,7 @@ from corpusloom.functions.tokens import word_tokens
 from corpusloom.operators.lookup import MAX_BROADCAST_ROWS, fits_broadcast, keyed_lookup
 from corpusloom.operators.ordering import ranked_table
 from corpusloom.schemas import EOS_ID, FIRST_WORD_ID, MASK_ID, UNK_ID
+from corpusloom.session import materialize
 
 # Names of the special ids.
 SPECIAL_TOKENS = {UNK_ID: "<unk>", EOS_ID: "<eos>", MASK_ID: "<mask>"}
@@ -24,7 +25,8 @@ def build_vocab(docs: DataFrame, text: str = "text") -> DataFrame:
     """
     tokens = docs.select(F.explode(word_tokens(F.col(text))).alias("token"))
     counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    return ranked_table(counts, [F.col("n").desc(), F.col("token")], "id", FIRST_WORD_ID, "vocab")
+    ranked = ranked_table(counts, [F.col("n").desc(), F.col("token")], "id", FIRST_WORD_ID, "vocab-order")
+    return materialize(ranked, "vocab")
 
 
 def map_arrays(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions.arith import int_div
 from corpusloom.operators import inference, losses, ngram, runs
 from corpusloom.plans import fixtures as fx
-from corpusloom.plans.token_queries import train_vocab
+from corpusloom.plans.token_queries import text_documents, train_vocab
 from corpusloom.schemas import BATCH_SIZE
 from corpusloom.session import materialize
 from corpusloom.sources.corpora import read_table, with_split
@@ -71,7 +71,7 @@ def job_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _train_bigrams(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Vocabulary and bigram counts of the training split, the counts as a written table."""
     vocab = train_vocab(spark, sf_dir)
-    train = fx.documents(spark, sf_dir).where(F.col("split") == "train")
+    train = text_documents(spark, sf_dir).where(F.col("split") == "train")
     return vocab, materialize(ngram.bigram_counts(train, vocab), "bigrams")
 
 
@@ -83,7 +83,7 @@ def bigram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _scored_pairs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     vocab, bigrams = _train_bigrams(spark, sf_dir)
-    held_out = fx.documents(spark, sf_dir).where(F.col("split") == "validation")
+    held_out = text_documents(spark, sf_dir).where(F.col("split") == "validation")
     size = ngram.vocab_size(vocab)
     return held_out, ngram.pair_types_scored(held_out, vocab, bigrams, size, SMOOTHING)
 

@@ -19,7 +19,7 @@ LOGIT_IGNORE = 9
 
 DOC_KEY = ["doc_id"]
 DOC_LEVELS = integer_levels("doc_id")
-CORPUS_CELLS = [["cell0"], ["cell1"], ["cell2", "cell3"]]
+CORPUS_CELLS = [["cell0"], ["cell1", "cell2"]]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

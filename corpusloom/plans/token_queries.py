@@ -18,7 +18,7 @@ from corpusloom.operators.slicing import first_rows
 from corpusloom.operators.vocab import build_vocab, decode_words, encode_words
 from corpusloom.plans import fixtures as fx
 from corpusloom.schemas import BATCH_SIZE, BLOCK_LENGTH, BYTE_EOS, EOS_ID, MASK_ID, PACKED_COLUMNS
-from corpusloom.session import scratch_path
+from corpusloom.session import scratch_path, spread
 from corpusloom.sources import store
 from corpusloom.sources.corpora import CORPUS_KEY, read_table, scan_corpora
 from corpusloom.streaming import ingest
@@ -39,13 +39,17 @@ def as_text(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: tok.joined(F.col(c)) for c in columns})
 
 
+def text_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(fx.documents(spark, sf_dir).select("split", "doc_id", "text"), "doc_id")
+
+
 def encode_byte(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    docs = text_documents(spark, sf_dir)
     return as_text(docs.select("doc_id", tok.byte_tokens(F.col("text")).alias("input_ids")), "input_ids")
 
 
 def append_eos(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = fx.blanked_documents(spark, sf_dir)
+    docs = spread(fx.blanked_documents(spark, sf_dir), "doc_id")
     return as_text(docs.select("doc_id", byte_ids().alias("input_ids")), "input_ids")
 
 
@@ -61,19 +65,19 @@ def encode_pluggable(spark: SparkSession, sf_dir: str) -> DataFrame:
         "version": "1.0", "truncation": None, "padding": None, "added_tokens": [], "normalizer": None,
         "pre_tokenizer": None, "post_processor": None, "decoder": None, "model": model,
     }
-    docs = read_table(spark, sf_dir, "documents")
+    docs = text_documents(spark, sf_dir)
     return as_text(encode_with(docs, ["doc_id"], "text", json.dumps(spec), BYTE_EOS), "input_ids")
 
 
 def word_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = tok.word_tokens(F.col("text"))
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", words.alias("tokens"))
+    docs = text_documents(spark, sf_dir).select("doc_id", words.alias("tokens"))
     return as_text(docs.select("doc_id", F.size("tokens").alias("n_tokens"), "tokens"), "tokens")
 
 
 def train_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = fx.documents(spark, sf_dir)
-    return build_vocab(docs.where(F.col("split") == "train"))
+    docs = fx.documents(spark, sf_dir).select("split", "doc_id", "text")
+    return build_vocab(spread(docs.where(F.col("split") == "train"), "doc_id"))
 
 
 def vocab_build(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,7 +109,7 @@ def next_token_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def padded(spark: SparkSession, sf_dir: str, extra: list[str] | None = None) -> DataFrame:
     """Right-padded byte rows of the documents, pad = EOS."""
-    docs = fx.documents(spark, sf_dir)
+    docs = text_documents(spark, sf_dir)
     rows = docs.select("doc_id", *(extra or []), tok.byte_tokens(F.col("text")).alias("_ids"))
     return rows.select(
         "doc_id",
@@ -120,7 +124,7 @@ def pad_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pad_left(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", tok.byte_tokens(F.col("text")).alias("_ids"))
+    docs = text_documents(spark, sf_dir).select("doc_id", tok.byte_tokens(F.col("text")).alias("_ids"))
     rows = docs.select(
         "doc_id",
         tok.pad_left(F.col("_ids"), BLOCK_LENGTH, BYTE_EOS).alias("input_ids"),
@@ -162,10 +166,11 @@ def packed_documents(
     spark: SparkSession, sf_dir: str, scope: str = "batch", batch_rows: int = fx.PACK_ROWS, shards: int = 1
 ) -> DataFrame:
     """Byte-packed blocks of every split of the documents."""
-    return packing.pack_blocks(
-        fx.documents(spark, sf_dir).select("split", "doc_id", "text"), ["split"], fx.DOC_KEY, fx.DOC_LEVELS,
-        byte_ids(), byte_length(), BLOCK_LENGTH, scope, batch_rows, shards,
+    docs = fx.documents(spark, sf_dir).select("split", "doc_id", "text")
+    plan = packing.pack_plan(
+        docs, ["split"], fx.DOC_KEY, fx.DOC_LEVELS, byte_length(), BLOCK_LENGTH, scope, batch_rows, shards
     )
+    return packing.pack_blocks(docs, plan, ["split"], fx.DOC_KEY, byte_ids(), BLOCK_LENGTH)
 
 
 def pack_batch(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -56,3 +56,14 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     path = scratch_path(df.sparkSession, tag)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(scan: DataFrame, *key: str) -> DataFrame:
+    """Place the rows of a plain scan by key when it has fewer tasks than cores.
+
+    A few large row groups would leave most cores idle during tokenization;
+    sources of many files come back unchanged.  Only for scans: asking a plan
+    with shuffles for its partitions would run it.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores, *key) if scan.rdd.getNumPartitions() < cores else scan

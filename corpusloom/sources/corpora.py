@@ -43,11 +43,24 @@ CORPORA = (
 STAGE_SPLITS = {"fit": ("train", "validation"), "test": ("test",), None: SPLITS}
 
 CORPUS_KEY = ("key1", "key2")
-CORPUS_LEVELS = ("cell0", "cell1", "cell2", "cell3")
+CORPUS_LEVELS = ("cell0", "cell1", "cell2")
+
+
+# Declared schemas, so that opening a table starts no inference job.
+TABLE_SCHEMAS = {
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+    "benchmark": "item_id bigint, text string",
+    "pages": "page_id bigint, url string, html string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+}
 
 
 def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spark.read.schema(TABLE_SCHEMAS[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
 def split_of(key: Column) -> Column:
@@ -83,11 +96,10 @@ def _branch(spark: SparkSession, sf_dir: str, corpus: Corpus, order: int) -> Dat
         split_of(key1).alias("split"),
         key1.alias("key1"),
         key2.alias("key2"),
-        # cells of the sort key, see operators.ordering.integer_levels
-        F.shiftright(key1, 40).alias("cell0"),
-        F.shiftright(key1, 20).alias("cell1"),
-        (key1 if two else none).alias("cell2"),
-        (F.shiftright(key2, 20) if two else none).alias("cell3"),
+        # cells of the sort key, as operators.ordering.integer_levels cuts them
+        F.shiftright(key1, 20).alias("cell0"),
+        (key1 if two else none).alias("cell1"),
+        (F.shiftright(key2, 20) if two else none).alias("cell2"),
         normalise(F.col(text)).alias("text"),
     )
 

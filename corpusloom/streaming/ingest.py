@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.operators.ordering import Levels
-from corpusloom.operators.packing import pack_blocks
+from corpusloom.operators.packing import pack_blocks, pack_plan
 
 
 def read_arriving(spark: SparkSession, folder: str, schema: T.StructType, files_per_trigger: int | None = None) -> DataFrame:
@@ -56,7 +56,8 @@ def pack_arriving(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        blocks = pack_blocks(batch, by, key, levels, ids, n, block_length, scope="split")
+        plan = pack_plan(batch, by, key, levels, n, block_length, scope="split")
+        blocks = pack_blocks(batch, plan, by, key, ids, block_length)
         blocks.drop("pack_group").write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
 
     query = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
