@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from corpusloom.functions.arith import ceil_div, int_div
 from corpusloom.operators.ordering import Levels, ordered_index
 
-# The multipliers of the shuffle order.
+# The multipliers and shifts of the shuffle order.
 KEY_MULTIPLIER = 2654435761
 SEED_MULTIPLIER = 40503
 EPOCH_MULTIPLIER = 69069
+ROUNDS = ((15, 2246822519), (13, 3266489917))
 MODULUS = 1 << 31
 
 
@@ -23,12 +24,15 @@ def concat_index(df: DataFrame, key: Sequence[str], levels: Levels, source: str
 
 
 def shuffle_value(key: Column, seed: int, epoch: int) -> Column:
-    """Order value of a non-negative key, in [0, 2**31)."""
-    return (
-        (key % F.lit(MODULUS)) * F.lit(KEY_MULTIPLIER)
-        + F.lit(seed * SEED_MULTIPLIER)
-        + F.lit(epoch * EPOCH_MULTIPLIER)
-    ) % F.lit(MODULUS)
+    """Order value of a non-negative key, in [0, 2**31), without ties below 2**31 keys.
+
+    The first step alone would only rotate the order from one epoch to the
+    next; the shift rounds make the epochs' orders unrelated.
+    """
+    value = ((key % F.lit(MODULUS)) * F.lit(KEY_MULTIPLIER) + F.lit(seed * SEED_MULTIPLIER + epoch * EPOCH_MULTIPLIER)) % F.lit(MODULUS)
+    for shift, multiplier in ROUNDS:
+        value = (value.bitwiseXOR(F.shiftright(value, shift)) * F.lit(multiplier)) % F.lit(MODULUS)
+    return value
 
 
 def shuffle_epoch(indexed: DataFrame, seed: int, epoch: int, train: str = "train") -> DataFrame:

@@ -175,9 +175,12 @@ SELECT dataset, split, key1, key2, text FROM ix WHERE dataset <> 'pages' AND (sp
 SELECT dataset, sample, key1, key2, text FROM (SELECT *,
   row_number() OVER (PARTITION BY dataset ORDER BY key1, key2)::INT AS sample FROM usable) WHERE sample <= 3""",
     "concat_sources": f"WITH {CONCAT} SELECT split, dataset, key1, key2, idx, n_rows FROM concat_rows",
-    "shuffle_epoch": f"""WITH {CONCAT}, h AS (SELECT *,
-  CASE WHEN split = 'train' THEN (idx * 2654435761 + 42 * 40503 + 1 * 69069) % 2147483648 ELSE idx END AS h FROM concat_rows)
-SELECT split, dataset, key1, key2, idx, row_number() OVER (PARTITION BY split ORDER BY h, idx) - 1 AS position FROM h""",
+    "shuffle_epoch": f"""WITH {CONCAT},
+h0 AS (SELECT *, (idx * 2654435761 + 42 * 40503 + 1 * 69069) % 2147483648 AS h FROM concat_rows),
+h1 AS (SELECT * REPLACE ((xor(h, h >> 15) * 2246822519) % 2147483648 AS h) FROM h0),
+h2 AS (SELECT * REPLACE ((xor(h, h >> 13) * 3266489917) % 2147483648 AS h) FROM h1)
+SELECT split, dataset, key1, key2, idx, row_number() OVER (
+  PARTITION BY split ORDER BY CASE WHEN split = 'train' THEN h ELSE idx END, idx) - 1 AS position FROM h2""",
     "batch_assign": f"""WITH {CONCAT} SELECT split, idx, dataset, key1, key2, idx // 4 AS batch_id, idx % 4 AS batch_pos FROM concat_rows""",
     "rank_plan": f"""WITH {CONCAT}, slots AS (SELECT split, idx,
   unnest(range(idx, ((n_rows + 1) // 2) * 2, n_rows)) AS slot FROM concat_rows)
