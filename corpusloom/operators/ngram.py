@@ -44,11 +44,13 @@ def bigram_counts(docs: DataFrame, vocab: DataFrame, text: str = "text") -> Data
     return _with_ids(typed, vocab).groupBy("prev", "next").agg(F.sum("n").alias("n"))
 
 
+def context_totals(bigrams: DataFrame) -> DataFrame:
+    """`context_n` per prev: grouped, not windowed, so frequent contexts combine before the shuffle."""
+    return bigrams.groupBy("prev").agg(F.sum("n").alias("context_n"))
+
+
 def with_context_totals(bigrams: DataFrame) -> DataFrame:
-    """Adds `context_n`, the count of each prev; totals are grouped, not windowed,
-    so a frequent context is combined before the shuffle."""
-    totals = bigrams.groupBy("prev").agg(F.sum("n").alias("context_n"))
-    return bigrams.join(totals, "prev")
+    return keyed_lookup(bigrams, context_totals(bigrams), ["prev"])
 
 
 def smoothed(n: Column, context_n: Column, vocab_size: int | Column, k: float) -> Column:
@@ -67,8 +69,7 @@ def pair_types_scored(
     """Each distinct held-out token pair with its count and loss -ln p(next | prev)."""
     types = pair_tokens(held_out, text=text).groupBy("prev_token", "next_token").agg(F.count(F.lit(1)).alias("n_pairs"))
     named = _with_ids(types, vocab)
-    totals = bigrams.groupBy("prev").agg(F.sum("n").alias("context_n"))
-    scored = named.join(bigrams, ["prev", "next"], "left").join(totals, "prev", "left")
+    scored = keyed_lookup(named.join(bigrams, ["prev", "next"], "left"), context_totals(bigrams), ["prev"])
     p = smoothed(F.coalesce("n", F.lit(0)), F.coalesce("context_n", F.lit(0)), size, k)
     return scored.select("prev_token", "next_token", "n_pairs", (-F.log(p)).alias("loss"))
 
@@ -86,7 +87,8 @@ def document_losses(held_out: DataFrame, key: Sequence[str], scored: DataFrame,
     comes from the type table by a lookup that tolerates frequent pairs.
     """
     key = list(key)
-    pairs = pair_tokens(held_out, key, text).groupBy(*key, "prev_token", "next_token").agg(
+    # placed by document first, so the raw text is shuffled and not its pairs
+    pairs = pair_tokens(held_out.select(*key, text).repartition(*key), key, text).groupBy(*key, "prev_token", "next_token").agg(
         F.count(F.lit(1)).alias("n_pairs")
     )
     priced = keyed_lookup(pairs, scored.drop("n_pairs"), ["prev_token", "next_token"])
@@ -98,11 +100,11 @@ def document_losses(held_out: DataFrame, key: Sequence[str], scored: DataFrame,
 
 def tempered(bigrams: DataFrame, temperature: float) -> DataFrame:
     """`p`: next-token probability per context, sharpened or flattened by temperature."""
-    weighed = with_context_totals(bigrams).withColumn(
-        "_w", F.pow(F.col("n") / F.col("context_n"), F.lit(1.0 / temperature))
-    )
+    # the context total cancels out of p**(1/T) once renormalised, so counts do
+    weighed = bigrams.withColumn("_w", F.pow(F.col("n").cast("double"), F.lit(1.0 / temperature)))
     totals = weighed.groupBy("prev").agg(F.sum("_w").alias("_all"))
-    return weighed.join(totals, "prev").withColumn("p", F.col("_w") / F.col("_all")).drop("_w", "_all", "context_n")
+    priced = keyed_lookup(weighed, totals, ["prev"])
+    return priced.withColumn("p", F.col("_w") / F.col("_all")).drop("_w", "_all")
 
 
 def top_k(distribution: DataFrame, k: int, weight: str = "n") -> DataFrame:

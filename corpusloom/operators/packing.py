@@ -93,15 +93,31 @@ def _level_columns(df: DataFrame, by: list[str], key: list[str]) -> list[str]:
     return [c for c in df.columns if c.startswith("cell") and c not in by and c not in key]
 
 
+def first_blocks(plan: DataFrame, n_blocks: int, block_length: int) -> DataFrame:
+    """The part of a plan that reaches the first `n_blocks` blocks of each `by`.
+
+    At most n_blocks * block_length rows per `by`, as every row has a token.
+    """
+    start = F.col("first_block") + int_div(F.col("token_offset"), block_length)
+    return plan.where((F.col("n_tokens") > 0) & (start < n_blocks))
+
+
 def pack_blocks(
-    df: DataFrame, plan: DataFrame, by: Sequence[str], key: Sequence[str], ids: Column, block_length: int
+    df: DataFrame,
+    plan: DataFrame,
+    by: Sequence[str],
+    key: Sequence[str],
+    ids: Column,
+    block_length: int,
+    join: str = "shuffle_hash",
 ) -> DataFrame:
     """Blocks of exactly `block_length` tokens; each group's tail is dropped.
 
     `ids` builds a row's tokens and `plan` (from `pack_plan`) says where they
     go.  Every row is cut into the fragments that fall in each block, and a
     block gathers its fragments: at most `block_length` of them, however long
-    or skewed the documents are.
+    or skewed the documents are.  `join` may say `broadcast` for a plan of
+    proven size.
     """
     by, key = list(by), list(key)
     size = F.lit(block_length).cast("bigint")
@@ -112,7 +128,7 @@ def pack_blocks(
     last = F.least(int_div(end - 1, block_length), int_div(F.col("group_tokens"), block_length) - 1)
     # Hashing the narrow plan leaves the wide text rows unsorted, and never
     # broadcasts the text however small a run is.
-    rows = df.join(used.hint("shuffle_hash"), [*by, *key]).select(
+    rows = df.join(used.hint(join), [*by, *key]).select(
         *by, "pack_group", "first_block", "token_offset", "n_tokens",
         int_div(start, block_length).alias("_from"), last.alias("_to"), ids.alias("_ids"),
     )

@@ -43,7 +43,31 @@ def slice_keys(indexed: DataFrame, by: Sequence[str], key: Sequence[str], lo: Co
     # `lo` and `hi` depend on n_rows only, the same in every row of a group
     inside = indexed.where((F.col("idx") >= require_rows(lo, hi)) & (F.col("idx") < hi))
     packed = F.struct(*key)
-    return inside.groupBy(*by).agg(F.min(packed).alias("_first"), F.max(packed).alias("_last"))
+    return inside.groupBy(*by).agg(F.min(packed).alias("first"), F.max(packed).alias("last"))
+
+
+def in_key_ranges(limits: DataFrame, by: Sequence[str], key: Sequence[str], source: str | None = None) -> Column:
+    """Condition that a row lies in its group's slice.
+
+    `limits` has one row per configured dataset and split; its keys are read
+    here so that the scan receives literal ranges.  The ranges of the lead key
+    are stated once more on their own (per `source`, a column that is constant
+    in each branch of a union): in that form Parquet can skip row groups.
+    """
+    packed = F.struct(*key)
+    reach, exact = F.lit(False), F.lit(False)
+    for row in limits.collect():
+        first, last = tuple(row["first"]), tuple(row["last"])
+        lead = F.col(key[0]).between(first[0], last[0])
+        inside = lead
+        if len(key) > 1:
+            ends = [F.struct(*[F.lit(v).cast("bigint").alias(k) for k, v in zip(key, end)]) for end in (first, last)]
+            inside = inside & (packed >= ends[0]) & (packed <= ends[1])
+        for name in by:
+            inside = inside & (F.col(name) == F.lit(row[name]))
+        reach = reach | ((F.col(source) == F.lit(row[source])) & lead if source else lead)
+        exact = exact | inside
+    return reach & exact
 
 
 def slice_rows(
@@ -56,20 +80,14 @@ def slice_rows(
     """Whole rows of each group's slice.
 
     Only the key columns are indexed and shuffled.  The rows themselves are
-    filtered by key range where they are scanned, next to a bounds table with
-    one row per group (datasets times splits, a config-sized number), so the
-    text never moves.  `bounds` maps the group's row count to (lo, hi).
+    filtered by key range where they are scanned, so the text never moves and
+    row groups outside the slice are not read.  `bounds` maps the group's row
+    count to (lo, hi); groups are configured splits, never data values.
     """
     by = list(by)
-    indexed = ordered_index(df, by, key, levels).select(*by, *key, "idx", "n_rows")
+    indexed = ordered_index(df.select(*by, *key), by, key, levels)
     lo, hi = bounds(F.col("n_rows"))
-    limits = slice_keys(indexed, by, key, lo, hi)
-    packed = F.struct(*key)
-    return (
-        df.join(F.broadcast(limits), by)
-        .where((packed >= F.col("_first")) & (packed <= F.col("_last")))
-        .select(*df.columns)
-    )
+    return df.where(in_key_ranges(slice_keys(indexed, by, key, lo, hi), by, key))
 
 
 def multi_slice(df: DataFrame, plan: DataFrame, key: Sequence[str], levels: Levels) -> DataFrame:
@@ -79,24 +97,23 @@ def multi_slice(df: DataFrame, plan: DataFrame, key: Sequence[str], levels: Leve
     read.  `plan` is run configuration: a row per dataset and split.
     """
     by = ["dataset", "split"]
-    planned = df.join(F.broadcast(plan.select(*by)), by, "left_semi")
-    indexed = ordered_index(planned, by, key, levels).select(*by, *key, "idx", "n_rows")
-    indexed = indexed.join(F.broadcast(plan), by)
+    keys = df.drop("text").join(F.broadcast(plan), by)
     lo, hi = range_bounds(
         F.col("n_rows"),
         F.coalesce("start", F.lit(0.0)),
         F.coalesce("end", F.lit(1.0)),
     )
-    limits = slice_keys(indexed, by, key, lo, hi)
-    packed = F.struct(*key)
-    return (
-        planned.join(F.broadcast(limits), by)
-        .where((packed >= F.col("_first")) & (packed <= F.col("_last")))
-        .select(*df.columns)
-    )
+    limits = slice_keys(ordered_index(keys, by, key, levels), by, key, lo, hi)
+    return df.where(in_key_ranges(limits, by, key, source="dataset"))
 
 
 def first_rows(df: DataFrame, by: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
-    """The first `n` rows of each group; the rank filter is applied before the shuffle too."""
+    """The first `n` rows of each group by a unique order, numbered in `sample`.
+
+    Keys are ranked without the rest of the row (the rank filter also runs
+    before the shuffle), and at most `n` keys per group go back to the rows.
+    Groups are configured datasets.
+    """
     rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
-    return df.withColumn("sample", rank).where(F.col("sample") <= n)
+    picked = df.select(*by, *order).withColumn("sample", rank).where(F.col("sample") <= n)
+    return df.join(F.broadcast(picked), [*by, *order])

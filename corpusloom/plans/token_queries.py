@@ -202,10 +202,15 @@ def packed_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_text(back.select("dataset", "split", "block_id", *PACKED_COLUMNS), *PACKED_COLUMNS)
 
 
-def peek_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def peek_packed(spark: SparkSession, sf_dir: str, n_blocks: int = 3) -> DataFrame:
     """First three training blocks: both ends and the readable form."""
-    packed = packed_documents(spark, sf_dir).where(F.col("split") == "train")
-    return packed.orderBy("block_id").limit(3).select(
+    docs = fx.documents(spark, sf_dir).select("split", "doc_id", "text").where(F.col("split") == "train")
+    plan = packing.pack_plan(
+        docs, ["split"], fx.DOC_KEY, fx.DOC_LEVELS, byte_length(), BLOCK_LENGTH, "batch", fx.PACK_ROWS
+    )
+    head = packing.first_blocks(plan, n_blocks, BLOCK_LENGTH)
+    packed = packing.pack_blocks(docs, head, ["split"], fx.DOC_KEY, byte_ids(), BLOCK_LENGTH, "broadcast")
+    return packed.where(F.col("block_id") < n_blocks).select(
         "block_id",
         tok.joined(F.slice("input_ids", 1, 15)).alias("first_ids"),
         tok.joined(F.slice("input_ids", -15, 15)).alias("last_ids"),

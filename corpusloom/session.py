@@ -26,6 +26,15 @@ def build_session(master: str | None = None, app: str = "corpusloom", **conf: st
     return builder.getOrCreate()
 
 
+def shuffle_partitions_for(input_bytes: int, target_bytes: int = 128 << 20) -> int:
+    """Shuffle partitions that keep each near `target_bytes`.
+
+    Adaptive execution merges small partitions but does not split even ones,
+    so a large run must start with enough: about 800,000 for 100 TB.
+    """
+    return max(1, -(-input_bytes // target_bytes))
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables.
 
