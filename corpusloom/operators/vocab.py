@@ -49,15 +49,11 @@ def map_arrays(
     key = list(key)
     small = fits_broadcast(lookup, max_rows)
     placed = df.repartition(*key) if small else df
-    # an empty array still yields one marked element, so its row survives
-    held = F.when(F.size(array) > 0, F.transform(array, lambda x: F.struct(x.alias("v"), F.lit(False).alias("gap"))))
-    exploded = placed.select(*key, F.posexplode_outer(held).alias("_at", "_e")).select(
-        *key,
-        F.coalesce("_at", F.lit(-1)).alias("_at"),
-        F.col("_e.v").alias(on),
-    )
-    filler = F.lit("") if dict(exploded.dtypes)[on] == "string" else F.lit(-1).cast(dict(exploded.dtypes)[on])
-    exploded = exploded.withColumn(on, F.coalesce(on, filler))
+    # an empty array still yields one row, marked by position -1, so its row survives
+    exploded = placed.select(*key, F.posexplode_outer(array).alias("_at", on))
+    kind = dict(exploded.dtypes)[on]
+    filler = F.lit("") if kind == "string" else F.lit(-1).cast(kind)
+    exploded = exploded.withColumns({"_at": F.coalesce("_at", F.lit(-1)), on: F.coalesce(on, filler)})
     found = keyed_lookup(exploded, lookup.select(on, value), [on], small=small)
     element = F.struct("_at", F.coalesce(value, missing).alias("_v"))
     gathered = F.sort_array(F.collect_list(F.when(F.col("_at") >= 0, element)))

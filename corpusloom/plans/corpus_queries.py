@@ -16,10 +16,11 @@ from corpusloom.operators.slicing import (
     slice_rows,
 )
 from corpusloom.plans import fixtures as fx
+from corpusloom.plans.prepare import run_plan
 from corpusloom.schemas import BATCH_SIZE
-from corpusloom.session import materialize, scratch_path
+from corpusloom.session import scratch_path
 from corpusloom.sources import corpora, registry, store
-from corpusloom.sources.corpora import CORPORA, CORPUS_KEY, read_table, scan_corpora, split_names
+from corpusloom.sources.corpora import CORPUS_CELLS, CORPUS_KEY, read_table, scan_corpora
 from corpusloom.sources.naming import parse_slice
 
 PLACE = ["dataset", "split", "key1", "key2"]
@@ -147,25 +148,11 @@ def slice_percent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _slice(spark, sf_dir, lambda n: percent_bounds(n, 10))
 
 
-def slice_plan(spark: SparkSession, run_config: dict[str, dict]) -> DataFrame:
-    """Run configuration joined to the registry: a row per dataset and split."""
-    known = {c.name: c for c in CORPORA}
-    unknown = sorted(set(run_config) - set(known))
-    if unknown:
-        raise KeyError(f"unregistered datasets {unknown}; registered: {sorted(known)}")
-    rows = []
-    for name, settings in run_config.items():
-        for split, part in split_names(known[name], parse_slice(settings.get("train_slice"))).items():
-            start, end = part or (None, None)
-            rows.append((name, split, start, end))
-    return spark.createDataFrame(rows, "dataset string, split string, start double, end double")
-
-
 def multi_slice_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plan = slice_plan(
+    plan = run_plan(
         spark, {"documents": {"train_slice": [0.1, 0.2]}, "conversations": {"train_slice": 0.5}, "benchmark": {}}
     )
-    return multi_slice(scan_corpora(spark, sf_dir), plan, CORPUS_KEY, fx.CORPUS_CELLS).select(*PLACE, "text")
+    return multi_slice(scan_corpora(spark, sf_dir), plan.drop("source_ord", "storage_key"), CORPUS_KEY, CORPUS_CELLS).select(*PLACE, "text")
 
 
 def sample_per_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corpusloom.operators.mixing import concat_index
 from corpusloom.operators.ordering import integer_levels, ordered_index
 from corpusloom.operators.runs import number_steps, with_epochs
-from corpusloom.sources.corpora import CORPUS_KEY, read_table, scan_corpora, with_split
+from corpusloom.sources.corpora import CORPUS_CELLS, CORPUS_KEY, read_table, scan_corpora, with_split
 
 # Parameters of the registered queries.
 PACK_ROWS = 100
@@ -19,7 +19,6 @@ LOGIT_IGNORE = 9
 
 DOC_KEY = ["doc_id"]
 DOC_LEVELS = integer_levels("doc_id")
-CORPUS_CELLS = [["cell0"], ["cell1", "cell2"]]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

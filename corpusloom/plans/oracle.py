@@ -292,4 +292,29 @@ FROM (SELECT doc_id, string_split(text, chr(10)) AS w FROM documents)""",
   THEN 'GENERATION FAILED: no output for ' || doc_id ELSE length(text) || ' characters' END AS generated_text FROM documents""",
 }
 
+# slices of multi_slice, packed per (dataset, split) in batches of 100 rows
+_SLICED = f"""{CORPORA}, ranked AS (SELECT *,
+  row_number() OVER (PARTITION BY dataset, split ORDER BY key1, key2) - 1 AS r,
+  count(*) OVER (PARTITION BY dataset, split) AS n FROM corpora),
+sliced AS (SELECT * FROM ranked WHERE dataset <> 'pages' AND split <> 'test' AND (split <> 'train' OR CASE dataset
+  WHEN 'documents' THEN r >= floor(n * 0.1::DOUBLE) AND r < floor(n * 0.2::DOUBLE)
+  WHEN 'conversations' THEN r < floor(n * 0.5::DOUBLE) ELSE true END)),
+ix AS (SELECT dataset, source_ord, split, list_concat({BYTES}, [256]) AS ids,
+  row_number() OVER (PARTITION BY dataset, split ORDER BY key1, key2) - 1 AS idx FROM sliced),
+toks AS (SELECT dataset, source_ord, split, idx, unnest(ids) AS id, generate_subscripts(ids, 1) AS p FROM ix),
+pos AS (SELECT *, idx // 100 AS g, row_number() OVER (PARTITION BY dataset, split, idx // 100 ORDER BY idx, p) - 1 AS o FROM toks),
+cut AS (SELECT dataset, source_ord, split, g, o // 128 AS b, string_agg(id::VARCHAR, ' ' ORDER BY o) AS input_ids
+  FROM pos GROUP BY dataset, source_ord, split, g, o // 128 HAVING count(*) = 128),
+blocks AS (SELECT *, row_number() OVER (PARTITION BY dataset, split ORDER BY g, b) - 1 AS block_id FROM cut),
+together AS (SELECT *, row_number() OVER (PARTITION BY split ORDER BY source_ord, block_id) - 1 AS i,
+  count(*) OVER (PARTITION BY split) AS n FROM blocks),
+h0 AS (SELECT *, (i * 2654435761 + 42 * 40503 + 1 * 69069) % 2147483648 AS h FROM together),
+h1 AS (SELECT * REPLACE ((xor(h, h >> 15) * 2246822519) % 2147483648 AS h) FROM h0),
+h2 AS (SELECT * REPLACE ((xor(h, h >> 13) * 3266489917) % 2147483648 AS h) FROM h1),
+placed AS (SELECT *, row_number() OVER (PARTITION BY split ORDER BY CASE WHEN split = 'train' THEN h ELSE i END, i) - 1 AS place FROM h2),
+slots AS (SELECT *, unnest(range(place, ((n + 1) // 2) * 2, n)) AS slot FROM placed)"""
+
+TOKEN_SQL["rank_export"] = f"""WITH {_SLICED} SELECT split, slot, slot % 2 AS rank, (slot // 2) // 4 AS micro_batch,
+  ((slot // 2) // 4) // 2 AS opt_step, dataset, block_id, input_ids FROM slots"""
+
 ORACLE_SQL = {**CORPUS_SQL, **TOKEN_SQL, **EVAL_SQL}

@@ -17,6 +17,7 @@ from corpusloom.operators.ordering import ordered_index
 from corpusloom.operators.slicing import first_rows
 from corpusloom.operators.vocab import build_vocab, decode_words, encode_words
 from corpusloom.plans import fixtures as fx
+from corpusloom.plans import prepare as prep
 from corpusloom.schemas import BATCH_SIZE, BLOCK_LENGTH, BYTE_EOS, EOS_ID, MASK_ID, PACKED_COLUMNS
 from corpusloom.session import scratch_path, spread
 from corpusloom.sources import store
@@ -294,6 +295,21 @@ def stream_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_text(packed.select("split", "arrival_group", "block_id", "input_ids"), "input_ids")
 
 
+def rank_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole way: run configuration, slices, packing, store, epoch order, batches by rank."""
+    packing_settings = prep.Packing(batch_rows=fx.PACK_ROWS)
+    config = {"documents": {"train_slice": [0.1, 0.2]}, "conversations": {"train_slice": 0.5}, "benchmark": {}}
+    plan = prep.run_plan(spark, config, packing_settings)
+    root, out = scratch_path(spark, "prepared"), scratch_path(spark, "epoch")
+    for _ in range(2):      # the second call finds everything stored
+        prep.prepare(spark, scan_corpora(spark, sf_dir), plan, root, packing_settings)
+    blocks = prep.open_stage(spark, plan, root, "fit")
+    prep.export(prep.order_for_epoch(blocks, fx.SEED, fx.EPOCH, fx.WORLD, BATCH_SIZE, fx.ACCUMULATE), out)
+    rows = spark.read.parquet(out).withColumn("rank", F.col("rank").cast("bigint"))
+    rows = rows.select("split", "slot", "rank", "micro_batch", "opt_step", "dataset", "block_id", "input_ids")
+    return as_text(rows, "input_ids")
+
+
 QUERIES = {
     "encode_byte": encode_byte,
     "append_eos": append_eos,
@@ -320,4 +336,5 @@ QUERIES = {
     "batch_report": batch_report,
     "stream_tokenize": stream_tokenize,
     "stream_pack": stream_pack,
+    "rank_export": rank_export,
 }

@@ -43,7 +43,7 @@ CORPORA = (
 STAGE_SPLITS = {"fit": ("train", "validation"), "test": ("test",), None: SPLITS}
 
 CORPUS_KEY = ("key1", "key2")
-CORPUS_LEVELS = ("cell0", "cell1", "cell2")
+CORPUS_CELLS = (("cell0",), ("cell1", "cell2"))
 
 
 # Declared schemas, so that opening a table starts no inference job.
@@ -116,7 +116,7 @@ EMPTY_CORPUS = T.StructType(
         T.StructField("split", T.StringType()),
         T.StructField("key1", T.LongType()),
         T.StructField("key2", T.LongType()),
-        *[T.StructField(c, T.LongType()) for c in CORPUS_LEVELS],
+        *[T.StructField(c, T.LongType()) for level in CORPUS_CELLS for c in level],
         T.StructField("text", T.StringType()),
     ]
 )

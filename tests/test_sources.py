@@ -8,7 +8,7 @@ from corpusloom.functions.text import drop_blank, first_nonblank, normalise, pre
 from corpusloom.operators.manifest import classify_scan
 from corpusloom.operators.ordering import integer_levels
 from corpusloom.operators.slicing import head_bounds, percent_bounds, range_bounds, slice_rows
-from corpusloom.plans.corpus_queries import slice_plan
+from corpusloom.plans.prepare import run_plan
 from corpusloom.sources import corpora, naming, registry, store
 
 
@@ -67,10 +67,10 @@ def test_stored_names_and_storage_keys():
         naming.special_ids(None, None)
 
 
-def test_slice_plan_rejects_unknown_datasets(spark):
+def test_run_plan_rejects_unknown_datasets(spark):
     with pytest.raises(KeyError, match="nothing"):
-        slice_plan(spark, {"nothing": {}})
-    rows = {(r.dataset, r.split): (r.start, r.end) for r in slice_plan(spark, {"pages": {"train_slice": 0.3}}).collect()}
+        run_plan(spark, {"nothing": {}})
+    rows = {(r.dataset, r.split): (r.start, r.end) for r in run_plan(spark, {"pages": {"train_slice": 0.3}}).collect()}
     assert rows[("pages", "train")] == (0.0, 0.3) and rows[("pages", "test")] == (None, None)
 
 
