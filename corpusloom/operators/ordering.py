@@ -75,7 +75,8 @@ def ordered_index(
 
     Also adds `n_rows` (rows in `by`) and, for each weight column `w`,
     `w_before` (sum over earlier rows) and `w_total`.  `levels` must cut the
-    key order into contiguous cells, coarse to fine.
+    key order into contiguous cells, coarse to fine.  `by` and `key` hold no
+    nulls, and `key` is unique inside `by`.
     """
     by = list(by)
     names = [[f"_cell{i}_{j}" for j in range(len(level))] for i, level in enumerate(levels)]

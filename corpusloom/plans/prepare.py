@@ -104,13 +104,10 @@ def prepare(spark: SparkSession, rows: DataFrame, plan: DataFrame, root: str, pa
     Returns the number of splits prepared.
     """
     pending = plan.join(read_manifest(spark, root).select("storage_key"), "storage_key", "left_anti")
-    names = pending.select("dataset", "split", "storage_key").collect()      # configuration-sized
+    names = pending.select(*[c for c in plan.columns if c != "source_ord"]).collect()      # configuration-sized
     if not names:
         return 0
-    todo = spark.createDataFrame(
-        pending.select("dataset", "split", "start", "end", "storage_key").collect(),
-        "dataset string, split string, start double, end double, storage_key string",
-    )
+    todo = spark.createDataFrame(names, "dataset string, split string, start double, end double, storage_key string")
     sliced = multi_slice(rows, todo.drop("storage_key"), CORPUS_KEY, CORPUS_CELLS)
     documents, ids, count = packing.tokenize(sliced)
     by = ["dataset", "split"]

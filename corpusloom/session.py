@@ -67,12 +67,17 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+SPREAD_LIMIT = 32       # a scan of more tasks than this is never moved
+
+
 def spread(scan: DataFrame, *key: str) -> DataFrame:
-    """Place the rows of a plain scan by key when it has fewer tasks than cores.
+    """Place the rows of a small plain scan by key when it leaves cores idle.
 
-    A few large row groups would leave most cores idle during tokenization;
-    sources of many files come back unchanged.  Only for scans: asking a plan
-    with shuffles for its partitions would run it.
+    One file with one row group is read, and would be tokenized, by one task.
+    At most `SPREAD_LIMIT` splits (a few GB) are ever moved for that; larger
+    sources come back unchanged.  Only for scans: asking a plan with shuffles
+    for its partitions would run it.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores, *key) if scan.rdd.getNumPartitions() < cores else scan
+    few = scan.rdd.getNumPartitions() < min(cores, SPREAD_LIMIT)
+    return scan.repartition(cores, *key) if few else scan
