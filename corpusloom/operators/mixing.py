@@ -38,12 +38,12 @@ def shuffle_value(key: Column, seed: int, epoch: int) -> Column:
 def shuffle_epoch(indexed: DataFrame, seed: int, epoch: int, train: str = "train") -> DataFrame:
     """`position` of each row in an epoch: shuffled for train, key order elsewhere.
 
-    The order value is spread evenly, so its high bits are balanced cells; a
-    seed and an epoch always give the same order.
+    The order value is spread evenly, so its high bits make 32,768 balanced
+    cells; a seed and an epoch always give the same order.
     """
     value = F.when(F.col("split") == train, shuffle_value(F.col("idx"), seed, epoch))
     drawn = indexed.where(F.col("split") == train).withColumn("_h", value).withColumnRenamed("idx", "_idx")
-    levels = [[F.shiftright("_h", 22)], [F.shiftright("_h", 12)]]
+    levels = [[F.shiftright("_h", 16)]]
     placed = ordered_index(drawn.drop("n_rows"), ["split"], ["_h", "_idx"], levels)
     placed = placed.withColumnRenamed("idx", "position").withColumnRenamed("_idx", "idx")
     kept = indexed.where(F.col("split") != train).withColumn("position", F.col("idx"))

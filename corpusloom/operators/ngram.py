@@ -119,11 +119,13 @@ def top_k(distribution: DataFrame, k: int, weight: str = "n") -> DataFrame:
 def top_p(bigrams: DataFrame, p: float) -> DataFrame:
     """Nucleus: next tokens kept while the probability before them is under `p`.
 
-    The running total is exact (integer counts), and two-level inside each
-    context: cells are counts, then ranges of next ids.
+    The running total is exact (integer counts) and two-level inside each
+    context: cells are count magnitudes, and id ranges among the pairs seen
+    once, the long tail of a frequent context.
     """
     ranked = bigrams.withColumn("_fall", -F.col("n"))
-    levels = [[F.col("_fall")], [F.shiftright("next", 16)]]
+    tail = F.when(F.col("n") == 1, F.shiftright("next", 20)).otherwise(0)
+    levels = [[-F.floor(F.log2("n")), tail]]
     placed = ordered_index(ranked, ["prev"], ["_fall", "next"], levels, weights=["n"])
     kept = placed.where(F.col("n_before") < F.lit(p) * F.col("n_total"))
     return kept.select("prev", "next", "n", (F.col("n_before") / F.col("n_total")).alias("p_before"))

@@ -14,11 +14,10 @@ from corpusloom.operators.ordering import ordered_index, running
 def number_steps(df: DataFrame, by: Sequence[str], time: str, tie: str) -> DataFrame:
     """`step`: dense position of each row in its run by time, ties by `tie`.
 
-    Cells are days, then seconds, so a run holding most of the rows is ordered
-    in parallel.
+    Cells are hours, so a run holding most of the rows is ordered in parallel
+    while a run has no more cells than hours.
     """
-    second = F.hour(time) * 3600 + F.minute(time) * 60 + F.floor(F.second(time)).cast("int")
-    levels = [[F.unix_date(F.col(time).cast("date"))], [second]]
+    levels = [[F.unix_date(F.col(time).cast("date")), F.hour(time)]]
     return ordered_index(df, by, [time, tie], levels).withColumnRenamed("idx", "step").drop("n_rows")
 
 

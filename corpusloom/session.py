@@ -41,7 +41,7 @@ def scratch_root(spark: SparkSession) -> str:
     The cluster names it in `spark.checkpoint.dir`.  Only a local master may
     fall back to a temporary folder: on a cluster executors would not share it.
     """
-    configured = spark.conf.get(CHECKPOINT_CONF, None)
+    configured = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):

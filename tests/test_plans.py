@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from corpusloom.plans import fixtures as fx
+from corpusloom.session import spread
 from corpusloom.sources import corpora
 
 # the small tables that may be ordered as a whole: cells, file parts
@@ -63,3 +64,15 @@ def test_text_is_never_shuffled_by_a_slice(spark, sf_dir):
 
 def test_packing_hashes_the_narrow_side(spark, sf_dir):
     assert "ShuffledHashJoin" in physical(QUERIES["pack_batch"](spark, sf_dir))
+
+
+@pytest.mark.parametrize("name", ["best_checkpoints", "next_token_topk", "sample_per_dataset"])
+def test_rank_filters_run_before_the_shuffle(spark, sf_dir, name):
+    assert "WindowGroupLimit" in physical(QUERIES[name](spark, sf_dir))
+
+
+def test_small_scans_are_spread_and_large_ones_left_alone(spark, sf_dir, tmp_path):
+    docs = corpora.read_table(spark, sf_dir, "documents")
+    assert spread(docs, "doc_id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    many = spark.range(0, 1000, 1, 40)
+    assert spread(many, "id") is many
