@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.arith import int_div
 from corpusloom.operators.ordering import ordered_index, running
+from corpusloom.session import materialize
 
 
 def number_steps(df: DataFrame, by: Sequence[str], time: str, tie: str) -> DataFrame:
@@ -52,22 +53,29 @@ def early_stop(checks: DataFrame, patience: int, mode: str = "min", by: Sequence
     by = list(by)
     lower = mode == "min"
     fn, pick = (F.min, F.least) if lower else (F.max, F.greatest)
+    # read by both halves of the first scan; written, its lineage runs once
+    checks = materialize(checks.select(*by, "step", "value"), "checks")
     seen = running(checks, by, "step", "value", fn, pick, "_best")
     better = F.col("value") < F.col("_best") if lower else F.col("value") > F.col("_best")
     improved = F.col("_best").isNull() | better
     marked = seen.withColumn("_improved", F.when(improved, F.col("step")))
     placed = running(marked, by, "step", "_improved", F.max, F.greatest, "_last", include_current=True)
-    wait = F.col("step") - F.col("_last")
+    stop = F.when(F.col("step") - F.col("_last") >= patience, F.col("step"))
     stops = placed.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_checks"),
-        F.min(F.when(wait >= patience, F.col("step"))).alias("stop_step"),
-        F.max("_last").alias("_final_best"),
+        F.min(stop).alias("stop_step"),
+        F.min_by("_best", stop).alias("_best_at_stop"),
+        F.max("_last").alias("_final_step"),
+        fn("value").alias("_final_best"),
     )
     # the wait grows by one per check, so the best before a stop is `patience` back
-    best_step = F.coalesce(F.col("stop_step") - patience, F.col("_final_best"))
-    best = stops.withColumn("best_step", best_step).drop("_final_best")
-    values = checks.select(*by, F.col("step").alias("best_step"), F.col("value").alias("best_value"))
-    return best.join(values, [*by, "best_step"]).select(*by, "n_checks", "stop_step", "best_step", "best_value")
+    return stops.select(
+        *by,
+        "n_checks",
+        "stop_step",
+        F.coalesce(F.col("stop_step") - patience, F.col("_final_step")).alias("best_step"),
+        F.coalesce("_best_at_stop", "_final_best").alias("best_value"),
+    )
 
 
 def best_checkpoints(checks: DataFrame, k: int, mode: str = "min", by: Sequence[str] = ("run",)) -> DataFrame:
