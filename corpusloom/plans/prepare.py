@@ -21,6 +21,7 @@ from corpusloom.operators.slicing import multi_slice
 from corpusloom.schemas import BLOCK_LENGTH, BYTE_EOS, PACK_BATCH_ROWS, PACKED_COLUMNS
 from corpusloom.sources.corpora import CORPORA, CORPUS_CELLS, CORPUS_KEY, STAGE_SPLITS, Corpus, split_names
 from corpusloom.sources.naming import parse_slice, storage_key, tokenizer_id
+from corpusloom.sources.store import path_exists
 
 PLAN_SCHEMA = "dataset string, source_ord int, split string, start double, end double, storage_key string"
 MANIFEST_SCHEMA = T.StructType(
@@ -82,15 +83,10 @@ def run_plan(
     return spark.createDataFrame(rows, PLAN_SCHEMA)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
-
-
 def read_manifest(spark: SparkSession, root: str) -> DataFrame:
     """What is stored under `root`: a row per finished dataset and split."""
     path = f"{root}/manifest"
-    if not _exists(spark, path):
+    if not path_exists(spark, path):
         return spark.createDataFrame([], MANIFEST_SCHEMA)
     return spark.read.schema(MANIFEST_SCHEMA).parquet(path)
 
@@ -120,7 +116,7 @@ def prepare(spark: SparkSession, rows: DataFrame, plan: DataFrame, root: str, pa
     blocks.select("block_id", "pack_group", *PACKED_COLUMNS, "storage_key").write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy("storage_key").parquet(path)
-    if _exists(spark, path) and any(_exists(spark, f"{path}/storage_key={r.storage_key}") for r in names):
+    if path_exists(spark, path) and any(path_exists(spark, f"{path}/storage_key={r.storage_key}") for r in names):
         stored = spark.read.parquet(path).groupBy("storage_key").agg(F.count(F.lit(1)).alias("n_blocks"))
     else:
         stored = spark.createDataFrame([], "storage_key string, n_blocks bigint")

@@ -18,7 +18,7 @@ from corpusloom.operators.slicing import first_rows
 from corpusloom.operators.vocab import build_vocab, decode_words, encode_words
 from corpusloom.plans import fixtures as fx
 from corpusloom.plans import prepare as prep
-from corpusloom.schemas import BATCH_SIZE, BLOCK_LENGTH, BYTE_EOS, EOS_ID, MASK_ID, PACKED_COLUMNS
+from corpusloom.schemas import BATCH_SIZE, BLOCK_LENGTH, BYTE_EOS, EOS_ID, PACKED_COLUMNS
 from corpusloom.session import scratch_path, spread
 from corpusloom.sources import store
 from corpusloom.sources.corpora import CORPUS_KEY, read_table, scan_corpora

@@ -26,10 +26,14 @@ def write_cache(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").partitionBy("dataset", "split").parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     """True when the writer committed `path`."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
+    return path_exists(spark, f"{path}/_SUCCESS")
 
 
 def cache_counts(df: DataFrame) -> DataFrame:

@@ -1,7 +1,5 @@
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from corpusloom.operators import lookup as lk
 from corpusloom.operators.vocab import build_vocab, decode_words, encode_words
 
