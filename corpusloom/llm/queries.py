@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import chat, hash_tree, quality
+from corpusloom.llm import bin_slack, bpe, chat, dac, hash_tree, quality
 from corpusloom.llm.common import table
+from corpusloom.session import scratch_path
 
 
 def chat_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +23,13 @@ def chat_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversation_digests(chat.prefix_examples(turns))
 
 
+def addressable_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 4: all documents written as segments, then read back."""
+    folder = scratch_path(spark, "token-segments")
+    dac.write(table(spark, sf_dir, "documents"), folder, bpe.tokenizer_path(), end_id=2)
+    return dac.read_documents(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 6: all documents into 24 shards (3 regions, 2 racks each, 4 shards each)."""
     return hash_tree.shard_documents(table(spark, sf_dir, "documents"), hash_tree.even_tree(3, 2, 4))
@@ -33,10 +41,19 @@ def compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.with_quality(docs).select("doc_id", "quality.*")
 
 
+def bin_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 9: all documents packed into sequences of 2048 ids."""
+    packing = bin_slack.Packing(bpe.tokenizer_path(), capacity=2048, end_id=1)
+    pieces = bin_slack.pack(table(spark, sf_dir, "documents"), packing)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES = {
     "op1_chat_prefix": chat_prefix,
+    "op4_addressable_codes": addressable_codes,
     "op6_hash_tree_shards": hash_tree_shards,
     "op8_compression_bands": compression_bands,
+    "op9_bin_slack_packing": bin_slack_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {}
