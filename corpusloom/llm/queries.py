@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import bin_slack, bpe, chat, dac, hash_tree, quality
+from corpusloom.llm import bin_slack, bpe, chat, dac, hash_tree, quality, winnow
 from corpusloom.llm.common import table
 from corpusloom.session import scratch_path
 
@@ -30,6 +30,12 @@ def addressable_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dac.read_documents(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 5: all documents against all benchmark items."""
+    found = winnow.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
 def hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 6: all documents into 24 shards (3 regions, 2 racks each, 4 shards each)."""
     return hash_tree.shard_documents(table(spark, sf_dir, "documents"), hash_tree.even_tree(3, 2, 4))
@@ -51,9 +57,39 @@ def bin_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_chat_prefix": chat_prefix,
     "op4_addressable_codes": addressable_codes,
+    "op5_winnowing": winnowing,
     "op6_hash_tree_shards": hash_tree_shards,
     "op8_compression_bands": compression_bands,
     "op9_bin_slack_packing": bin_slack_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_WORDS = rf"list_filter(regexp_split_to_array(translate(coalesce(text, ''), {_LETTERS}), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+
+ORACLE_SQL: dict[str, str] = {
+    "op5_winnowing": f"""
+        WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+        b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+        bw AS (
+            SELECT DISTINCT item_id, least(len(w), 13) AS m, array_to_string(w[i:i + least(len(w), 13) - 1], ' ') AS win
+            FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS i FROM b WHERE len(w) > 0)
+        ),
+        dw AS (
+            SELECT doc_id, m, i, array_to_string(w[i:i + m - 1], ' ') AS win
+            FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM d, (SELECT DISTINCT m FROM bw) WHERE len(w) >= m)
+        ),
+        hit AS (SELECT doc_id, item_id, i, m FROM dw JOIN bw USING (m, win)),
+        covered AS (
+            SELECT doc_id, count(DISTINCT p) AS n_hit
+            FROM (SELECT doc_id, unnest(range(i, i + m)) AS p FROM (SELECT DISTINCT doc_id, i, m FROM hit)) GROUP BY doc_id
+        ),
+        named AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+            FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY doc_id
+        )
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+            sha256(coalesce(ids, '')) AS items_sha256,
+            coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+        FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+    """,
+}
