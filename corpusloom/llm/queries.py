@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import bin_slack, bpe, chat, dac, hash_tree, quality, winnow
+from corpusloom.llm import bin_slack, bpe, chat, dac, hash_tree, parity, quality, winnow
 from corpusloom.llm.common import table
 from corpusloom.session import scratch_path
 
@@ -41,6 +41,11 @@ def hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_tree.shard_documents(table(spark, sf_dir, "documents"), hash_tree.even_tree(3, 2, 4))
 
 
+def parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 7: all documents, three-word shingles, similarity 0.9."""
+    return parity.similar_groups(table(spark, sf_dir, "documents"), parity.Join(words=3, percent=90))
+
+
 def compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 8 over all documents."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -59,6 +64,7 @@ QUERIES = {
     "op4_addressable_codes": addressable_codes,
     "op5_winnowing": winnowing,
     "op6_hash_tree_shards": hash_tree_shards,
+    "op7_parity_join": parity_join,
     "op8_compression_bands": compression_bands,
     "op9_bin_slack_packing": bin_slack_packing,
 }
