@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import bin_slack, bpe, chat, dac, hash_tree, parity, quality, winnow
+from corpusloom.llm import bin_slack, bpe, chat, dac, hash_tree, pages, parity, quality, warc, winnow
 from corpusloom.llm.common import table
 from corpusloom.session import scratch_path
 
@@ -23,6 +23,13 @@ def chat_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversation_digests(chat.prefix_examples(turns))
 
 
+def host_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 2 over all pages."""
+    return pages.main_text(table(spark, sf_dir, "pages")).select(
+        "page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"), "path"
+    )
+
+
 def addressable_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 4: all documents written as segments, then read back."""
     folder = scratch_path(spark, "token-segments")
@@ -59,14 +66,26 @@ def bin_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def warc_histories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 10: all pages archived and read back through the merged index.
+
+    The table has no capture times; page ids are taken as seconds after the start of 2024.
+    """
+    captured = F.timestamp_seconds(F.lit(1704067200) + F.col("page_id"))
+    found = warc.capture_histories(spark, table(spark, sf_dir, "pages"), scratch_path(spark, "warc"), captured)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", "captured", "part", "seq")
+
+
 QUERIES = {
     "op1_chat_prefix": chat_prefix,
+    "op2_host_paths": host_paths,
     "op4_addressable_codes": addressable_codes,
     "op5_winnowing": winnowing,
     "op6_hash_tree_shards": hash_tree_shards,
     "op7_parity_join": parity_join,
     "op8_compression_bands": compression_bands,
     "op9_bin_slack_packing": bin_slack_packing,
+    "op10_warc_histories": warc_histories,
 }
 
 _LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
