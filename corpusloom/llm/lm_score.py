@@ -1,0 +1,157 @@
+"""Cross-entropy difference of a target and a background n-gram model.
+
+Both models are byte trigrams, so they share one vocabulary, the 256 byte values,
+in which every text of every language is spelled without unknown tokens.  The
+background is counted over all documents, the target over all that are labelled
+good.  The models are matched: same order, same smoothing, and the background's
+counts are scaled to the target's total, so that neither is smoother for having
+seen more.  A token's loss difference is its loss under the target minus that under
+the background; a document's score is the mean over its tokens, below zero when
+it reads more like the target.
+
+A model has at most 2**24 trigrams whatever the corpus, which bounds what reaches
+the driver and the broadcast (20 bytes each at most); what is counted and shuffled
+grows with the corpus, a partial table per task.
+"""
+
+from __future__ import annotations
+
+import uuid
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from corpusloom.llm.common import blank, small_batches
+
+SYMBOLS = 256
+KEYS = SYMBOLS**3
+EDGE = b"\0\0"          # context of a text's first token; one zero byte after the text is its end token
+
+
+@dataclass(frozen=True)
+class Smoothing:
+    """Weight of the shorter context in every longer one, in tokens."""
+
+    trigram: float = 4.0
+    bigram: float = 4.0
+    unigram: float = 1.0
+
+
+def trigrams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Trigram keys of all tokens of `texts` in order, and the number of tokens of each text (bytes and end)."""
+    counts = np.array([len(x) + 1 for x in texts], np.int64)
+    joined = np.frombuffer(b"".join([EDGE + x + b"\0" for x in texts]), np.uint8).astype(np.uint32)
+    keys = joined[:-2] << np.uint32(16) | joined[1:-1] << np.uint32(8) | joined[2:]
+    keep = np.ones(len(keys), bool)
+    ends = np.cumsum(counts + len(EDGE))[:-1]
+    for back in (1, 2):                         # windows that reach into the next text
+        keep[ends - back] = False
+    return keys[keep], counts
+
+
+def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    keys, where = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+    return keys, np.bincount(where, np.concatenate([n for _, n in parts]), len(keys)).astype(np.int64)
+
+
+def counted(docs: DataFrame) -> DataFrame:
+    """(key, background, target): trigram counts of (text, is_target); at most KEYS rows."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: dict[bool, list] = {False: [], True: []}
+        for batch in small_batches(batches):
+            texts = [x.as_py() or b"" for x in pc.cast(batch.column(0), pa.binary())]
+            flags = batch.column(1).to_pylist()
+            for flag in (False, True):
+                mine = [t for t, f in zip(texts, flags) if bool(f) == flag]
+                if mine:
+                    parts[flag].append(np.unique(trigrams(mine)[0], return_counts=True))
+                    if len(parts[flag]) == 16:
+                        parts[flag] = [_merged(parts[flag])]
+        for flag, held in parts.items():
+            if held:
+                keys, n = _merged(held)
+                target = n if flag else np.zeros_like(n)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int32)), pa.array(n), pa.array(target)], names=["key", "background", "target"])
+
+    made = docs.select("text", "is_target").mapInArrow(run, "key int, background bigint, target bigint")
+    return made.groupBy("key").agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
+
+
+@dataclass
+class Model:
+    """Counts of both corpora on one list of keys; bounded by KEYS, whatever was counted."""
+
+    keys: np.ndarray
+    background: np.ndarray
+    target: np.ndarray
+    smoothing: Smoothing
+
+    def differences(self) -> np.ndarray:
+        """Loss difference of every possible trigram, seen or not (float32, KEYS entries)."""
+        scale = self.target.sum() / max(1, self.background.sum())
+        return (self._log(self.background * scale) - self._log(self.target.astype(float))).astype(np.float32)
+
+    def _log(self, n: np.ndarray) -> np.ndarray:
+        """Log probability of every trigram under counts `n`: each order leans on the next shorter one."""
+        s, keys = self.smoothing, self.keys
+        pairs = np.bincount(keys & 0xFFFF, n, SYMBOLS**2).reshape(SYMBOLS, SYMBOLS)         # (b, c)
+        contexts = np.bincount(keys >> 8, n, SYMBOLS**2)                                     # (a, b)
+        ones = pairs.sum(0)
+        p1 = (ones + s.unigram / SYMBOLS) / (ones.sum() + s.unigram)
+        p2 = (pairs + s.bigram * p1) / (pairs.sum(1, keepdims=True) + s.bigram)
+        unseen = np.log(s.trigram * p2)[None] - np.log(contexts + s.trigram).reshape(SYMBOLS, SYMBOLS)[:, :, None]
+        table = unseen.reshape(-1)
+        table[keys] = np.log(n + s.trigram * p2.reshape(-1)[keys & 0xFFFF]) - np.log(contexts[keys >> 8] + s.trigram)
+        return table
+
+
+def fit(docs: DataFrame, good: DataFrame, smoothing: Smoothing = Smoothing(), doc_id: str = "doc_id", text: str = "text") -> Model | None:
+    """The matched models; `good` lists target ids in `doc_id`.  None when no target document exists.
+
+    All documents count for the background and all listed ones for the target; null
+    texts are empty, null and repeated ids in `good` do nothing more.
+    """
+    ids = good.select(F.col("doc_id").alias("_good")).where("_good IS NOT NULL").distinct()
+    marked = docs.select(F.col(doc_id).alias("doc_id"), blank(text).alias("text")).join(ids, F.col("doc_id") == F.col("_good"), "left")
+    rows = counted(marked.select("text", F.col("_good").isNotNull().alias("is_target"))).toArrow()
+    order = np.argsort(rows.column("key").to_numpy())
+    keys, background, target = (rows.column(c).to_numpy()[order].astype(np.int64) for c in ("key", "background", "target"))
+    return Model(keys, background, target, smoothing) if target.sum() else None
+
+
+_tables: dict[str, np.ndarray] = {}
+
+
+def score(docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, n_tokens, difference, score) for every row of `docs`.
+
+    `n_tokens` is the UTF-8 length and the end token; `difference` the summed loss
+    difference in nats, `score` its mean, both null without a model.  Null text is
+    empty, repeated rows score alike, an empty table gives no rows.
+    """
+    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), blank(text).alias("text"))
+    if model is None:
+        nothing = F.lit(None).cast("double")
+        return rows.select("doc_id", (F.octet_length("text") + 1).cast("bigint").alias("n_tokens"), nothing.alias("difference"), nothing.alias("score"))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    name = uuid.uuid4().hex
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if name not in _tables:
+            _tables.clear()
+            _tables[name] = shared.value.differences()
+        table = _tables[name]
+        for batch in small_batches(batches):
+            keys, counts = trigrams([x.as_py() for x in pc.cast(batch.column(1), pa.binary())])
+            sums = np.add.reduceat(table[keys].astype(np.float64), np.cumsum(counts) - counts)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(counts), pa.array(sums), pa.array(sums / counts)], names=["doc_id", "n_tokens", "difference", "score"]
+            )
+
+    return rows.mapInArrow(run, "doc_id bigint, n_tokens bigint, difference double, score double")

@@ -288,9 +288,15 @@ def similar_groups(docs: DataFrame, join: Join = Join(), doc_id: str = "doc_id",
 def keep_one(docs: DataFrame, join: Join = Join(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of `docs` with the smallest id of each group, one row per id; columns as in `docs`.
 
-    Documents without words and rows with a null id stay.
+    Documents without words and rows with a null id all stay.  Of rows that share an id
+    any one stays.
     """
-    groups = similar_groups(docs, join, doc_id, text)
-    gone = groups.where("doc_id != component_id AND n_shingles > 0").select(F.col("doc_id").alias("_gone")).distinct()
-    left = docs.join(gone, F.col(doc_id) == F.col("_gone"), "left_anti")
-    return left
+    groups = materialize(similar_groups(docs, join, doc_id, text).where("n_shingles > 0 AND doc_id IS NOT NULL"), "groups")
+    gone = groups.where("doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    kept = docs.join(gone, F.col(doc_id) == F.col("_gone"), "left_anti")
+    repeated = groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias("_twice"))
+    if repeated.isEmpty():
+        return kept
+    again = F.col(doc_id) == F.col("_twice")
+    some = kept.join(repeated, again, "left_semi").dropDuplicates([doc_id])
+    return kept.join(repeated, again, "left_anti").unionByName(some)
