@@ -18,7 +18,9 @@ DEFAULT_FILE = "word_bpe_49k.json"
 _GAP = re.compile(rb"[ \t\n\x0b\x0c\r]")
 # Between a Latin letter and the ASCII punctuation that ends its word the tokenizer always cuts, and neither
 # its normalisation nor its patterns look across that cut; a space there changes nothing.
-_TAIL = re.compile(r"(?<=[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f])(?=[!-/:-@\[-`{-~]+(?:[ \t\n\x0b\x0c\r]|\Z))")
+_TAIL = re.compile(
+    r"[!-/:-@\[-`{-~](?<=[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f][!-/:-@\[-`{-~])[!-/:-@\[-`{-~]*(?=[ \t\n\x0b\x0c\r]|\Z)"
+)
 _SPECIAL = b"<|"        # opens the special tokens, which the library finds before it normalises
 STRETCH = 1 << 20       # bytes of one text that are split into words at once
 
@@ -36,7 +38,7 @@ class WordEncoder:
     full it becomes the older, and what is still in use moves back.
     """
 
-    def __init__(self, path: str, words: int = 400_000):
+    def __init__(self, path: str, words: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"          # a Spark task is one core
         from tokenizers import Tokenizer
 
@@ -52,10 +54,13 @@ class WordEncoder:
         words = _separated(raw).split()
         if len(self._young) > self._most:
             self._older, self._young = self._young, {}
-        missing = set(words).difference(self._young)
-        if missing:
-            self._learn(missing)
-        return b"".join(map(self._young.__getitem__, words))
+        found = list(map(self._young.get, words))
+        if None in found:
+            holes = [i for i, ids in enumerate(found) if ids is None]
+            self._learn({words[i] for i in holes})
+            for i in holes:
+                found[i] = self._young[words[i]]
+        return b"".join(found)
 
     def _learn(self, words: set[bytes]) -> None:
         new = []
@@ -100,7 +105,7 @@ def _separated(raw: bytes) -> bytes:
             text = plain
     else:
         text = low.decode("ascii")
-    return _TAIL.sub(" ", text).encode()
+    return _TAIL.sub(r" \g<0>", text).encode()
 
 
 _encoders: dict[str, WordEncoder] = {}
