@@ -182,27 +182,38 @@ def segment_starts(segments: DataFrame) -> DataFrame:
 
 
 def read_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """(doc_id, start, n_tokens, ids) of every document in the segments of `folder`; `ids` little-endian u32."""
-    segments = spark.read.parquet(folder)
-    placed = segments.select("part", "seq", "payload").join(segment_starts(segments), ["part", "seq"])
+    """(part, seq, doc_id, local, n_tokens, ids) of every document in the segments of `folder`.
+
+    `local` is the document's first token inside its segment, `ids` are little-endian
+    u32.  Segments are decoded where they are read.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for payload, first in zip(batch.column(0), batch.column(1)):
+            for part, seq, payload in zip(*batch.columns):
                 segment = Segment(payload.as_py())
-                raw = segment.all_tokens().astype("<u4")
-                starts = segment.starts
-                offsets = pa.py_buffer((starts * 4).astype(np.int32)) if starts[-1] < 1 << 29 else None
-                if offsets is None:
-                    ids = pa.array([raw[a:b].tobytes() for a, b in zip(starts, starts[1:])], pa.large_binary()).cast(pa.binary())
-                else:
-                    ids = pa.Array.from_buffers(pa.binary(), len(starts) - 1, [None, offsets, pa.py_buffer(raw)])
+                raw, starts = segment.all_tokens().astype("<u4"), segment.starts
+                n = len(starts) - 1
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(segment.doc_ids, pa.int64()), pa.array(starts[:-1] + first.as_py()), pa.array(np.diff(starts)), ids],
-                    names=["doc_id", "start", "n_tokens", "ids"],
+                    [
+                        pa.array([part.as_py()] * n, pa.int32()),
+                        pa.array([seq.as_py()] * n, pa.int32()),
+                        pa.array(segment.doc_ids, pa.int64()),
+                        pa.array(starts[:-1]),
+                        pa.array(np.diff(starts)),
+                        pa.array([raw[x:y].tobytes() for x, y in zip(starts, starts[1:])], pa.binary()),
+                    ],
+                    names=["part", "seq", "doc_id", "local", "n_tokens", "ids"],
                 )
 
-    return placed.select("payload", "seg_start").mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids binary")
+    schema = "part int, seq int, doc_id bigint, local bigint, n_tokens bigint, ids binary"
+    return spark.read.parquet(folder).select("part", "seq", "payload").mapInArrow(run, schema)
+
+
+def with_start(documents: DataFrame, folder: str) -> DataFrame:
+    """Replace (part, seq, local) by `start`, the ids of all documents before."""
+    starts = segment_starts(documents.sparkSession.read.parquet(folder))
+    return documents.join(starts, ["part", "seq"]).withColumn("start", F.col("seg_start") + F.col("local")).drop("part", "seq", "seg_start", "local")
 
 
 def read_tokens(spark: SparkSession, folder: str, positions: DataFrame, position: str = "position") -> DataFrame:

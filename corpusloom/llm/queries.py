@@ -41,7 +41,8 @@ def addressable_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 4: all documents written as segments, then read back."""
     folder = scratch_path(spark, "token-segments")
     dac.write(table(spark, sf_dir, "documents"), folder, bpe.tokenizer_path(), end_id=2)
-    return dac.read_documents(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    digests = dac.read_documents(spark, folder).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return dac.with_start(digests, folder).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 def winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,7 +100,30 @@ QUERIES = {
 _LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 _WORDS = rf"list_filter(regexp_split_to_array(translate(coalesce(text, ''), {_LETTERS}), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
 
+
+
+def _escaped(column: str) -> str:
+    for plain, shown in (("\\", "\\\\"), ("<s>", "<\\s>"), ("</s>", "<\\/s>"), ("[INST]", "[\\INST]"), ("[/INST]", "[\\/INST]")):
+        column = f"replace({column}, '{plain}', '{shown}')"
+    return column
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op1_chat_prefix": f"""
+        WITH t AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+            UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+        )
+        SELECT conv_id, count(*)::BIGINT AS n_turns,
+            sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+            coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+            sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+            sum(23 + length({_escaped('role')}) + length({_escaped('text')}))::BIGINT AS formatted_chars,
+            (count(*) FILTER (WHERE role = 'assistant')
+                + CASE WHEN arg_max(role, (turn, role, text)) = 'assistant' THEN 0 ELSE 1 END)::BIGINT AS n_examples
+        FROM t GROUP BY conv_id
+    """,
     "op5_winnowing": f"""
         WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
         b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
@@ -125,4 +149,23 @@ ORACLE_SQL: dict[str, str] = {
             coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
         FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
     """,
+    "op7_parity_join": f"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), {_LETTERS}), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+            FROM documents
+        ),
+        s AS (
+            SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS g
+            FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM d WHERE len(w) > 0)
+        ),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        both_have AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY 1, 2),
+        link AS (
+            SELECT a, b FROM both_have JOIN n AS p ON p.doc_id = a JOIN n AS q ON q.doc_id = b WHERE 100 * c >= 90 * (p.n + q.n - c)
+        ),
+        step AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+        reach(a, b) AS (SELECT doc_id, doc_id FROM d UNION SELECT reach.a, step.b FROM reach JOIN step ON step.a = reach.b)
+        SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, r.c AS component_id
+        FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS c FROM reach GROUP BY a) AS r USING (doc_id)
+    """,
 }
