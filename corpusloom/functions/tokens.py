@@ -23,6 +23,15 @@ def byte_tokens(text: Column) -> Column:
     )
 
 
+def first_byte_tokens(text: Column, length: int) -> Column:
+    """The first `length` of `byte_tokens`; what is cut off is never expanded."""
+    head = F.substring(F.encode(text, "UTF-8"), 1, length)
+    chars = F.split(F.decode(head, "ISO-8859-1"), "")
+    return F.when(F.length(text) > 0, F.transform(chars, lambda c: F.ascii(c))).otherwise(
+        F.array().cast("array<int>")
+    )
+
+
 def byte_count(text: Column) -> Column:
     """Length of `byte_tokens` without building the array."""
     return F.octet_length(text)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -9,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.tokens import word_tokens
+from corpusloom.operators.lookup import keyed_lookup
+from corpusloom.session import materialize
 
 FAILURE_PREFIX = "GENERATION FAILED: "     # fixed value: marks a failed row
 
@@ -68,44 +71,36 @@ def predict_safe(df: DataFrame, load: Callable[[], Callable[[int, str], str]], k
     return df.select(key, step.cast("bigint").alias("global_step"), "prompt").mapInPandas(run, schema)
 
 
-def encode_with(df: DataFrame, key: Sequence[str], text: str, tokenizer_json: str, eos: int | None = None) -> DataFrame:
-    """Encode with a pretrained tokenizer given as its JSON; needs `tokenizers`.
+def fit_bayes(train: DataFrame, label: str, text: str = "text") -> tuple[DataFrame, list, list[float]]:
+    """Multinomial naive Bayes over word tokens, for any number of classes.
 
-    The JSON is broadcast and built once per task; batches are Arrow.
+    Returns (token, loglik) with one log likelihood per class (add-one smoothing over
+    the training vocabulary) as a written table, the classes in order, and their log
+    priors.  Words keep their identity; nothing is hashed.
     """
-    shared = df.sparkSession.sparkContext.broadcast(tokenizer_json)
-    kinds = dict(df.dtypes)
-    schema = ", ".join([*(f"{k} {kinds[k]}" for k in key), "input_ids array<int>"])
-    tail = [] if eos is None else [eos]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_str(shared.value)
-        for batch in batches:
-            encoded = tokenizer.encode_batch(batch[text].tolist(), add_special_tokens=False)
-            yield batch[list(key)].assign(input_ids=[e.ids + tail for e in encoded])
-
-    return df.select(*key, text).mapInPandas(run, schema)
-
-
-def classify(
-    train: DataFrame, score: DataFrame, label: str, text: str = "text", features: int = 1 << 16, iterations: int = 20
-) -> DataFrame:
-    """Fit a text classifier on `train` and add `prediction` and `logit` to `score`."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import HashingTF
-    from pyspark.ml.functions import vector_to_array
-
-    def words(df: DataFrame) -> DataFrame:
-        return df.withColumn("_words", word_tokens(F.col(text)))
-
-    stages = [
-        HashingTF(inputCol="_words", outputCol="_features", numFeatures=features),
-        LogisticRegression(featuresCol="_features", labelCol=label, maxIter=iterations, regParam=0.01),
-    ]
-    model = Pipeline(stages=stages).fit(words(train))
-    scored = model.transform(words(score))
-    logit = F.get(vector_to_array("rawPrediction"), F.lit(1))
-    return scored.withColumn("logit", logit).drop("_words", "_features", "rawPrediction", "probability")
+    shares = train.groupBy(label).agg(F.count(F.lit(1)).alias("n")).orderBy(label).collect()       # one row per class
+    classes, total = [r[0] for r in shares], sum(r.n for r in shares)
+    words = train.select(F.col(label).alias("_class"), F.explode(word_tokens(F.col(text))).alias("token"))
+    counts = words.groupBy("token").agg(*[F.count_if(F.col("_class") == c).alias(f"_n{i}") for i, c in enumerate(classes)])
+    counts = materialize(counts, "class-counts")
+    sums = counts.agg(F.count(F.lit(1)), *[F.sum(f"_n{i}") for i in range(len(classes))]).first()
+    logs = [F.log((F.col(f"_n{i}") + 1) / F.lit(float((sums[i + 1] or 0) + sums[0]))) for i in range(len(classes))]
+    table = materialize(counts.select("token", F.array(*logs).alias("loglik")), "class-words")
+    return table, classes, [math.log(r.n / total) for r in shares]
+
+
+def classify(train: DataFrame, score: DataFrame, key: str, label: str, text: str = "text") -> tuple[DataFrame, list]:
+    """(key, logits, prediction) for every row of `score`, and the classes the logits stand for.
+
+    Words outside the training vocabulary count for no class; a row without known words
+    gets the priors.  Equal logits go to the earlier class.
+    """
+    table, classes, priors = fit_bayes(train, label, text)
+    words = score.select(key, F.explode(word_tokens(F.col(text))).alias("token"))
+    counts = words.groupBy(key, "token").agg(F.count(F.lit(1)).alias("_n"))
+    found = keyed_lookup(counts, table, ["token"]).where(F.col("loglik").isNotNull())
+    sums = found.groupBy(key).agg(*[F.sum(F.col("_n") * F.get("loglik", F.lit(i))).alias(f"_s{i}") for i in range(len(classes))])
+    logits = F.array(*[F.coalesce(f"_s{i}", F.lit(0.0)) + F.lit(p) for i, p in enumerate(priors)])
+    best = F.array_position("logits", F.array_max("logits"))
+    scored = score.select(key).join(sums, key, "left").select(key, logits.alias("logits"))
+    return scored.withColumn("prediction", F.element_at(F.array(*map(F.lit, classes)), best.cast("int"))), classes

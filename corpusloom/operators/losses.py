@@ -16,16 +16,27 @@ def cross_entropy(logits: Column, target: Column) -> Column:
 
 
 def row_losses(df: DataFrame, logits: str, target: str, ignore_index: int, keep: Sequence[str]) -> DataFrame:
-    """Loss per row; null where the target is the ignored id.  Logits are never shifted."""
+    """Loss per row; null where the target is the ignored id.  Logits are never shifted.
+
+    `bad_target` marks rows whose target is neither ignored nor a place in the logits:
+    they have no loss, and the batch says how many there are.
+    """
     wide = F.col(logits).cast("array<double>")
-    loss = F.when(F.col(target) != ignore_index, cross_entropy(F.col("_logits"), F.col(target)))
-    return df.select(*keep, target, wide.alias("_logits")).select(*keep, target, loss.alias("loss"))
+    aimed = F.coalesce(F.col(target) != ignore_index, F.lit(True))
+    inside = F.coalesce((F.col(target) >= 0) & (F.col(target) < F.size("_logits")), F.lit(False))
+    loss = F.when(aimed & inside, cross_entropy(F.col("_logits"), F.col(target)))
+    return df.select(*keep, target, wide.alias("_logits")).select(
+        *keep, target, loss.alias("loss"), (aimed & ~inside).alias("bad_target")
+    )
 
 
 def batch_losses(losses: DataFrame, batch: Sequence[str]) -> DataFrame:
     """Mean loss per batch over scored rows; null when every row is ignored."""
     return losses.groupBy(*batch).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count("loss").alias("n_scored"), F.avg("loss").alias("loss")
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count("loss").alias("n_scored"),
+        F.count_if("bad_target").alias("n_bad"),
+        F.avg("loss").alias("loss"),
     )
 
 

@@ -16,6 +16,7 @@ SEED_MULTIPLIER = 40503
 EPOCH_MULTIPLIER = 69069
 ROUNDS = ((15, 2246822519), (13, 3266489917))
 MODULUS = 1 << 31
+CELL_ROWS = 1 << 16
 
 
 def concat_index(df: DataFrame, key: Sequence[str], levels: Levels, source: str = "source_ord") -> DataFrame:
@@ -23,29 +24,48 @@ def concat_index(df: DataFrame, key: Sequence[str], levels: Levels, source: str
     return ordered_index(df, ["split"], [source, *key], [[F.col(source)], *levels])
 
 
-def shuffle_value(key: Column, seed: int, epoch: int) -> Column:
-    """Order value of a non-negative key, in [0, 2**31), without ties below 2**31 keys.
+def with_shuffle_value(df: DataFrame, key: str, seed: int, epoch: int, out: str = "_h") -> DataFrame:
+    """Add the order value of a non-negative key, in [0, 2**62).
 
-    The first step alone would only rotate the order from one epoch to the
-    next; the shift rounds make the epochs' orders unrelated.
+    The key's upper half is mixed first and shifts the lower half, so keys that share
+    one half are strangers in the other epochs; the second 31 bits order what the
+    first cannot tell apart.
     """
-    value = ((key % F.lit(MODULUS)) * F.lit(KEY_MULTIPLIER) + F.lit(seed * SEED_MULTIPLIER + epoch * EPOCH_MULTIPLIER)) % F.lit(MODULUS)
+    modulus = F.lit(MODULUS)
+    halves = df.withColumns({"_upper": F.shiftright(key, 31), "_lower": F.col(key) % modulus})
+    above = _mixed(halves, "_above", F.col("_upper"), seed, epoch)
+    high = _mixed(above, "_high", (F.col("_lower") + F.col("_above")) % modulus, seed, epoch)
+    low = _mixed(high, "_low", (F.col("_upper") + F.col("_high")) % modulus, seed + 1, epoch)
+    return low.withColumn(out, F.col("_high") * modulus + F.col("_low")).drop("_upper", "_lower", "_above", "_high", "_low")
+
+
+def _mixed(df: DataFrame, out: str, key: Column, seed: int, epoch: int) -> DataFrame:
+    """Add a 31-bit mix of a 31-bit key, without ties.
+
+    The first step alone would only rotate the order from one epoch to the next; the
+    shift rounds make the epochs' orders unrelated.  Each step is a column of its own,
+    as it reads the one before twice.
+    """
+    df = df.withColumn(out, (key * F.lit(KEY_MULTIPLIER) + F.lit(seed * SEED_MULTIPLIER + epoch * EPOCH_MULTIPLIER)) % F.lit(MODULUS))
     for shift, multiplier in ROUNDS:
-        value = (value.bitwiseXOR(F.shiftright(value, shift)) * F.lit(multiplier)) % F.lit(MODULUS)
-    return value
+        df = df.withColumn(out, (F.col(out).bitwiseXOR(F.shiftright(out, shift)) * F.lit(multiplier)) % F.lit(MODULUS))
+    return df
 
 
 def shuffle_epoch(indexed: DataFrame, seed: int, epoch: int, train: str = "train") -> DataFrame:
     """`position` of each row in an epoch: shuffled for train, key order elsewhere.
 
-    The order value is spread evenly, so its high bits make 32,768 balanced
-    cells; a seed and an epoch always give the same order.
+    The order value is spread evenly, so its high bits make balanced cells; their
+    number follows the row count, about 2**16 rows each, under at most 2**20 parents.  A
+    seed and an epoch always give the same order.
     """
-    value = F.when(F.col("split") == train, shuffle_value(F.col("idx"), seed, epoch))
-    drawn = indexed.where(F.col("split") == train).withColumn("_h", value).withColumnRenamed("idx", "_idx")
-    levels = [[F.shiftright("_h", 16)]]
-    placed = ordered_index(drawn.drop("n_rows"), ["split"], ["_h", "_idx"], levels)
-    placed = placed.withColumnRenamed("idx", "position").withColumnRenamed("_idx", "idx")
+    bits = F.ceil(F.log2(F.greatest(F.col("n_rows") / CELL_ROWS, F.lit(1.0)))).cast("int")
+    drawn = with_shuffle_value(indexed.where(F.col("split") == train), "idx", seed, epoch)
+    drawn = drawn.withColumns({"_bits": bits, "_n": F.col("n_rows")})
+    drawn = drawn.withColumnRenamed("idx", "_idx").drop("n_rows")
+    levels = [["shiftright(_h, 62 - least(_bits, 20))"], ["shiftright(_h, 62 - _bits)"]]
+    placed = ordered_index(drawn, ["split"], ["_h", "_idx"], levels).drop("n_rows")
+    placed = placed.withColumnsRenamed({"idx": "position", "_idx": "idx", "_n": "n_rows"})
     kept = indexed.where(F.col("split") != train).withColumn("position", F.col("idx"))
     return placed.select(*indexed.columns, "position").unionByName(kept.select(*indexed.columns, "position"))
 

@@ -15,6 +15,7 @@ from corpusloom.functions.tokens import next_token_pairs, word_tokens
 from corpusloom.operators.lookup import keyed_lookup
 from corpusloom.operators.ordering import ordered_index
 from corpusloom.schemas import EOS_ID, FIRST_WORD_ID, UNK_ID
+from corpusloom.session import materialize
 
 EOS_TOKEN = ""      # no word is empty, so this cannot clash with a token
 
@@ -34,14 +35,15 @@ def _with_ids(pairs: DataFrame, vocab: DataFrame) -> DataFrame:
         names = vocab.select(F.col("token").alias(f"{side}_token"), F.col("id").alias(side))
         out = keyed_lookup(out, names, [f"{side}_token"])
         fallback = F.when(F.col(f"{side}_token") == EOS_TOKEN, EOS_ID).otherwise(UNK_ID)
-        out = out.withColumn(side, F.coalesce(side, fallback))
+        # written: the next lookup reads its input twice
+        out = materialize(out.withColumn(side, F.coalesce(side, fallback)), f"pairs-{side}")
     return out
 
 
 def bigram_counts(docs: DataFrame, vocab: DataFrame, text: str = "text") -> DataFrame:
     """(prev, next, n) by token id."""
     typed = pair_tokens(docs, text=text).groupBy("prev_token", "next_token").agg(F.count(F.lit(1)).alias("n"))
-    return _with_ids(typed, vocab).groupBy("prev", "next").agg(F.sum("n").alias("n"))
+    return _with_ids(materialize(typed, "pairs"), vocab).groupBy("prev", "next").agg(F.sum("n").alias("n"))
 
 
 def context_totals(bigrams: DataFrame) -> DataFrame:
@@ -68,7 +70,7 @@ def pair_types_scored(
 ) -> DataFrame:
     """Each distinct held-out token pair with its count and loss -ln p(next | prev)."""
     types = pair_tokens(held_out, text=text).groupBy("prev_token", "next_token").agg(F.count(F.lit(1)).alias("n_pairs"))
-    named = _with_ids(types, vocab)
+    named = _with_ids(materialize(types, "pairs"), vocab)
     scored = keyed_lookup(named.join(bigrams, ["prev", "next"], "left"), context_totals(bigrams), ["prev"])
     p = smoothed(F.coalesce("n", F.lit(0)), F.coalesce("context_n", F.lit(0)), size, k)
     return scored.select("prev_token", "next_token", "n_pairs", (-F.log(p)).alias("loss"))

@@ -19,12 +19,12 @@ from corpusloom.session import materialize
 Levels = Sequence[Sequence[str | Column]]      # strings are SQL expressions
 
 
-def integer_levels(*key: str, wide: bool = False) -> Levels:
+def integer_levels(*key: str, wide: bool = True) -> Levels:
     """Cell levels for an integer sort key of one or two columns.
 
-    At most 2**20 consecutive values share a cell.  Ids that count up leave
-    few cells (a million for 10**12 rows); for ids spread over the whole 64-bit
-    range, `wide` puts at most 2**20 cells under a parent.  A second column
+    At most 2**20 consecutive values share a cell, and at most 2**20 cells a parent,
+    so ids spread over the whole 64-bit range are fine.  `wide=False` leaves the parents
+    out, for ids known to count up (a million cells for 10**12 rows).  A second column
     splits each value of the first, so a hot leading value covers many cells.
     """
     lead = f"cast({key[0]} as bigint)"

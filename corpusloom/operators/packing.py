@@ -68,6 +68,8 @@ def pack_plan(
             F.lit(0).cast("bigint").alias("first_block"),
         )
     placed = placed.withColumn("pack_group", batch_group(F.col("idx"), F.col("n_rows"), batch_rows, shards))
+    # read by the groups and by the join to them
+    placed = materialize(placed, "placed-rows")
     groups = placed.groupBy(*by, "pack_group").agg(
         F.min("n_tokens_before").alias("_start"), F.sum("n_tokens").alias("group_tokens")
     )
@@ -93,15 +95,6 @@ def _level_columns(df: DataFrame, by: list[str], key: list[str]) -> list[str]:
     return [c for c in df.columns if c.startswith("cell") and c not in by and c not in key]
 
 
-def first_blocks(plan: DataFrame, n_blocks: int, block_length: int) -> DataFrame:
-    """The part of a plan that reaches the first `n_blocks` blocks of each `by`.
-
-    At most n_blocks * block_length rows per `by`, as every row has a token.
-    """
-    start = F.col("first_block") + int_div(F.col("token_offset"), block_length)
-    return plan.where((F.col("n_tokens") > 0) & (start < n_blocks))
-
-
 def pack_blocks(
     df: DataFrame,
     plan: DataFrame,

@@ -15,10 +15,10 @@ from corpusloom.session import materialize
 def number_steps(df: DataFrame, by: Sequence[str], time: str, tie: str) -> DataFrame:
     """`step`: dense position of each row in its run by time, ties by `tie`.
 
-    Cells are hours, so a run holding most of the rows is ordered in parallel
-    while a run has no more cells than hours.
+    Cells are hours and, inside them, seconds, so a run that holds most of the rows is
+    ordered in parallel even when all of them fall into one hour.
     """
-    levels = [[F.unix_date(F.col(time).cast("date")), F.hour(time)]]
+    levels = [[F.unix_date(F.col(time).cast("date")), F.hour(time)], [F.minute(time), F.second(time)]]
     return ordered_index(df, by, [time, tie], levels).withColumnRenamed("idx", "step").drop("n_rows")
 
 
@@ -40,13 +40,23 @@ def every_n(metrics: DataFrame, batch_idx: str, n: int, by: Sequence[str] = ("ru
     return last.select(*by, "_last.*").select(*metrics.columns)
 
 
-def early_stop(checks: DataFrame, patience: int, mode: str = "min", by: Sequence[str] = ("run",)) -> DataFrame:
-    """Where each run stops: the first check `patience` checks after the last improvement.
+def usable(value: str) -> Column:
+    """The value where it is a finite number, else null."""
+    wide = F.col(value).cast("double")
+    finite = ~F.isnan(wide) & (F.abs(wide) != float("inf"))
+    return F.when(finite, F.col(value))
+
 
-    `checks` has (by, step, value) with dense steps.  A check improves when it
-    beats every earlier one strictly.  Both scans (best so far, last
-    improvement) are two-level, so one long run is spread over many tasks.
-    Runs that never stop keep a null `stop_step` and their overall best.
+def early_stop(checks: DataFrame, patience: int, mode: str = "min", by: Sequence[str] = ("run",)) -> DataFrame:
+    """Where each run stops.
+
+    `checks` has (by, step, value) with dense steps from 0.  A check improves when it
+    is a finite number and beats every earlier one strictly.  A run stops at the first
+    check that is `patience` checks past the last improvement (or past the start, before
+    any), or that is NaN or infinite; a missing value waits like one that did not
+    improve.  Both scans (best so far, last improvement) are two-level, so one long run
+    is spread over many tasks.  Runs that never stop keep a null `stop_step` and their
+    overall best; without a usable check the best is null.
     """
     if mode not in ("min", "max"):
         raise ValueError(f"mode is 'min' or 'max', got {mode!r}")
@@ -54,39 +64,41 @@ def early_stop(checks: DataFrame, patience: int, mode: str = "min", by: Sequence
     lower = mode == "min"
     fn, pick = (F.min, F.least) if lower else (F.max, F.greatest)
     # read by both halves of the first scan; written, its lineage runs once
-    checks = materialize(checks.select(*by, "step", "value"), "checks")
-    seen = running(checks, by, "step", "value", fn, pick, "_best")
-    better = F.col("value") < F.col("_best") if lower else F.col("value") > F.col("_best")
-    improved = F.col("_best").isNull() | better
+    checks = materialize(checks.select(*by, "step", "value", usable("value").alias("_value")), "checks")
+    seen = running(checks, by, "step", "_value", fn, pick, "_best")
+    better = F.col("_value") < F.col("_best") if lower else F.col("_value") > F.col("_best")
+    improved = F.col("_value").isNotNull() & (F.col("_best").isNull() | better)
     marked = seen.withColumn("_improved", F.when(improved, F.col("step")))
     placed = running(marked, by, "step", "_improved", F.max, F.greatest, "_last", include_current=True)
-    stop = F.when(F.col("step") - F.col("_last") >= patience, F.col("step"))
+    broken = F.col("value").isNotNull() & F.col("_value").isNull()
+    waited = F.col("step") - F.coalesce("_last", F.lit(-1)) >= patience
+    stop = F.when(broken | waited, F.col("step"))
     stops = placed.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_checks"),
         F.min(stop).alias("stop_step"),
-        F.min_by("_best", stop).alias("_best_at_stop"),
+        F.min_by(F.struct("_last", "_best"), stop).alias("_at_stop"),
         F.max("_last").alias("_final_step"),
-        fn("value").alias("_final_best"),
+        fn("_value").alias("_final_best"),
     )
-    # the wait grows by one per check, so the best before a stop is `patience` back
+    stopped = F.col("stop_step").isNotNull()
     return stops.select(
         *by,
         "n_checks",
         "stop_step",
-        F.coalesce(F.col("stop_step") - patience, F.col("_final_step")).alias("best_step"),
-        F.coalesce("_best_at_stop", "_final_best").alias("best_value"),
+        F.when(stopped, F.col("_at_stop._last")).otherwise(F.col("_final_step")).alias("best_step"),
+        F.when(stopped, F.col("_at_stop._best")).otherwise(F.col("_final_best")).alias("best_value"),
     )
 
 
 def best_checkpoints(checks: DataFrame, k: int, mode: str = "min", by: Sequence[str] = ("run",)) -> DataFrame:
-    """The k best checks per run, ties to the earlier step.
+    """The k best checks per run, ties to the earlier step; missing and non-finite values are never kept.
 
     The rank filter runs before the shuffle as well, so each task sends at most
     k rows per run.
     """
     order = F.col("value").asc() if mode == "min" else F.col("value").desc()
     rank = F.row_number().over(Window.partitionBy(*by).orderBy(order, "step"))
-    return checks.withColumn("checkpoint_rank", rank).where(F.col("checkpoint_rank") <= k)
+    return checks.where(usable("value").isNotNull()).withColumn("checkpoint_rank", rank).where(F.col("checkpoint_rank") <= k)
 
 
 def job_tally(jobs: DataFrame, by: Sequence[str], ok: Column) -> DataFrame:

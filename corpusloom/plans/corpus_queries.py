@@ -52,11 +52,12 @@ def stage_select(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scan_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A mirror folder holding Parquet next to other files; only Parquet is read."""
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars")
+    """A mirror with other files in its data folder and other Parquet beside it; neither is read."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars", "text")
     folder = scratch_path(spark, "mirror")
     docs.write.parquet(f"{folder}/data")
-    docs.select("source").distinct().write.text(f"{folder}/notes")
+    docs.limit(1).write.parquet(f"{folder}/other")
+    docs.select("source").distinct().write.text(f"{folder}/data/notes")
     return store.scan_glob(spark, folder, "*.parquet", docs.schema)
 
 

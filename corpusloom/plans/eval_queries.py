@@ -11,8 +11,9 @@ from corpusloom.operators import inference, losses, ngram, runs
 from corpusloom.plans import fixtures as fx
 from corpusloom.plans.token_queries import text_documents, train_vocab
 from corpusloom.schemas import BATCH_SIZE
-from corpusloom.session import materialize
-from corpusloom.sources.corpora import read_table, with_split
+from corpusloom.session import materialize, scratch_path
+from corpusloom.sources import store
+from corpusloom.sources.corpora import read_table
 
 # Parameters of the registered queries.
 SMOOTHING = 0.1
@@ -24,7 +25,7 @@ LOG_EVERY = 5
 
 
 def _batch_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = read_table(spark, sf_dir, "embeddings").withColumn("batch_id", int_div(F.col("vec_id"), BATCH_SIZE))
+    table = fx.logits(spark, sf_dir).withColumn("batch_id", int_div(F.col("vec_id"), BATCH_SIZE))
     rows = losses.row_losses(table, "embedding", "label", fx.LOGIT_IGNORE, ["batch_id"])
     return losses.batch_losses(rows, ["batch_id"])
 
@@ -141,12 +142,12 @@ def map_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def batch_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents").join(read_table(spark, sf_dir, "labels"), "doc_id")
+    docs = read_table(spark, sf_dir, "documents").join(read_table(spark, sf_dir, "labels"), "doc_id", "left")
     docs = docs.select("doc_id", "text", F.col("quality").alias("labels"))
     return inference.predict(docs, lambda: lambda texts: texts.str.len(), "text", "bigint").drop("text")
 
 
-def predict_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _generate(docs: DataFrame, step: int) -> DataFrame:
     def load():
         def generate(doc_id: int, prompt: str) -> str:
             if doc_id % 19 == 0:
@@ -155,16 +156,44 @@ def predict_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
         return generate
 
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("prompt"))
-    return inference.predict_safe(docs, load, "doc_id", F.lit(0))
+    return inference.predict_safe(docs, load, "doc_id", F.lit(step))
+
+
+def _prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("prompt"))
+
+
+def predict_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _generate(_prompts(spark, sf_dir), 0)
+
+
+def generation_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Generations of two steps appended to one log, read back."""
+    path = scratch_path(spark, "generations")
+    for step in (10, 20):
+        rows = _generate(_prompts(spark, sf_dir), step)
+        store.append_log(rows.select("global_step", "prompt", "generated_text"), path)
+    return spark.read.parquet(path)
+
+
+def metric_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Step metrics and epoch means appended to one log, read back."""
+    path, steps = scratch_path(spark, "metric-log"), fx.metrics(spark, sf_dir)
+    store.append_log(steps.select("run", "step", "name", "value"), path)
+    means = runs.epoch_means(steps, "batch_rows")
+    last = ((F.col("epoch") + 1) * fx.STEPS_PER_EPOCH - 1).alias("step")
+    store.append_log(means.select("run", last, F.concat("name", F.lit("_epoch")).alias("name"), F.round("mean_value", 6).alias("value")), path)
+    return spark.read.parquet(path)
 
 
 def classify_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents").join(read_table(spark, sf_dir, "labels"), "doc_id")
-    docs = with_split(docs.select("doc_id", "text", F.col("quality").cast("double").alias("label")), "doc_id")
-    train = docs.where(F.col("split") == "train")
-    found = inference.classify(train, docs, "label")
-    return found.select("doc_id", "split", "label", F.round("logit", 6).alias("logit"), "prediction")
+    """Fit on the labelled training documents, score every document."""
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    docs = text_documents(spark, sf_dir).join(labels, "doc_id", "left")
+    train = docs.where((F.col("split") == "train") & F.col("label").isNotNull())
+    scored, classes = inference.classify(train, docs, "doc_id", "label")
+    logits = [F.round(F.get("logits", F.lit(i)), 4).alias(f"logit_{c}") for i, c in enumerate(classes)]
+    return docs.select("doc_id", "split", "label").join(scored, "doc_id").select("doc_id", "split", "label", *logits, "prediction")
 
 
 QUERIES = {
@@ -186,5 +215,7 @@ QUERIES = {
     "map_batches": map_batches,
     "batch_predict": batch_predict,
     "predict_safe": predict_safe,
+    "generation_log": generation_log,
+    "metric_log": metric_log,
     "classify_docs": classify_docs,
 }

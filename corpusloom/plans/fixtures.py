@@ -64,13 +64,21 @@ def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as validation checks: one series per user and event type."""
+    """Events as validation checks: one series per user and event type; some are missing or no number."""
+    number = F.when(F.col("event_id") % 97 == 0, F.lit(float("nan"))).when(F.col("event_id") % 89 == 0, F.lit(float("-inf")))
+    value = F.when(F.col("event_id") % 83 != 0, F.coalesce(number, F.col("value")))
     events = read_table(spark, sf_dir, "events").select(
-        F.col("user_id").alias("run"), F.col("event_type").alias("name"), "ts", "event_id", "value"
+        F.col("user_id").alias("run"), F.col("event_type").alias("name"), "ts", "event_id", value.alias("value")
     )
     return number_steps(events, ["run", "name"], "ts", "event_id").select("run", "name", "step", "value")
 
 
+def logits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings as logits; every 101st target is outside them, every 103rd unknown."""
+    target = F.when(F.col("vec_id") % 101 == 0, F.lit(1_000_000)).when(F.col("vec_id") % 103 != 0, F.col("label"))
+    return read_table(spark, sf_dir, "embeddings").withColumn("label", target)
+
+
 def files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as repository files; every 11th size is unknown."""
     docs = read_table(spark, sf_dir, "documents")

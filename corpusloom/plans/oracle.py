@@ -37,6 +37,24 @@ REPR = (
 )
 
 
+def _shuffled(source: str, key: str, seed: int = 42, epoch: int = 1) -> str:
+    """`drawn`: the rows of `source` with the two halves h and l of their shuffle order."""
+    steps, at = [], source
+
+    def mix(out: str, value: str, salt: int) -> None:
+        nonlocal at
+        forms = [f"(({value}) * 2654435761 + {salt * 40503 + epoch * 69069}) % 2147483648"]
+        forms += [f"(xor({out}, {out} >> {shift}) * {factor}) % 2147483648" for shift, factor in ((15, 2246822519), (13, 3266489917))]
+        for i, form in enumerate(forms):
+            steps.append(f"{out}{i} AS (SELECT {'*, ' if i == 0 else '* REPLACE ('}{form} AS {out}{'' if i == 0 else ')'} FROM {at})")
+            at = f"{out}{i}"
+
+    mix("u", f"{key} // 2147483648", seed)
+    mix("h", f"({key} % 2147483648 + u) % 2147483648", seed)
+    mix("l", f"({key} // 2147483648 + h) % 2147483648", seed + 1)
+    return ",\n".join([*steps, f"drawn AS (SELECT * FROM {at})"])
+
+
 def _pack(group: str) -> str:
     """One row per byte token, numbered inside its group and cut every 128."""
     return DOCS + f""",
@@ -104,13 +122,16 @@ METRICS = """log AS (SELECT user_id AS run, event_type AS name, value, 1 + event
   row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS step FROM events),
 metrics AS (SELECT *, step // 20 AS epoch, step % 20 AS batch_idx FROM log)"""
 
-CHECKS = """checks AS (SELECT user_id AS run, event_type AS name, value,
+CHECKS = """checks AS (SELECT user_id AS run, event_type AS name,
+  CASE WHEN event_id % 83 <> 0 THEN CASE WHEN event_id % 97 = 0 THEN 'nan'::DOUBLE WHEN event_id % 89 = 0 THEN '-inf'::DOUBLE ELSE value END END AS value,
   row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) - 1 AS step FROM events)"""
 
-LOSSES = """e AS (SELECT vec_id // 4 AS batch_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS z FROM embeddings),
-l AS (SELECT batch_id, CASE WHEN label <> 9 THEN
+LOSSES = """e AS (SELECT vec_id // 4 AS batch_id, CASE WHEN vec_id % 101 = 0 THEN 1000000 WHEN vec_id % 103 <> 0 THEN label END AS label, list_transform(embedding, lambda x: x::DOUBLE) AS z FROM embeddings),
+l AS (SELECT batch_id, label IS DISTINCT FROM 9 AND NOT coalesce(label BETWEEN 0 AND len(z) - 1, false) AS bad,
+  CASE WHEN label <> 9 AND label BETWEEN 0 AND len(z) - 1 THEN
   list_max(z) + ln(list_sum(list_transform(z, lambda x: exp(x - list_max(z))))) - z[label + 1] END AS loss FROM e),
-batches AS (SELECT batch_id, count(*) AS n_rows, count(loss) AS n_scored, avg(loss) AS loss FROM l GROUP BY batch_id)"""
+batches AS (SELECT batch_id, count(*) AS n_rows, count(loss) AS n_scored, count(*) FILTER (bad) AS n_bad,
+  avg(loss) AS loss FROM l GROUP BY batch_id)"""
 
 FILES = "files AS (SELECT source AS repo, CASE WHEN doc_id % 11 <> 0 THEN n_chars END AS size FROM documents)"
 REPOS = FILES + """,
@@ -134,7 +155,7 @@ CORPUS_SQL = {
     "split_counts": f"WITH {CORPORA} SELECT dataset, split, count(*) AS n_rows FROM corpora GROUP BY dataset, split",
     "stage_totals": f"WITH {CORPORA} SELECT split, count(DISTINCT dataset) AS n_sources, count(*) AS n_rows FROM corpora GROUP BY split",
     "stage_select": f"WITH {CORPORA} SELECT dataset, split, key1, key2 FROM corpora WHERE split IN ('train', 'validation')",
-    "scan_glob": "SELECT doc_id, source, n_chars FROM documents",
+    "scan_glob": "SELECT doc_id, source, n_chars, text FROM documents",
     "cache_counts": f"WITH {CORPORA} SELECT dataset, split, count(*) AS n_rows FROM corpora GROUP BY dataset, split",
     "text_resolve": "SELECT page_id, 'url' AS text_column, url AS text FROM pages",
     "text_coalesce": "SELECT page_id, CASE WHEN page_id % 7 = 0 THEN html ELSE url END AS text FROM pages",
@@ -176,11 +197,9 @@ SELECT dataset, sample, key1, key2, text FROM (SELECT *,
   row_number() OVER (PARTITION BY dataset ORDER BY key1, key2)::INT AS sample FROM usable) WHERE sample <= 3""",
     "concat_sources": f"WITH {CONCAT} SELECT split, dataset, key1, key2, idx, n_rows FROM concat_rows",
     "shuffle_epoch": f"""WITH {CONCAT},
-h0 AS (SELECT *, (idx * 2654435761 + 42 * 40503 + 1 * 69069) % 2147483648 AS h FROM concat_rows),
-h1 AS (SELECT * REPLACE ((xor(h, h >> 15) * 2246822519) % 2147483648 AS h) FROM h0),
-h2 AS (SELECT * REPLACE ((xor(h, h >> 13) * 3266489917) % 2147483648 AS h) FROM h1)
+{_shuffled('concat_rows', 'idx')}
 SELECT split, dataset, key1, key2, idx, row_number() OVER (
-  PARTITION BY split ORDER BY CASE WHEN split = 'train' THEN h ELSE idx END, idx) - 1 AS position FROM h2""",
+  PARTITION BY split ORDER BY CASE WHEN split = 'train' THEN h END, CASE WHEN split = 'train' THEN l END, idx) - 1 AS position FROM drawn""",
     "batch_assign": f"""WITH {CONCAT} SELECT split, idx, dataset, key1, key2, idx // 4 AS batch_id, idx % 4 AS batch_pos FROM concat_rows""",
     "rank_plan": f"""WITH {CONCAT}, slots AS (SELECT split, idx,
   unnest(range(idx, ((n_rows + 1) // 2) * 2, n_rows)) AS slot FROM concat_rows)
@@ -190,7 +209,6 @@ SELECT split, slot, idx, slot % 2 AS rank, (slot // 2) // 4 AS micro_batch, ((sl
 TOKEN_SQL = {
     "encode_byte": f"SELECT doc_id, {JOINED.format(ids=BYTES)} AS input_ids FROM documents",
     "append_eos": f"WITH {BLANKED} SELECT doc_id, array_to_string(list_concat({BYTES}, [256]), ' ') AS input_ids FROM blanked",
-    "encode_pluggable": f"SELECT doc_id, array_to_string(list_concat({BYTES}, [256]), ' ') AS input_ids FROM documents",
     "word_tokens": f"SELECT doc_id, len({WORDS})::INT AS n_tokens, array_to_string({WORDS}, ' ') AS tokens FROM documents",
     "vocab_build": f"WITH {VOCAB} SELECT token, n, id FROM vocab",
     "encode_word": f"""WITH {ENCODED} SELECT d.doc_id, count(p)::INT AS n_tokens,
@@ -241,7 +259,7 @@ SELECT dataset, sample, CASE WHEN length(text) > 103 THEN substring(text, 1, 100
 }
 
 EVAL_SQL = {
-    "masked_xent": f"WITH {LOSSES} SELECT batch_id, n_rows, n_scored, round(loss, 6) AS loss FROM batches",
+    "masked_xent": f"WITH {LOSSES} SELECT batch_id, n_rows, n_scored, n_bad, round(loss, 6) AS loss FROM batches",
     "perplexity": f"""WITH {LOSSES} SELECT count(loss) AS n_batches, round(avg(loss), 6) AS mean_loss,
   round(avg(exp(loss)), 6) AS mean_of_exp, round(exp(avg(loss)), 6) AS exp_of_mean FROM batches""",
     "metric_epoch": f"""WITH {METRICS} SELECT run, epoch, name, count(*) AS n_steps, arg_max(value, step) AS last_value,
@@ -250,15 +268,17 @@ EVAL_SQL = {
     "every_n_epoch_end": f"""WITH {METRICS} SELECT run, epoch, batch_idx, step, name, value FROM metrics
 QUALIFY row_number() OVER (PARTITION BY run, epoch ORDER BY batch_idx DESC) = 1""",
     "early_stop": f"""WITH {CHECKS},
-a AS (SELECT *, min(value) OVER (PARTITION BY run, name ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best FROM checks),
-b AS (SELECT *, max(CASE WHEN best IS NULL OR value < best THEN step END) OVER (PARTITION BY run, name ORDER BY step) AS hit FROM a),
-s AS (SELECT run, name, count(*) AS n_checks, min(CASE WHEN step - hit >= 3 THEN step END) AS stop_step FROM b GROUP BY run, name),
-r AS (SELECT s.*, c.step AS best_step, c.value AS best_value,
-  row_number() OVER (PARTITION BY s.run, s.name ORDER BY c.value, c.step) AS k
-  FROM s JOIN checks c ON s.run = c.run AND s.name = c.name AND c.step <= coalesce(s.stop_step, c.step))
-SELECT run, name, n_checks, stop_step, best_step, best_value FROM r WHERE k = 1""",
+u AS (SELECT *, CASE WHEN isfinite(value) THEN value END AS ok FROM checks),
+a AS (SELECT *, min(ok) OVER (PARTITION BY run, name ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best FROM u),
+b AS (SELECT *, max(CASE WHEN ok IS NOT NULL AND (best IS NULL OR ok < best) THEN step END) OVER (PARTITION BY run, name ORDER BY step) AS hit FROM a),
+s AS (SELECT run, name, count(*) AS n_checks,
+  min(CASE WHEN step - coalesce(hit, -1) >= 3 OR (value IS NOT NULL AND ok IS NULL) THEN step END) AS stop_step FROM b GROUP BY run, name),
+r AS (SELECT s.run, s.name, c.step, c.ok, row_number() OVER (PARTITION BY s.run, s.name ORDER BY c.ok, c.step) AS k
+  FROM s JOIN u c ON s.run = c.run AND s.name = c.name AND c.step <= coalesce(s.stop_step, c.step) WHERE c.ok IS NOT NULL)
+SELECT s.run, s.name, n_checks, stop_step, r.step AS best_step, r.ok AS best_value
+FROM s LEFT JOIN r ON r.run = s.run AND r.name = s.name AND k = 1""",
     "best_checkpoints": f"""WITH {CHECKS} SELECT * FROM (SELECT run, name, step, value,
-  row_number() OVER (PARTITION BY run, name ORDER BY value, step)::INT AS checkpoint_rank FROM checks) WHERE checkpoint_rank <= 2""",
+  row_number() OVER (PARTITION BY run, name ORDER BY value, step)::INT AS checkpoint_rank FROM checks WHERE isfinite(value)) WHERE checkpoint_rank <= 2""",
     "job_tally": """SELECT user_id, count(*) FILTER (event_type <> 'error') AS n_ok,
   count(*) FILTER (event_type = 'error') AS n_failed FROM events GROUP BY user_id""",
     "bigram_counts": f"""WITH {BIGRAMS} SELECT prev, next, n, context_n,
@@ -287,11 +307,17 @@ LEFT JOIN vocab nv ON nv.id = best.next""",
 FROM (SELECT vec_id, (generate_subscripts(embedding, 1) - 1)::INT AS pos, unnest(embedding)::DOUBLE AS s FROM embeddings)""",
     "map_batches": """SELECT doc_id, generate_subscripts(w, 1) - 1 AS line_no, length(unnest(w)) AS n_chars
 FROM (SELECT doc_id, string_split(text, chr(10)) AS w FROM documents)""",
-    "batch_predict": "SELECT doc_id, length(text) AS prediction FROM documents JOIN labels USING (doc_id)",
+    "batch_predict": "SELECT doc_id, length(text) AS prediction FROM documents",
     "predict_safe": """SELECT doc_id, 0::BIGINT AS global_step, text AS prompt, CASE WHEN doc_id % 19 = 0
   THEN 'GENERATION FAILED: no output for ' || doc_id ELSE length(text) || ' characters' END AS generated_text FROM documents""",
 }
 
+EVAL_SQL["generation_log"] = f"""SELECT step AS global_step, prompt, generated_text
+FROM ({EVAL_SQL['predict_safe']}), (VALUES (10::BIGINT), (20)) AS s(step)"""
+EVAL_SQL["metric_log"] = f"""WITH {METRICS} SELECT run, step, name, value FROM metrics
+UNION ALL SELECT run, (epoch + 1) * 20 - 1, name || '_epoch', round(sum(value * batch_rows) / sum(batch_rows), 6)
+FROM metrics GROUP BY run, epoch, name"""
+
 # slices of multi_slice, packed per (dataset, split) in batches of 100 rows
 _SLICED = f"""{CORPORA}, ranked AS (SELECT *,
   row_number() OVER (PARTITION BY dataset, split ORDER BY key1, key2) - 1 AS r,
@@ -308,13 +334,26 @@ cut AS (SELECT dataset, source_ord, split, g, o // 128 AS b, string_agg(id::VARC
 blocks AS (SELECT *, row_number() OVER (PARTITION BY dataset, split ORDER BY g, b) - 1 AS block_id FROM cut),
 together AS (SELECT *, row_number() OVER (PARTITION BY split ORDER BY source_ord, block_id) - 1 AS i,
   count(*) OVER (PARTITION BY split) AS n FROM blocks),
-h0 AS (SELECT *, (i * 2654435761 + 42 * 40503 + 1 * 69069) % 2147483648 AS h FROM together),
-h1 AS (SELECT * REPLACE ((xor(h, h >> 15) * 2246822519) % 2147483648 AS h) FROM h0),
-h2 AS (SELECT * REPLACE ((xor(h, h >> 13) * 3266489917) % 2147483648 AS h) FROM h1),
-placed AS (SELECT *, row_number() OVER (PARTITION BY split ORDER BY CASE WHEN split = 'train' THEN h ELSE i END, i) - 1 AS place FROM h2),
+{_shuffled('together', 'i')},
+placed AS (SELECT *, row_number() OVER (PARTITION BY split
+  ORDER BY CASE WHEN split = 'train' THEN h END, CASE WHEN split = 'train' THEN l END, i) - 1 AS place FROM drawn),
 slots AS (SELECT *, unnest(range(place, ((n + 1) // 2) * 2, n)) AS slot FROM placed)"""
 
 TOKEN_SQL["rank_export"] = f"""WITH {_SLICED} SELECT split, slot, slot % 2 AS rank, (slot // 2) // 4 AS micro_batch,
   ((slot // 2) // 4) // 2 AS opt_step, dataset, block_id, input_ids FROM slots"""
 
+TOKEN_SQL["rank_export_no_eos"] = TOKEN_SQL["rank_export"].replace(f"list_concat({BYTES}, [256])", BYTES)
+
+EVAL_SQL["classify_docs"] = f"""WITH {DOCS},
+y AS (SELECT docs.doc_id, split, quality, {WORDS} AS w FROM docs LEFT JOIN labels USING (doc_id)),
+tr AS (SELECT * FROM y WHERE split = 'train' AND quality IS NOT NULL),
+prior AS (SELECT ln(count(*) FILTER (quality = 0) / count(*)::DOUBLE) AS p0, ln(count(*) FILTER (quality = 1) / count(*)::DOUBLE) AS p1 FROM tr),
+cnt AS (SELECT token, count(*) FILTER (quality = 0) AS n0, count(*) FILTER (quality = 1) AS n1
+  FROM (SELECT quality, unnest(w) AS token FROM tr) GROUP BY token),
+tot AS (SELECT count(*) AS v, sum(n0) AS t0, sum(n1) AS t1 FROM cnt),
+ll AS (SELECT token, ln((n0 + 1) / (t0 + v)::DOUBLE) AS l0, ln((n1 + 1) / (t1 + v)::DOUBLE) AS l1 FROM cnt CROSS JOIN tot),
+s AS (SELECT doc_id, sum(l0) AS s0, sum(l1) AS s1 FROM (SELECT doc_id, unnest(w) AS token FROM y) JOIN ll USING (token) GROUP BY doc_id)
+SELECT y.doc_id, split, quality AS label, round(coalesce(s0, 0) + p0, 4) AS logit_0, round(coalesce(s1, 0) + p1, 4) AS logit_1,
+  CASE WHEN coalesce(s1, 0) + p1 > coalesce(s0, 0) + p0 THEN 1 ELSE 0 END AS prediction FROM y LEFT JOIN s USING (doc_id) CROSS JOIN prior"""
+
 ORACLE_SQL = {**CORPUS_SQL, **TOKEN_SQL, **EVAL_SQL}

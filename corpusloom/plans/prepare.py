@@ -21,7 +21,7 @@ from corpusloom.operators.slicing import multi_slice
 from corpusloom.schemas import BLOCK_LENGTH, BYTE_EOS, PACK_BATCH_ROWS, PACKED_COLUMNS
 from corpusloom.sources.corpora import CORPORA, CORPUS_CELLS, CORPUS_KEY, STAGE_SPLITS, Corpus, split_names
 from corpusloom.sources.naming import parse_slice, storage_key, tokenizer_id
-from corpusloom.sources.store import path_exists
+from corpusloom.sources.store import as_export, path_exists
 
 PLAN_SCHEMA = "dataset string, source_ord int, split string, start double, end double, storage_key string"
 MANIFEST_SCHEMA = T.StructType(
@@ -33,13 +33,13 @@ MANIFEST_SCHEMA = T.StructType(
     ]
 )
 
-# rows with text -> rows with text or ids, token column, token count column
-Tokenize = Callable[[DataFrame], tuple[DataFrame, Column, Column]]
+# (rows with text, whether documents end in a mark) -> rows with text or ids, token column, token count column
+Tokenize = Callable[[DataFrame, bool], tuple[DataFrame, Column, Column]]
 
 
-def by_bytes(rows: DataFrame) -> tuple[DataFrame, Column, Column]:
+def by_bytes(rows: DataFrame, eos: bool) -> tuple[DataFrame, Column, Column]:
     text = F.col("text")
-    return rows, tok.append_eos(tok.byte_tokens(text), BYTE_EOS), tok.byte_count(text) + 1
+    return rows, tok.append_eos(tok.byte_tokens(text), BYTE_EOS if eos else None), tok.byte_count(text) + int(eos)
 
 
 @dataclass(frozen=True)
@@ -56,7 +56,7 @@ class Packing:
 
     def settings(self) -> dict[str, object]:
         return {
-            "tokenizer": tokenizer_id(self.tokenizer),
+            "tokenizer": [tokenizer_id(self.tokenizer), f"{self.tokenize.__module__}.{self.tokenize.__qualname__}"],
             "length": self.block_length,
             "eos": self.eos,
             "scope": self.scope,
@@ -75,6 +75,9 @@ def run_plan(
         raise KeyError(f"unregistered datasets {unknown}; registered: {sorted(known)}")
     rows = []
     for name, options in run_config.items():
+        strange = sorted(set(options or {}) - {"train_slice"})
+        if strange:
+            raise KeyError(f"unknown options {strange} of dataset {name!r}; known: ['train_slice']")
         order, corpus = known[name]
         for split, part in split_names(corpus, parse_slice((options or {}).get("train_slice"))).items():
             start, end = part or (None, None)
@@ -105,7 +108,7 @@ def prepare(spark: SparkSession, rows: DataFrame, plan: DataFrame, root: str, pa
         return 0
     todo = spark.createDataFrame(names, "dataset string, split string, start double, end double, storage_key string")
     sliced = multi_slice(rows, todo.drop("storage_key"), CORPUS_KEY, CORPUS_CELLS)
-    documents, ids, count = packing.tokenize(sliced)
+    documents, ids, count = packing.tokenize(sliced, packing.eos)
     by = ["dataset", "split"]
     placed = pack_plan(
         documents, by, CORPUS_KEY, CORPUS_CELLS, count, packing.block_length, packing.scope, packing.batch_rows, packing.shards
@@ -113,11 +116,13 @@ def prepare(spark: SparkSession, rows: DataFrame, plan: DataFrame, root: str, pa
     blocks = pack_blocks(documents, placed, by, CORPUS_KEY, ids, packing.block_length)
     blocks = blocks.join(F.broadcast(todo.select(*by, "storage_key")), by)
     path = f"{root}/blocks"
-    blocks.select("block_id", "pack_group", *PACKED_COLUMNS, "storage_key").write.mode("overwrite").option(
+    blocks = blocks.select("block_id", "pack_group", *PACKED_COLUMNS, "storage_key")
+    blocks.repartitionByRange("storage_key", "block_id").sortWithinPartitions("storage_key", "block_id").write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy("storage_key").parquet(path)
     if path_exists(spark, path) and any(path_exists(spark, f"{path}/storage_key={r.storage_key}") for r in names):
-        stored = spark.read.parquet(path).groupBy("storage_key").agg(F.count(F.lit(1)).alias("n_blocks"))
+        fresh = F.col("storage_key").isin(*[r.storage_key for r in names])
+        stored = spark.read.parquet(path).where(fresh).groupBy("storage_key").agg(F.count(F.lit(1)).alias("n_blocks"))
     else:
         stored = spark.createDataFrame([], "storage_key string, n_blocks bigint")
     done = todo.join(stored, "storage_key", "left").select(
@@ -151,17 +156,20 @@ def open_stage(spark: SparkSession, plan: DataFrame, root: str, stage: str | Non
 def order_for_epoch(blocks: DataFrame, seed: int, epoch: int, world: int, batch_size: int, accumulate: int) -> DataFrame:
     """Rank, micro-batch and optimizer step of every block in an epoch.
 
-    Only the blocks' keys are ordered; the arrays join at the end.
+    Only the blocks' keys are ordered; the ids join at the end.  Labels and mask follow
+    from the ids and are made at `export`.
     """
     keys = blocks.select("split", "source_ord", "block_id")
     levels = [["shiftright(block_id, 20)"]]
     indexed = mixing.concat_index(keys, ["block_id"], levels)
     shuffled = mixing.shuffle_epoch(indexed, seed, epoch).drop("idx").withColumnRenamed("position", "idx")
     slots = mixing.rank_plan(shuffled, world, batch_size, accumulate).drop("n_rows", "idx")
-    return blocks.join(slots.hint("shuffle_hash"), ["split", "source_ord", "block_id"])
+    return blocks.drop("labels", "attention_mask").join(slots.hint("shuffle_hash"), ["split", "source_ord", "block_id"])
 
 
 def export(ordered: DataFrame, path: str) -> None:
-    """Write an epoch for trainers: a folder per split and rank, files in slot order."""
+    """Write an epoch for trainers: a folder per split and rank, files in slot order, 64-bit arrays."""
     rows = ordered.repartitionByRange("split", "rank", "slot").sortWithinPartitions("split", "rank", "slot")
+    ids = F.col("input_ids")
+    rows = as_export(rows.withColumns({"labels": ids, "attention_mask": F.array_repeat(F.lit(1), F.size(ids))}))
     rows.write.partitionBy("split", "rank").parquet(path)

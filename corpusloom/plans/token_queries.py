@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,14 +10,13 @@ from corpusloom.functions import tokens as tok
 from corpusloom.functions.arith import int_div
 from corpusloom.functions.text import drop_blank, preview
 from corpusloom.operators import packing
-from corpusloom.operators.inference import encode_with
 from corpusloom.operators.ordering import ordered_index
 from corpusloom.operators.slicing import first_rows
 from corpusloom.operators.vocab import build_vocab, decode_words, encode_words
 from corpusloom.plans import fixtures as fx
 from corpusloom.plans import prepare as prep
 from corpusloom.schemas import BATCH_SIZE, BLOCK_LENGTH, BYTE_EOS, EOS_ID, PACKED_COLUMNS
-from corpusloom.session import scratch_path, spread
+from corpusloom.session import scratch_path
 from corpusloom.sources import store
 from corpusloom.sources.corpora import CORPUS_KEY, read_table, scan_corpora
 from corpusloom.streaming import ingest
@@ -41,7 +38,7 @@ def as_text(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def text_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(fx.documents(spark, sf_dir).select("split", "doc_id", "text"), "doc_id")
+    return fx.documents(spark, sf_dir).select("split", "doc_id", "text")
 
 
 def encode_byte(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,26 +47,10 @@ def encode_byte(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def append_eos(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread(fx.blanked_documents(spark, sf_dir), "doc_id")
+    docs = fx.blanked_documents(spark, sf_dir)
     return as_text(docs.select("doc_id", byte_ids().alias("input_ids")), "input_ids")
 
 
-def encode_pluggable(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A tokenizer given as JSON: no merges, every character falls back to its bytes."""
-    vocab = {f"<0x{b:02X}>": b for b in range(256)}
-    model = {
-        "type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None,
-        "end_of_word_suffix": None, "fuse_unk": False, "byte_fallback": True, "ignore_merges": False,
-        "vocab": vocab, "merges": [],
-    }
-    spec = {
-        "version": "1.0", "truncation": None, "padding": None, "added_tokens": [], "normalizer": None,
-        "pre_tokenizer": None, "post_processor": None, "decoder": None, "model": model,
-    }
-    docs = text_documents(spark, sf_dir)
-    return as_text(encode_with(docs, ["doc_id"], "text", json.dumps(spec), BYTE_EOS), "input_ids")
-
-
 def word_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = tok.word_tokens(F.col("text"))
     docs = text_documents(spark, sf_dir).select("doc_id", words.alias("tokens"))
@@ -77,8 +58,7 @@ def word_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def train_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = fx.documents(spark, sf_dir).select("split", "doc_id", "text")
-    return build_vocab(spread(docs.where(F.col("split") == "train"), "doc_id"))
+    return build_vocab(text_documents(spark, sf_dir).where(F.col("split") == "train"))
 
 
 def vocab_build(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,7 +91,7 @@ def next_token_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def padded(spark: SparkSession, sf_dir: str, extra: list[str] | None = None) -> DataFrame:
     """Right-padded byte rows of the documents, pad = EOS."""
     docs = text_documents(spark, sf_dir)
-    rows = docs.select("doc_id", *(extra or []), tok.byte_tokens(F.col("text")).alias("_ids"))
+    rows = docs.select("doc_id", *(extra or []), tok.first_byte_tokens(F.col("text"), BLOCK_LENGTH).alias("_ids"))
     return rows.select(
         "doc_id",
         *(extra or []),
@@ -125,7 +105,7 @@ def pad_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pad_left(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = text_documents(spark, sf_dir).select("doc_id", tok.byte_tokens(F.col("text")).alias("_ids"))
+    docs = text_documents(spark, sf_dir).select("doc_id", tok.first_byte_tokens(F.col("text"), BLOCK_LENGTH).alias("_ids"))
     rows = docs.select(
         "doc_id",
         tok.pad_left(F.col("_ids"), BLOCK_LENGTH, BYTE_EOS).alias("input_ids"),
@@ -204,14 +184,13 @@ def packed_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def peek_packed(spark: SparkSession, sf_dir: str, n_blocks: int = 3) -> DataFrame:
-    """First three training blocks: both ends and the readable form."""
-    docs = fx.documents(spark, sf_dir).select("split", "doc_id", "text").where(F.col("split") == "train")
-    plan = packing.pack_plan(
-        docs, ["split"], fx.DOC_KEY, fx.DOC_LEVELS, byte_length(), BLOCK_LENGTH, "batch", fx.PACK_ROWS
-    )
-    head = packing.first_blocks(plan, n_blocks, BLOCK_LENGTH)
-    packed = packing.pack_blocks(docs, head, ["split"], fx.DOC_KEY, byte_ids(), BLOCK_LENGTH, "broadcast")
-    return packed.where(F.col("block_id") < n_blocks).select(
+    """First three training blocks of the stored documents: both ends and the readable form.
+
+    The store is sorted by block, so the filter skips whole files and row groups.
+    """
+    path = scratch_path(spark, "packed")
+    store.write_packed(packed_documents(spark, sf_dir).withColumn("dataset", F.lit("documents")), path)
+    return store.read_packed(spark, path, "train").where(F.col("block_id") < n_blocks).select(
         "block_id",
         tok.joined(F.slice("input_ids", 1, 15)).alias("first_ids"),
         tok.joined(F.slice("input_ids", -15, 15)).alias("last_ids"),
@@ -222,7 +201,7 @@ def peek_packed(spark: SparkSession, sf_dir: str, n_blocks: int = 3) -> DataFram
 def tokenizer_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three usable training rows per corpus as the tokenizer sees them."""
     rows = drop_blank(scan_corpora(spark, sf_dir).where(F.col("split") == "train"), "text")
-    rows = first_rows(rows, ["dataset"], CORPUS_KEY, 3).withColumn("_ids", tok.byte_tokens(F.col("text")))
+    rows = first_rows(rows, ["dataset"], CORPUS_KEY, 3).withColumn("_ids", tok.first_byte_tokens(F.col("text"), BLOCK_LENGTH))
     rows = rows.withColumns(
         {
             "_padded": tok.pad_right(F.col("_ids"), BLOCK_LENGTH, BYTE_EOS),
@@ -271,7 +250,7 @@ def _landed(df: DataFrame, tag: str) -> str:
 def stream_tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents arriving as files, tokenized as they come; run twice to show nothing is taken again."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    folder = _landed(docs.repartition(8, "doc_id"), "arriving")
+    folder = _landed(docs.repartition("doc_id"), "arriving")
     sink, checkpoint = scratch_path(spark, "tokenized"), scratch_path(spark, "progress")
     columns = ["doc_id", byte_ids().alias("input_ids")]
     for _ in range(2):
@@ -285,7 +264,7 @@ def stream_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = ordered_index(docs.select("split", "doc_id"), ["split"], fx.DOC_KEY, fx.DOC_LEVELS)
     groups = placed.select("doc_id", int_div(F.col("idx"), fx.PACK_ROWS).alias("arrival_group"))
     arriving = docs.select("split", "doc_id", "text").join(groups, "doc_id")
-    folder = _landed(arriving.repartition(8, "split", "arrival_group"), "arriving")
+    folder = _landed(arriving.repartition("split", "arrival_group"), "arriving")
     sink, checkpoint = scratch_path(spark, "packed"), scratch_path(spark, "progress")
     ingest.pack_arriving(
         ingest.read_arriving(spark, folder, arriving.schema, 4), ["split", "arrival_group"], fx.DOC_KEY, fx.DOC_LEVELS,
@@ -295,9 +274,9 @@ def stream_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_text(packed.select("split", "arrival_group", "block_id", "input_ids"), "input_ids")
 
 
-def rank_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+def rank_export(spark: SparkSession, sf_dir: str, eos: bool = True) -> DataFrame:
     """The whole way: run configuration, slices, packing, store, epoch order, batches by rank."""
-    packing_settings = prep.Packing(batch_rows=fx.PACK_ROWS)
+    packing_settings = prep.Packing(batch_rows=fx.PACK_ROWS, eos=eos)
     config = {"documents": {"train_slice": [0.1, 0.2]}, "conversations": {"train_slice": 0.5}, "benchmark": {}}
     plan = prep.run_plan(spark, config, packing_settings)
     root, out = scratch_path(spark, "prepared"), scratch_path(spark, "epoch")
@@ -310,10 +289,14 @@ def rank_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_text(rows, "input_ids")
 
 
+def rank_export_no_eos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same run for a tokenizer without an end mark."""
+    return rank_export(spark, sf_dir, eos=False)
+
+
 QUERIES = {
     "encode_byte": encode_byte,
     "append_eos": append_eos,
-    "encode_pluggable": encode_pluggable,
     "word_tokens": word_tokens,
     "vocab_build": vocab_build,
     "encode_word": encode_word,
@@ -337,4 +320,5 @@ QUERIES = {
     "stream_tokenize": stream_tokenize,
     "stream_pack": stream_pack,
     "rank_export": rank_export,
+    "rank_export_no_eos": rank_export_no_eos,
 }

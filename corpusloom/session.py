@@ -26,15 +26,6 @@ def build_session(master: str | None = None, app: str = "corpusloom", **conf: st
     return builder.getOrCreate()
 
 
-def shuffle_partitions_for(input_bytes: int, target_bytes: int = 128 << 20) -> int:
-    """Shuffle partitions that keep each near `target_bytes`.
-
-    Adaptive execution merges small partitions but does not split even ones,
-    so a large run must start with enough: about 800,000 for 100 TB.
-    """
-    return max(1, -(-input_bytes // target_bytes))
-
-
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables.
 
@@ -65,19 +56,3 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     path = scratch_path(df.sparkSession, tag)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-SPREAD_LIMIT = 32       # a scan of more tasks than this is never moved
-
-
-def spread(scan: DataFrame, *key: str) -> DataFrame:
-    """Place the rows of a small plain scan by key when it leaves cores idle.
-
-    One file with one row group is read, and would be tokenized, by one task.
-    At most `SPREAD_LIMIT` splits (a few GB) are ever moved for that; larger
-    sources come back unchanged.  Only for scans: asking a plan with shuffles
-    for its partitions would run it.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    few = scan.rdd.getNumPartitions() < min(cores, SPREAD_LIMIT)
-    return scan.repartition(cores, *key) if few else scan

@@ -1,4 +1,4 @@
-"""Slice arguments, stored names and special ids: checks on a handful of values."""
+"""Slice arguments and stored names: checks on a handful of values."""
 
 from __future__ import annotations
 
@@ -25,16 +25,17 @@ def parse_slice(value: str | float | int | list | tuple | None) -> tuple[float,
     return (start, end)
 
 
+# A stored name's suffix by the number of bounds its slice was given with, in thousandths.
+SUFFIX_FORMATS = ("_full", "_p%03d", "_r%03d_%03d")
+
+
 def slice_suffix(value: Slice) -> str:
-    """Readable suffix in thousandths; distinct slices may share it."""
-    if value is None:
-        return "_full"
-    if isinstance(value, (int, float)):
-        return "_p%03d" % int(min(1.0, max(0.0, float(value))) * 1000)
-    if isinstance(value, (list, tuple)) and len(value) == 2:
-        start, end = parse_slice(value)
-        return "_r%03d_%03d" % (int(start * 1000), int(end * 1000))
-    raise TypeError(f"unsupported slice {value!r}")
+    """Readable bounds; the digest of the key keeps slices apart that share them."""
+    if isinstance(value, str):
+        raise TypeError(f"unsupported slice {value!r}")
+    scalar = (min(1.0, max(0.0, float(value))),) if isinstance(value, (int, float)) else None
+    bounds = scalar or parse_slice(value) or ()
+    return SUFFIX_FORMATS[len(bounds)] % tuple(int(1000 * bound) for bound in bounds)
 
 
 def stored_name(dataset: str, config: str | None, split: str, value: Slice) -> str:
@@ -53,10 +54,3 @@ def storage_key(dataset: str, config: str | None, split: str, value: Slice, sett
     """
     payload = json.dumps({"slice": value, **settings}, sort_keys=True, default=str)
     return f"{stored_name(dataset, config, split, value)}-{hashlib.sha256(payload.encode()).hexdigest()[:16]}"
-
-
-def special_ids(pad: int | None, eos: int | None) -> tuple[int, int | None]:
-    """(pad, eos) with pad falling back to eos."""
-    if pad is None and eos is None:
-        raise ValueError("neither a pad nor an end-of-text id is defined")
-    return (eos if pad is None else pad, eos)

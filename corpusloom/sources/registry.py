@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.session import scratch_path
 from corpusloom.sources.corpora import CORPORA, Corpus
 
 REGISTRY_DDL = "name string, source string, config string, splits array<string>, text_column string"
@@ -37,14 +38,18 @@ def latest_by_key(df: DataFrame, key: Sequence[str], ordinal: str) -> DataFrame:
 def unregistered(df: DataFrame, column: str, registered: DataFrame, strict: bool = False) -> DataFrame:
     """Row counts of sources missing from `registered` (a config-sized table).
 
-    Rows are counted first, so the anti join sees one row per source.
+    Rows are counted first, so the anti join sees one row per source.  `strict`
+    writes all of them to a table and raises with their number and its path.
     """
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n_rows"))
     missing = counts.join(registered.select(column), column, "left_anti")
     if strict:
-        names = [r[0] for r in missing.orderBy(column).limit(20).collect()]
-        if names:
-            raise KeyError(f"unregistered sources: {', '.join(map(str, names))}")
+        path = scratch_path(df.sparkSession, "unregistered")
+        missing.write.parquet(path)
+        missing = df.sparkSession.read.schema(missing.schema).parquet(path)
+        n = missing.count()
+        if n:
+            raise KeyError(f"{n} unregistered sources, listed in {path}")
     return missing
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,20 +12,28 @@ from corpusloom.schemas import PACKED_COLUMNS, PACKED_SCHEMA
 
 
 def scan_glob(spark: SparkSession, folder: str, pattern: str = "*.parquet", schema: T.StructType | None = None) -> DataFrame:
-    """Read only the files whose name matches `pattern`."""
+    """Read the files of a mirror's `data` folder whose name matches `pattern`; nothing beside it."""
     reader = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.parquet(folder)
+    return reader.parquet(f"{folder}/data")
+
 
+def write_cache(df: DataFrame, path: str, order: Sequence[str] = ()) -> None:
+    """Columnar cache with one folder per dataset and split, rows in ranges of `order`.
 
-def write_cache(df: DataFrame, path: str) -> None:
-    """Columnar cache with one folder per dataset and split.
+    Only the folders that `df` has rows for are replaced; other datasets stay.
 
-    The commit protocol publishes files only when the whole job succeeded, so a
-    failed run leaves no `_SUCCESS` marker and nothing to clean up by hand.
+    The commit protocol publishes files only when the whole job succeeded.  A dynamic
+    overwrite writes no `_SUCCESS` itself: the marker goes before the job and comes back
+    after it, so a failed run leaves none, and nothing to clean up by hand.
     """
-    df.write.mode("overwrite").partitionBy("dataset", "split").parquet(path)
+    marker = df.sparkSession._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    files = marker.getFileSystem(df.sparkSession._jsc.hadoopConfiguration())
+    files.delete(marker, False)
+    placed = df.repartitionByRange("dataset", "split", *order).sortWithinPartitions("dataset", "split", *order)
+    placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dataset", "split").parquet(path)
+    files.create(marker).close()
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -42,7 +52,7 @@ def cache_counts(df: DataFrame) -> DataFrame:
 
 def write_packed(df: DataFrame, path: str) -> None:
     check_packed(df)
-    write_cache(df, path)
+    write_cache(df, path, ["block_id"])
 
 
 def check_packed(df: DataFrame) -> None:
@@ -70,11 +80,6 @@ def as_export(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("array<bigint>") for c in PACKED_COLUMNS})
 
 
-def pending_work(planned: DataFrame, completed: DataFrame, key: str) -> DataFrame:
-    """Planned rows whose storage key does not exist yet."""
-    return planned.join(completed.select(key).distinct(), key, "left_anti")
-
-
 def append_log(df: DataFrame, path: str) -> None:
     """Append rows to a run log (metrics or generations)."""
     df.write.mode("append").parquet(path)

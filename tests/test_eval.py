@@ -151,3 +151,39 @@ def test_predictor_never_sees_labels(spark):
     df = spark.createDataFrame([("abc", 1)], "text string, labels int")
     out = inference.predict(df, lambda: lambda s: s.str.len(), "text", "bigint")
     assert out.columns == ["text", "prediction"] and out.first().prediction == 3
+
+
+def test_values_that_are_no_numbers(spark):
+    nan, inf = float("nan"), float("inf")
+    series = {
+        "nan stops": ([3.0, 2.0, nan, 1.0], (2, 1, 2.0)),
+        "infinite stops": ([3.0, -inf, 1.0], (1, 0, 3.0)),
+        "null waits": ([3.0, None, 2.0, None, None, 5.0], (4, 2, 2.0)),
+        "no number": ([None, None], (1, None, None)),
+        "first is nan": ([nan, 1.0], (0, None, None)),
+        "never": ([3.0, None, 2.0], (None, 2, 2.0)),
+    }
+    rows = [(name, i, v) for name, (values, _) in series.items() for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "run string, step bigint, value double")
+    got = {r.run: (r.stop_step, r.best_step, r.best_value) for r in runs.early_stop(df, 2).collect()}
+    assert got == {name: want for name, (_, want) in series.items()}
+    for mode, best in (("min", 1.0), ("max", 3.0)):
+        kept = runs.best_checkpoints(df.where("run = 'nan stops'"), 1, mode).collect()
+        assert [r.value for r in kept] == [best]
+    assert runs.best_checkpoints(df.where("run = 'no number'"), 1).count() == 0
+
+
+def test_targets_outside_the_logits_are_counted(spark):
+    df = spark.createDataFrame([(0, [1.0, 2.0], y) for y in (0, 1, 2, -1, None, 9)], "b int, z array<double>, y int")
+    row = losses.batch_losses(losses.row_losses(df, "z", "y", 9, ["b"]), ["b"]).first()
+    assert (row.n_rows, row.n_scored, row.n_bad) == (6, 2, 3)
+
+
+def test_bayes_takes_any_number_of_classes(spark):
+    texts = {"a": "cat cat dog", "b": "dog bird", "c": "fish fish"}
+    train = spark.createDataFrame([(c, t) for c, t in texts.items() for _ in range(3)], "label string, text string")
+    asked = spark.createDataFrame([(1, "cat"), (2, "bird bird"), (3, "fish dog fish"), (4, ""), (5, None)], "k int, text string")
+    scored, classes = inference.classify(train, asked, "k", "label")
+    rows = {r.k: r for r in scored.collect()}
+    assert classes == ["a", "b", "c"] and [rows[k].prediction for k in (1, 2, 3, 4, 5)] == ["a", "b", "c", "a", "a"]
+    assert rows[1].logits == pytest.approx([math.log(7 / 13) + math.log(1 / 3), math.log(1 / 10) + math.log(1 / 3), math.log(1 / 10) + math.log(1 / 3)])

@@ -9,11 +9,10 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from corpusloom.plans import fixtures as fx
-from corpusloom.session import spread
 from corpusloom.sources import corpora
 
 # the small tables that may be ordered as a whole: cells, file parts
-QUERIES = entry.queries()
+QUERIES = {name: query for name, query in entry.queries().items() if name not in entry._llm()[0]}
 NO_DATA_WINDOW = [
     "row_index", "concat_sources", "shuffle_epoch", "rank_plan", "slice_range", "multi_slice",
     "pack_batch", "pack_split", "early_stop", "metric_epoch", "next_token_topp", "encode_word",
@@ -71,8 +70,7 @@ def test_rank_filters_run_before_the_shuffle(spark, sf_dir, name):
     assert "WindowGroupLimit" in physical(QUERIES[name](spark, sf_dir))
 
 
-def test_small_scans_are_spread_and_large_ones_left_alone(spark, sf_dir, tmp_path):
-    docs = corpora.read_table(spark, sf_dir, "documents")
-    assert spread(docs, "doc_id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(0, 1000, 1, 40)
-    assert spread(many, "id") is many
+def test_a_stored_peek_is_pushed_to_its_folder(spark, sf_dir):
+    plan = physical(QUERIES["peek_packed"](spark, sf_dir))
+    assert "LessThan(block_id,3)" in plan and re.search(r"PartitionFilters: \[[^]]*split", plan)
+    assert "Exchange" not in plan

@@ -57,10 +57,10 @@ def test_word_tokenizer_plugs_in(spark, sf_dir, tmp_path):
     vocab = build_vocab(rows.where("dataset = 'benchmark'"))
     key = ["dataset", "split", *CORPUS_KEY, "cell0", "cell1", "cell2"]
 
-    def by_words(df):
+    def by_words(df, eos):
         encoded = materialize(encode_words(df, key, vocab), "encoded")
-        ids = tok.append_eos(F.col("input_ids"), EOS_ID)
-        return encoded, ids, F.size("input_ids") + 1
+        ids = tok.append_eos(F.col("input_ids"), EOS_ID if eos else None)
+        return encoded, ids, F.size("input_ids") + int(eos)
 
     packing = prep.Packing(tokenizer="words", block_length=16, tokenize=by_words)
     plan = prep.run_plan(spark, {"benchmark": {}}, packing)
@@ -92,3 +92,29 @@ def test_every_rank_gets_the_same_number_of_slots(spark, sf_dir, tmp_path):
     counts = spark.read.parquet(out).groupBy("split", "rank").count().collect()
     for split in ("train", "validation"):
         assert len({r["count"] for r in counts if r.split == split}) == 1
+
+
+def test_without_end_marks(spark, sf_dir, tmp_path):
+    root, rows = str(tmp_path / "store"), scan_corpora(spark, sf_dir)
+    packing = prep.Packing(eos=False)
+    plan = prep.run_plan(spark, {"benchmark": {}}, packing)
+    prep.prepare(spark, rows, plan, root, packing)
+    blocks = prep.open_stage(spark, plan, root, None)
+    assert blocks.count() > 0 and blocks.where(F.array_contains("input_ids", 256)).count() == 0
+    keys = {r.storage_key for r in plan.collect()}
+    assert not keys & {r.storage_key for r in prep.run_plan(spark, {"benchmark": {}}).collect()}
+
+
+def test_unknown_options_are_refused(spark):
+    with pytest.raises(KeyError, match="train_slise"):
+        prep.run_plan(spark, {"benchmark": {"train_slise": 0.5}})
+
+
+def test_export_has_wide_arrays(spark, sf_dir, tmp_path):
+    root, out = str(tmp_path / "store"), str(tmp_path / "epoch")
+    plan = prep.run_plan(spark, {"benchmark": {}})
+    prep.prepare(spark, scan_corpora(spark, sf_dir), plan, root)
+    prep.export(prep.order_for_epoch(prep.open_stage(spark, plan, root, "fit"), 1, 1, 2, 2, 2), out)
+    rows = spark.read.parquet(out)
+    assert {c: k for c, k in rows.dtypes if k.startswith("array")} == dict.fromkeys(["input_ids", "labels", "attention_mask"], "array<bigint>")
+    assert rows.where("labels != input_ids OR size(attention_mask) != size(input_ids) OR array_min(attention_mask) != 1").count() == 0

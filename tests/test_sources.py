@@ -62,9 +62,6 @@ def test_stored_names_and_storage_keys():
         naming.storage_key("a", None, "train", narrow, {**settings, "length": 64}),
     }
     assert len(keys) == 3
-    assert naming.special_ids(None, 5) == (5, 5)
-    with pytest.raises(ValueError):
-        naming.special_ids(None, None)
 
 
 def test_run_plan_rejects_unknown_datasets(spark):
@@ -92,19 +89,13 @@ def test_text_choice_and_cleaning(spark):
 
 
 def test_human_sizes(spark):
-    def python_form(n):
-        if n is None or n < 0:
-            return "N/A"
-        if n < 1024:
-            return f"{n} Bytes"
-        size, unit = n / 1024.0, 0
-        while size >= 1024.0 and unit < 4:
-            size, unit = size / 1024.0, unit + 1
-        return f"{size:3.1f} {['KiB', 'MiB', 'GiB', 'TiB', 'PiB'][unit]}"
-
-    values = [None, -1, 0, 1023, 1024, 1280, 1792, 1 << 20, (1 << 20) - 1, 123456789, 627 * 10**9, 15 << 40, 1 << 60]
-    df = spark.createDataFrame([(v,) for v in values], "n bigint").select("n", human_size(F.col("n")).alias("s"))
-    assert {r.n: r.s for r in df.collect()} == {v: python_form(v) for v in values}
+    shown = {
+        None: "N/A", -1: "N/A", 0: "0 Bytes", 1023: "1023 Bytes", 1024: "1.0 KiB", 1280: "1.2 KiB", 1792: "1.8 KiB",
+        (1 << 20) - 1: "1024.0 KiB", 1 << 20: "1.0 MiB", 123456789: "117.7 MiB", 627 * 10**9: "583.9 GiB", 15 << 40: "15.0 TiB",
+        1 << 60: "1024.0 PiB",
+    }
+    df = spark.createDataFrame([(v,) for v in shown], "n bigint").select("n", human_size(F.col("n")).alias("s"))
+    assert {r.n: r.s for r in df.collect()} == shown
 
 
 def test_scan_classes(spark):
@@ -120,8 +111,10 @@ def test_latest_registration_wins(spark):
 
 def test_strict_checks_name_the_failures(spark):
     rows = spark.createDataFrame([("s1",), ("s2",)], "source string")
-    with pytest.raises(KeyError, match="s2"):
-        registry.unregistered(rows, "source", rows.limit(1).where("source = 's1'"), strict=True)
+    with pytest.raises(KeyError, match="1 unregistered sources, listed in") as error:
+        registry.unregistered(rows, "source", rows.where("source = 's1'"), strict=True)
+    listed = spark.read.parquet(str(error.value).strip("'").rsplit(" ", 1)[1])
+    assert [tuple(r) for r in listed.collect()] == [("s2", 1)]
     planned = registry.planned_splits(registry.registry_table(spark))
     present = planned.where("dataset <> 'pages'")
     with pytest.raises(RuntimeError, match="pages: test,train,validation"):
@@ -167,11 +160,26 @@ def test_failed_write_leaves_no_complete_store(spark, tmp_path):
     assert not store.is_complete(spark, path)
 
 
-def test_pending_work_and_logs(spark, tmp_path):
-    planned = spark.createDataFrame([("k1",), ("k2",)], "key string")
-    assert [r.key for r in store.pending_work(planned, planned.where("key = 'k1'"), "key").collect()] == ["k2"]
+def test_logs(spark, tmp_path):
     path = str(tmp_path / "log")
     row = spark.createDataFrame([(1, "p", "t")], "global_step bigint, prompt string, generated_text string")
     store.append_log(row, path)
     store.append_log(row, path)
     assert spark.read.parquet(path).count() == 2
+
+
+def test_a_second_dataset_leaves_the_first(spark, tmp_path):
+    path = str(tmp_path / "cache")
+    rows = spark.range(2000).select(F.lit("a").alias("dataset"), F.lit("train").alias("split"), F.col("id").alias("block_id"))
+    store.write_cache(rows, path, ["block_id"])
+    store.write_cache(rows.withColumn("dataset", F.lit("b")), path, ["block_id"])
+    store.write_cache(rows.withColumn("dataset", F.lit("b")).limit(7), path)
+    found = {r.dataset: r.n_rows for r in store.cache_counts(spark.read.parquet(path)).collect()}
+    assert found == {"a": 2000, "b": 7} and store.is_complete(spark, path)
+
+
+def test_a_mirror_reads_its_data_folder_only(spark, tmp_path):
+    folder = str(tmp_path / "mirror")
+    spark.range(5).write.parquet(f"{folder}/data/part")
+    spark.range(50).write.parquet(f"{folder}/elsewhere")
+    assert store.scan_glob(spark, folder).count() == 5

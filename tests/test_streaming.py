@@ -1,9 +1,11 @@
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.functions import tokens as tok
-from corpusloom.streaming.ingest import ingest, read_arriving, read_sink
+from corpusloom.operators.ordering import integer_levels
+from corpusloom.streaming.ingest import ingest, pack_arriving, read_arriving, read_sink
 
 
 def test_restart_takes_only_what_is_new(spark, tmp_path):
@@ -25,3 +27,23 @@ def test_restart_takes_only_what_is_new(spark, tmp_path):
     assert take() == list(range(5))
     land(5, 8)
     assert take() == list(range(8))
+
+
+def test_a_group_may_not_arrive_twice(spark, tmp_path):
+    source, sink, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    rows = spark.range(40).select((F.col("id") % 4).alias("g"), F.col("id").alias("k"), F.lit("some text").alias("text"))
+
+    def take():
+        text = F.col("text")
+        stream = read_arriving(spark, source, rows.schema)
+        pack_arriving(stream, ["g"], ["k"], integer_levels("k"), tok.byte_tokens(text), tok.byte_count(text), 16, sink, progress)
+        return read_sink(spark, sink).count()
+
+    rows.where("g < 2").write.mode("append").parquet(source)
+    first = take()
+    rows.where("g = 2").write.mode("append").parquet(source)
+    assert first > 0 and take() == first + first // 2
+    rows.where("g IN (0, 3)").write.mode("append").parquet(source)
+    with pytest.raises(Exception, match="1 groups of batch 2 were packed by an earlier batch"):
+        take()
+    assert read_sink(spark, sink).count() == first + first // 2
