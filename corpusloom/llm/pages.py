@@ -71,6 +71,7 @@ class Container:
     parent: int
     tag: str
     score: float = 0.0
+    total: float = 0.0      # points of all blocks anywhere inside
     chars: int = 0
     link_chars: int = 0
 
@@ -222,6 +223,7 @@ def _credit(page: Page, at: int, text: str, link_chars: int) -> None:
         node = page.containers[at]
         node.chars += len(text)
         node.link_chars += min(link_chars, len(text))
+        node.total += points * (1 - min(link_chars, len(text)) / len(text))
         node.score += points * share
         share = 0.5 if share == 1.0 else 0.0
         at = node.parent
@@ -236,13 +238,23 @@ def ranked(page: Page) -> list[tuple[float, int]]:
     return sorted(scored, key=lambda x: (-x[0], x[1]))
 
 
+def best(page: Page) -> int | None:
+    """The best container, or one around it that holds half as much again: then the text was in parts."""
+    order = ranked(page)
+    if not order:
+        return None
+    at = order[0][1]
+    while page.containers[at].tag not in ("article", "main") and (up := page.containers[at].parent) >= 0:
+        if page.containers[up].total < 1.5 * page.containers[at].total:
+            break
+        at = up
+    return at
+
+
 def extract(page: Page, path: str | None) -> str:
     """Text of the containers on `path`; of the page's best container where it has none."""
     roots = {i for i, c in enumerate(page.containers) if c.path == path and c.chars}
-    if not roots:
-        best = ranked(page)
-        roots = {best[0][1]} if best else set()
-    return page.text(roots)
+    return page.text(roots or {best(page)})
 
 
 def host(url: Column) -> Column:
@@ -251,7 +263,7 @@ def host(url: Column) -> Column:
 
 
 def votes(pages: DataFrame, each: int = 3) -> DataFrame:
-    """(host, path, score): each page's votes for the paths of its best `each` containers."""
+    """(host, path, score): each page's votes for the paths of its `each` first containers, and again for its best."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
@@ -259,6 +271,7 @@ def votes(pages: DataFrame, each: int = 3) -> DataFrame:
             for name, source in zip(*batch.to_pydict().values()):
                 page = parse(source or "")
                 rows += [(name, page.containers[i].path, score) for score, i in ranked(page)[:each]]
+                rows += [(name, page.containers[i].path, page.containers[i].score) for i in [best(page)] if i is not None]
             columns = list(zip(*rows)) or [[], [], []]
             kinds = [pa.string(), pa.string(), pa.float64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["host", "path", "score"])
