@@ -4,9 +4,12 @@ A document is its set of word shingles, hashed to 64 bits.  Each shingle flips o
 bit of a sketch; what two sets share cancels, so the Hamming distance of two
 sketches never exceeds the size of the sets' symmetric difference.  A similarity of
 t bounds that difference by d = (1-t)/(1+t) (|A|+|B|).  A sketch of a size band
-therefore has d+1 words of 64 bits: at most d of them can be touched by the
-difference, so similar sets agree on a word, and joining on (band, word number,
-word) misses no link.  What the join brings together is verified on the texts.
+therefore has d+2 words of 64 bits: at most d of them can be touched by the
+difference, so similar sets agree on two words at least.  A word with few bits says
+little, and unrelated sets often agree on one; such words are joined in twos only.
+So a pair of similar sets meets on (band, word number, word) of a full word, or on two
+sparse ones, and no link is missed.  What the join brings together is verified on
+the texts.
 
 Links are wanted as components, not as a list of pairs, and a group of near copies
 agrees on the same words.  So first every group compares its members with one of
@@ -99,9 +102,9 @@ class Join:
             top = edges[band + 1] - 1
             if self.partner(top) < size:
                 break
-            blocks = self.difference(top + self.partner(top)) + 1
-            if blocks > 1:              # otherwise only equal sets are similar, and they are one class already
-                found.append((band, band == len(edges) - 2, blocks))
+            apart = self.difference(top + self.partner(top))
+            if apart:                   # otherwise only equal sets are similar, and they are one class already
+                found.append((band, band == len(edges) - 2, apart + 2))
         return found
 
 
@@ -113,12 +116,21 @@ def sketch(codes: np.ndarray, n_words: int) -> np.ndarray:
     return np.packbits(parity, bitorder="little").view("<u8")
 
 
+def sparse_bits(n_words: int) -> int:
+    """Words of at most so many bits are joined in twos; fewer in long sketches, whose twos would be many."""
+    return 3 if n_words <= 128 else 2 if n_words <= 512 else 1
+
+
 def postings(codes: np.ndarray, join: Join) -> tuple[np.ndarray, np.ndarray]:
     """Join keys of a set: for its own band, and for the lower bands it must also appear in."""
     own, lower = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
     for band, is_own, n_words in join.homes(len(codes)):
-        place = _mix(np.arange(n_words, dtype=np.uint64) + np.uint64(band << 32))
-        (own if is_own else lower).append(_mix(sketch(codes, n_words) ^ place))
+        words = sketch(codes, n_words)
+        keys = _mix(words ^ _mix(np.arange(n_words, dtype=np.uint64) + np.uint64(band << 32)))
+        sparse = np.bitwise_count(words) <= sparse_bits(n_words)
+        i, k = np.triu_indices(int(sparse.sum()), 1)
+        twos = keys[sparse]
+        (own if is_own else lower).extend([keys[~sparse], _mix(twos[i] * _M3 + twos[k])])
     return np.concatenate(own), np.concatenate(lower)
 
 
@@ -171,7 +183,8 @@ def verified(pairs: DataFrame, texts: DataFrame, join: Join) -> DataFrame:
                 keep.append(join.linked(len(np.intersect1d(one, two, assume_unique=True)), len(one), len(two)))
             yield batch.filter(pa.array(keep, pa.bool_())).select([0, 1])
 
-    joined = pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
+    # the same plan at every size: texts are placed by id, never broadcast
+    joined = pairs.join(right.hint("merge"), "b").join(left.hint("merge"), "a").select("a", "b", "text_a", "text_b")
     return joined.mapInArrow(run, "a bigint, b bigint")
 
 
@@ -264,7 +277,7 @@ def similar_groups(docs: DataFrame, join: Join = Join(), doc_id: str = "doc_id",
     pairs = starred.where("rep != hub").select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
     pairs = materialize(pairs, "hub-pairs")
     wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    texts = materialize(rows.join(wanted, "doc_id").select(F.col("doc_id").alias("rep"), "text").where("text IS NOT NULL"), "texts")
+    texts = materialize(rows.join(wanted.hint("merge"), "doc_id").select(F.col("doc_id").alias("rep"), "text").where("text IS NOT NULL"), "texts")
     links = materialize(verified(pairs, texts, join), "links")
     groups = components(links)
 
