@@ -258,7 +258,8 @@ def similar_groups(docs: DataFrame, join: Join = Join(), doc_id: str = "doc_id",
     made = materialize(profiles(rows, join), "profiles")
 
     # rows with equal sets form a class; its smallest id stands for it
-    classes = made.where("n_shingles > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"))
+    # (written, so that the join can be split where a third of all rows are copies)
+    classes = materialize(made.where("n_shingles > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("rep")), "classes")
     members = materialize(made.select("doc_id", "n_shingles", "s1", "s2").join(classes, ["s1", "s2"], "left").drop("s1", "s2"), "members")
 
     # keys that more than one id has, at least one of them in its own band

@@ -121,7 +121,9 @@ def revisits(pages: DataFrame, least_bytes: int) -> DataFrame:
     marks = materialize(pages.select("page_id", F.unhex(F.sha1(raw)).alias("sha"), F.octet_length(raw).alias("bytes")), "payload-marks")
     marks = marks.where((F.col("bytes") >= least_bytes)).drop("bytes")
     groups = marks.groupBy("sha").agg(F.max("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).where("n > 1 AND refers_to IS NOT NULL")
-    return marks.join(groups.drop("n"), "sha").where(~F.col("page_id").eqNullSafe(F.col("refers_to"))).distinct()
+    # written, so that the join can be split where a third of all pages share a payload
+    groups = materialize(groups.drop("n"), "payload-groups")
+    return marks.join(groups, "sha").where(~F.col("page_id").eqNullSafe(F.col("refers_to"))).distinct()
 
 
 def archives(pages: DataFrame, captured: Column, least_bytes: int = 0, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

@@ -123,7 +123,9 @@ def overlaps(
     found = same.groupBy(*KEY).agg(
         F.collect_set("item_id").alias("items"), F.collect_set(F.struct("start", "length")).alias("spans")
     )
-    return profiles.drop("prints"), found.select(*KEY, F.sort_array("items").alias("items"), F.size(covered).alias("n_hit"))
+    found = found.select(*KEY, F.sort_array("items").alias("items"), F.size(covered).alias("n_hit"))
+    # written, so that its join to the rows can be split where a third of them are copies
+    return profiles.drop("prints"), materialize(found, "contaminated-texts")
 
 
 def _windows_at(starts: str, length: int) -> Column:
