@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.tokens import word_tokens
-from corpusloom.operators.lookup import MAX_BROADCAST_ROWS, fits_broadcast, keyed_lookup
 from corpusloom.operators.ordering import ranked_table
 from corpusloom.schemas import EOS_ID, FIRST_WORD_ID, MASK_ID, UNK_ID
 from corpusloom.session import materialize
 
+HEAD_ROWS = 500_000         # with HEAD_TOKEN_BYTES, at most 48 MB are broadcast
+HEAD_TOKEN_BYTES = 64
+
 # Names of the special ids.
 SPECIAL_TOKENS = {UNK_ID: "<unk>", EOS_ID: "<eos>", MASK_ID: "<mask>"}
 
@@ -33,39 +35,44 @@ def map_arrays(
     df: DataFrame,
     key: Sequence[str],
     array: Column,
-    lookup: DataFrame,
+    vocab: DataFrame,
     on: str,
     value: str,
-    missing: Column,
-    max_rows: int = MAX_BROADCAST_ROWS,
+    missing: Callable[[Column], Column],
+    max_rows: int = HEAD_ROWS,
 ) -> DataFrame:
-    """Replace every array element by its `value` in `lookup`; (key, mapped).
+    """Replace every array element by its `value` in the vocabulary; (key, mapped).
 
-    Elements are exploded, looked up and gathered again by the row's own key,
-    so one gathered group is one input row.  Rows are placed by that key before
-    the explode: with a broadcast lookup this is the only shuffle and it moves
-    the unexploded row.
+    Ids are frequency ranks, so the vocabulary's head, at most `max_rows` tokens of at
+    most HEAD_TOKEN_BYTES bytes, resolves nearly every element by broadcast.  Rows are
+    placed by their own key before they are exploded, and gathered there again: one
+    shuffle, of the unexploded row, and one pass over it.  What the head does not know
+    goes through a shuffle once per row and token, frequent tokens never.
     """
     key = list(key)
-    small = fits_broadcast(lookup, max_rows)
-    placed = df.repartition(*key) if small else df
-    # an empty array still yields one row, marked by position -1, so its row survives
-    exploded = placed.select(*key, F.posexplode_outer(array).alias("_at", on))
-    kind = dict(exploded.dtypes)[on]
-    filler = F.lit("") if kind == "string" else F.lit(-1).cast(kind)
-    exploded = exploded.withColumns({"_at": F.coalesce("_at", F.lit(-1)), on: F.coalesce(on, filler)})
-    found = keyed_lookup(exploded, lookup.select(on, value), [on], small=small)
-    element = F.struct("_at", F.coalesce(value, missing).alias("_v"))
-    gathered = F.sort_array(F.collect_list(F.when(F.col("_at") >= 0, element)))
-    return found.groupBy(*key).agg(gathered.alias("_s")).select(*key, F.col("_s._v").alias("mapped"))
+    in_head = (F.col("id") < FIRST_WORD_ID + max_rows) & (F.octet_length("token") <= HEAD_TOKEN_BYTES)
+    head, tail = vocab.where(in_head).select(on, value), vocab.where(~in_head).select(on, value)
+    # an empty array still yields one row, without a position, so its row survives
+    exploded = df.repartition(*key).select(*key, F.posexplode_outer(array).alias("_at", on))
+    found = exploded.join(F.broadcast(head), on, "left")
+    element = F.struct("_at", F.col(value).alias("_v"), F.when(F.col(value).isNull(), F.col(on)).alias("_miss"))
+    gathered = found.groupBy(*key).agg(F.sort_array(F.collect_list(F.when(F.col("_at").isNotNull(), element))).alias("_s"))
+    if tail.isEmpty():
+        return gathered.select(*key, F.transform("_s", lambda x: F.coalesce(x["_v"], missing(x["_miss"]))).alias("mapped"))
+    coded = materialize(gathered, "coded")
+    open_ = F.array_distinct(F.transform(F.filter("_s", lambda x: x["_v"].isNull()), lambda x: x["_miss"]))
+    named = coded.select(*key, F.explode(open_).alias(on)).join(tail, on)
+    maps = named.groupBy(*key).agg(F.map_from_entries(F.collect_list(F.struct(on, value))).alias("_m"))
+    mapped = F.transform("_s", lambda x: F.coalesce(x["_v"], F.try_element_at("_m", x["_miss"]), missing(x["_miss"])))
+    return coded.join(maps, key, "left").select(*key, mapped.alias("mapped"))
 
 
 def encode_words(
-    docs: DataFrame, key: Sequence[str], vocab: DataFrame, text: str = "text", max_rows: int = MAX_BROADCAST_ROWS
+    docs: DataFrame, key: Sequence[str], vocab: DataFrame, text: str = "text", max_rows: int = HEAD_ROWS
 ) -> DataFrame:
     """Word ids per document; words outside the vocabulary become the unknown id."""
     out = map_arrays(
-        docs.select(*key, text), key, word_tokens(F.col(text)), vocab, "token", "id", F.lit(UNK_ID), max_rows
+        docs.select(*key, text), key, word_tokens(F.col(text)), vocab, "token", "id", lambda _: F.lit(UNK_ID), max_rows
     )
     return out.withColumnRenamed("mapped", "input_ids")
 
@@ -76,13 +83,16 @@ def decode_words(
     vocab: DataFrame,
     ids: str = "input_ids",
     skip_special: bool = True,
-    max_rows: int = MAX_BROADCAST_ROWS,
+    max_rows: int = HEAD_ROWS,
 ) -> DataFrame:
     """Tokens per document as one string, optionally without the special ids."""
     array = F.col(ids)
     if skip_special:
         array = F.filter(array, lambda x: x >= FIRST_WORD_ID)
     named = F.create_map(*[F.lit(v) for pair in SPECIAL_TOKENS.items() for v in pair])
-    special = F.coalesce(F.try_element_at(named, F.col("id")), F.lit(SPECIAL_TOKENS[UNK_ID]))
+
+    def special(token_id: Column) -> Column:
+        return F.coalesce(F.try_element_at(named, token_id), F.lit(SPECIAL_TOKENS[UNK_ID]))
+
     out = map_arrays(encoded.select(*key, ids), key, array, vocab, "id", "token", special, max_rows)
     return out.select(*key, F.array_join("mapped", " ").alias("decoded"))

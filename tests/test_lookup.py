@@ -39,3 +39,18 @@ def test_encode_is_the_same_with_and_without_broadcast(spark):
     assert kept[3] == "the the the <unk> <unk>" and kept[1] == ""
     dropped = {r.doc_id: r.decoded for r in decode_words(encoded, ["doc_id"], vocab, max_rows=0).collect()}
     assert dropped[3] == "the the the" and dropped[0] == "the cat , the dog"
+
+
+def test_a_vocabulary_in_two_parts_gives_the_same_ids(spark):
+    """Head and tail both used, a long token that no head may hold, nulls, one pass over the texts."""
+    long = "z" * 100
+    docs = spark.createDataFrame([(0, f"a a a b b c {long}"), (1, None), (2, f"c d {long} a"), (3, "zebra")], "doc_id bigint, text string")
+    vocab = build_vocab(docs.where("doc_id < 3"))
+    want = {r.doc_id: r.input_ids for r in encode_words(docs, ["doc_id"], vocab, max_rows=0).collect()}
+    for head in (1, 2, 500_000):
+        encoded = encode_words(docs, ["doc_id"], vocab, max_rows=head)
+        assert {r.doc_id: r.input_ids for r in encoded.collect()} == want
+        plan = encoded._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("posexplode") <= 1
+        decoded = {r.doc_id: r.decoded for r in decode_words(encoded, ["doc_id"], vocab, max_rows=head).collect()}
+        assert decoded == {0: f"a a a b b c {long}", 1: "", 2: f"c d {long} a", 3: ""}
