@@ -307,7 +307,8 @@ def keep_one(docs: DataFrame, join: Join = Join(), doc_id: str = "doc_id", text:
     """
     groups = materialize(similar_groups(docs, join, doc_id, text).where("n_shingles > 0 AND doc_id IS NOT NULL"), "groups")
     gone = groups.where("doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(gone, F.col(doc_id) == F.col("_gone"), "left_anti")
+    # the same plan at every size: texts are placed by id
+    kept = docs.join(gone.hint("merge"), F.col(doc_id) == F.col("_gone"), "left_anti")
     repeated = groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias("_twice"))
     if repeated.isEmpty():
         return kept
