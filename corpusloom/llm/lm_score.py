@@ -118,7 +118,9 @@ def fit(docs: DataFrame, good: DataFrame, smoothing: Smoothing = Smoothing(), do
     texts are empty, null and repeated ids in `good` do nothing more.
     """
     ids = good.select(F.col("doc_id").alias("_good")).where("_good IS NOT NULL").distinct()
-    marked = docs.select(F.col(doc_id).alias("doc_id"), blank(text).alias("text")).join(ids, F.col("doc_id") == F.col("_good"), "left")
+    # the same plan at every size: texts are placed by id, ids are never broadcast
+    named = docs.select(F.col(doc_id).alias("doc_id"), blank(text).alias("text"))
+    marked = named.join(ids.hint("merge"), F.col("doc_id") == F.col("_good"), "left")
     rows = counted(marked.select("text", F.col("_good").isNotNull().alias("is_target"))).toArrow()
     order = np.argsort(rows.column("key").to_numpy())
     keys, background, target = (rows.column(c).to_numpy()[order].astype(np.int64) for c in ("key", "background", "target"))
