@@ -30,6 +30,8 @@ from corpusloom.llm.common import blank, small_batches
 
 SYMBOLS = 256
 KEYS = SYMBOLS**3
+SLAB = 16               # first bytes whose trigrams are worked on at once
+BATCH_BYTES = 2 << 20   # of text; working memory is about 30 times that
 EDGE = b"\0\0"          # context of a text's first token; one zero byte after the text is its end token
 
 
@@ -64,7 +66,7 @@ def counted(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: dict[bool, list] = {False: [], True: []}
-        for batch in small_batches(batches):
+        for batch in small_batches(batches, BATCH_BYTES):
             texts = [x.as_py() or b"" for x in pc.cast(batch.column(0), pa.binary())]
             flags = batch.column(1).to_pylist()
             for flag in (False, True):
@@ -93,21 +95,32 @@ class Model:
     smoothing: Smoothing
 
     def differences(self) -> np.ndarray:
-        """Loss difference of every possible trigram, seen or not (float32, KEYS entries)."""
+        """Loss difference of every possible trigram, seen or not (float32, KEYS entries), SLAB first bytes at a time."""
         scale = self.target.sum() / max(1, self.background.sum())
-        return (self._log(self.background * scale) - self._log(self.target.astype(float))).astype(np.float32)
-
-    def _log(self, n: np.ndarray) -> np.ndarray:
-        """Log probability of every trigram under counts `n`: each order leans on the next shorter one."""
+        background, target = self._orders(self.background * scale), self._orders(self.target.astype(float))
+        out = np.empty(KEYS, np.float32)
+        for first in range(0, SYMBOLS, SLAB):
+            part = slice(*np.searchsorted(self.keys, [first << 16, first + SLAB << 16]))
+            out[first << 16 : first + SLAB << 16] = self._slab(background, first, part) - self._slab(target, first, part)
+        return out
+
+    def _orders(self, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Counts, probabilities of (b, c) leaning on those of c, and counts of contexts (a, b)."""
         s, keys = self.smoothing, self.keys
-        pairs = np.bincount(keys & 0xFFFF, n, SYMBOLS**2).reshape(SYMBOLS, SYMBOLS)         # (b, c)
-        contexts = np.bincount(keys >> 8, n, SYMBOLS**2)                                     # (a, b)
+        pairs = np.bincount(keys & 0xFFFF, n, SYMBOLS**2).reshape(SYMBOLS, SYMBOLS)
         ones = pairs.sum(0)
         p1 = (ones + s.unigram / SYMBOLS) / (ones.sum() + s.unigram)
         p2 = (pairs + s.bigram * p1) / (pairs.sum(1, keepdims=True) + s.bigram)
-        unseen = np.log(s.trigram * p2)[None] - np.log(contexts + s.trigram).reshape(SYMBOLS, SYMBOLS)[:, :, None]
-        table = unseen.reshape(-1)
-        table[keys] = np.log(n + s.trigram * p2.reshape(-1)[keys & 0xFFFF]) - np.log(contexts[keys >> 8] + s.trigram)
+        return n, p2, np.bincount(keys >> 8, n, SYMBOLS**2)
+
+    def _slab(self, orders: tuple[np.ndarray, np.ndarray, np.ndarray], first: int, part: slice) -> np.ndarray:
+        """Log probabilities of the trigrams that start with bytes `first` to `first + SLAB - 1`."""
+        n, p2, contexts = orders
+        weight, keys = self.smoothing.trigram, self.keys[part]
+        before = contexts.reshape(SYMBOLS, SYMBOLS)[first : first + SLAB]
+        table = (np.log(weight * p2)[None] - np.log(before + weight)[:, :, None]).reshape(-1)
+        seen = np.log(n[part] + weight * p2.reshape(-1)[keys & 0xFFFF]) - np.log(contexts[keys >> 8] + weight)
+        table[keys - (first << 16)] = seen
         return table
 
 
@@ -149,7 +162,7 @@ def score(docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text: st
             _tables.clear()
             _tables[name] = shared.value.differences()
         table = _tables[name]
-        for batch in small_batches(batches):
+        for batch in small_batches(batches, BATCH_BYTES):
             keys, counts = trigrams([x.as_py() for x in pc.cast(batch.column(1), pa.binary())])
             sums = np.add.reduceat(table[keys].astype(np.float64), np.cumsum(counts) - counts)
             yield pa.RecordBatch.from_arrays(
