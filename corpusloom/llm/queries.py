@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import bin_slack, bpe, chat, dac, hash_tree, lm_score, pages, parity, quality, warc, winnow
+from corpusloom.llm import bin_slack, bpe, chat, dac, hash_tree, pages, parity, quality, warc, winnow, word_lm
 from corpusloom.llm.common import table
 from corpusloom.session import scratch_path
 
@@ -31,10 +31,9 @@ def host_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Operator 3: all documents, scored by models of the good ones and of all."""
+    """Operator 3: all documents, scored by word bigram models of the good ones and of all."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    model = lm_score.fit(docs, labels.where("quality = 1"))
-    return lm_score.score(docs, model).withColumn("selected", F.col("score") < 0)
+    return word_lm.score(docs, labels.where("quality = 1")).withColumn("selected", F.col("score") < 0)
 
 
 def addressable_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
