@@ -3,8 +3,8 @@
 Zstandard shrinks repetitive text far more than prose and random characters far
 less, and both depend on length, since a short text has little to repeat.  So a
 document's ratio (raw bytes / compressed bytes) must lie inside the limits of its
-length band, and the same is asked of its fixed-size chunks, which finds a
-repetitive or incompressible stretch inside a long document.
+length band, and the same is asked of its fixed-size chunks, the shorter last one
+included, which finds a repetitive or incompressible stretch inside a long document.
 """
 
 from __future__ import annotations
@@ -65,6 +65,7 @@ class Rules:
         Band(float("inf"), 1.6, 6.0),
     )
     chunk_bytes: int = 4096
+    least_tail: int = 512           # a shorter last chunk says little, it takes bytes of the one before
     bad_share: float = 0.5          # a document goes when more than this share of its chunks is outside
     level: int = 3
     min_words: int = 50
@@ -100,6 +101,17 @@ def repeated_words(words: list[bytes]) -> int:
     return int(hit.sum())
 
 
+def spans(size: int, rules: Rules) -> Iterator[tuple[int, int]]:
+    """(first, end) of the chunks of a text of `size` bytes, which cover all of it.
+
+    The last one is what remains after the whole chunks, reaching back so that it has
+    `least_tail` bytes, or the text where that is shorter.
+    """
+    for at in range(0, size, rules.chunk_bytes):
+        end = min(size, at + rules.chunk_bytes)
+        yield max(0, min(at, end - rules.least_tail)), end
+
+
 def assess(raw: bytes, rules: Rules, packer: zstandard.ZstdCompressor) -> tuple:
     """One row of SCHEMA for the UTF-8 bytes of a text."""
     words = raw.split()
@@ -110,9 +122,9 @@ def assess(raw: bytes, rules: Rules, packer: zstandard.ZstdCompressor) -> tuple:
     ratio, chunks, bad = None, 0, 0
     if raw:
         ratio = len(raw) / len(packer.compress(raw))
-        band = rules.band(rules.chunk_bytes)
-        for at in range(0, len(raw) - rules.chunk_bytes + 1, rules.chunk_bytes):
-            part = ratio if len(raw) == rules.chunk_bytes else rules.chunk_bytes / len(packer.compress(raw[at : at + rules.chunk_bytes]))
+        for first, end in spans(len(raw), rules):
+            part = ratio if end - first == len(raw) else (end - first) / len(packer.compress(raw[first:end]))
+            band = rules.band(end - first)
             chunks += 1
             bad += not band.least <= part <= band.most
     whole = rules.band(len(raw))
