@@ -41,3 +41,24 @@ def test_a_bad_tail_counts_like_a_bad_head(spark, sf_dir):
         one, two = assess(prose + noise(bad)), assess(noise(4096) + prose[:bad])
         assert one[-3:-1] == two[-3:-1] == (2, 1) and one[-1] == two[-1]
     assert assess(prose[:3000])[-3:-1] == (1, 0) and assess(b"")[-3:-1] == (0, 0)
+
+
+@pytest.mark.parametrize("letters, least", [(ALNUM, 256), (string.ascii_lowercase, 1536)])
+def test_noise_of_every_band_fails(letters, least):
+    for size in (256, 400, 511, 512, 700, 1023, 1024, 1300, 1535, 1536, 2000, 2047, 2048, 3000, 4095, 4096, 8191, 8192, 30_000, 65_535, 65_536, 200_000):
+        for seed in range(3):
+            ratio, band = assess(noise(size, letters, seed))[6], quality.RULES.band(size)
+            assert size < least or ratio < band.least
+
+
+def test_clean_text_of_every_band_stays(spark, sf_dir):
+    texts = clean(spark, sf_dir)
+    kept = [assess(t)[-1] for t in texts]
+    assert sum(kept) > 0.99 * len(kept)
+
+
+def test_half_noise_in_a_long_document_fails(spark, sf_dir):
+    prose = b" ".join(t for t in clean(spark, sf_dir) if len(t) > 2048)[:52_000]
+    assert len(prose) == 52_000 and assess(prose)[-1]
+    assert not assess(prose + noise(48_000, string.ascii_lowercase))[-1]
+    assert not assess(noise(700))[-1] and not assess(prose[:4096] + noise(600))[-1]
