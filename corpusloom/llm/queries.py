@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import bin_slack, bpe, chat, dac, hash_tree, pages, parity, quality, warc, winnow, word_lm
+from corpusloom.llm import bin_slack, bpe, chat, dac, hash_tree, pages, parity, quality, spelling, warc, winnow, word_lm
 from corpusloom.llm.common import table
 from corpusloom.session import scratch_path
 
@@ -83,6 +83,11 @@ def warc_histories(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", "captured", "part", "seq")
 
 
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 12: words of all documents, each with its form and the root of its chain."""
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_chat_prefix": chat_prefix,
     "op2_host_paths": host_paths,
@@ -94,6 +99,7 @@ QUERIES = {
     "op8_compression_bands": compression_bands,
     "op9_bin_slack_packing": bin_slack_packing,
     "op10_warc_histories": warc_histories,
+    "op12_spelling_variants": spelling_variants,
 }
 
 _LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
