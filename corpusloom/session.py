@@ -56,3 +56,18 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     path = scratch_path(df.sparkSession, tag)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def bucketed(df: DataFrame, tag: str, *keys: str) -> DataFrame:
+    """Write `df` once as a table of buckets by `keys` and read it back.
+
+    A join or aggregate on exactly `keys` then reads the table in place: only the other side
+    moves.  There are as many buckets as shuffle partitions.  The table's files lie in the scratch folder;
+    its name is only known to the session's catalog.
+    """
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"corpusloom_{tag.replace('-', '_')}_{uuid.uuid4().hex}"
+    dealt = df.repartition(buckets, *keys)
+    dealt.write.format("parquet").bucketBy(buckets, *keys).option("path", scratch_path(spark, tag)).saveAsTable(name)
+    return spark.table(name)
