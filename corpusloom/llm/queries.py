@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import bin_slack, bpe, chat, dac, hash_tree, pages, parity, quality, spelling, warc, winnow, word_lm
+from corpusloom.llm import bin_slack, bpe, chat, dac, hash_tree, pages, parity, quality, repair, repeats, spelling, warc, winnow, word_lm
 from corpusloom.llm.common import table
 from corpusloom.session import scratch_path
 
@@ -83,11 +83,21 @@ def warc_histories(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", "captured", "part", "seq")
 
 
+def prefix_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 11: all documents without the bytes of any repeated string of 200 bytes."""
+    return repeats.repeat_report(table(spark, sf_dir, "documents"))
+
+
 def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 12: words of all documents, each with its form and the root of its chain."""
     return spelling.spelling_variants(table(spark, sf_dir, "documents"))
 
 
+def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 13: all conversations, damaged by rule, and the cheapest repair of each."""
+    return repair.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_chat_prefix": chat_prefix,
     "op2_host_paths": host_paths,
@@ -99,7 +109,9 @@ QUERIES = {
     "op8_compression_bands": compression_bands,
     "op9_bin_slack_packing": bin_slack_packing,
     "op10_warc_histories": warc_histories,
+    "op11_prefix_intervals": prefix_intervals,
     "op12_spelling_variants": spelling_variants,
+    "op13_conversation_repair": conversation_repair,
 }
 
 _LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
