@@ -17,9 +17,10 @@ DEFAULT_FILE = "word_bpe_49k.json"
 
 _GAP = re.compile(rb"[ \t\n\x0b\x0c\r]")
 # Between a Latin letter and the ASCII punctuation that ends its word the tokenizer always cuts, and neither
-# its normalisation nor its patterns look across that cut; a space there changes nothing.
+# its normalisation nor its patterns look across that cut; a space there changes nothing.  U+0130 is left out:
+# it lowers to a letter and a combining dot, which goes with the punctuation.
 _TAIL = re.compile(
-    r"[!-/:-@\[-`{-~](?<=[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f][!-/:-@\[-`{-~])[!-/:-@\[-`{-~]*(?=[ \t\n\x0b\x0c\r]|\Z)"
+    r"[!-/:-@\[-`{-~](?<=[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f][!-/:-@\[-`{-~])[!-/:-@\[-`{-~]*(?=[ \t\n\x0b\x0c\r]|\Z)"
 )
 _SPECIAL = b"<|"        # opens the special tokens, which the library finds before it normalises
 STRETCH = 1 << 20       # bytes of one text that are split into words at once

@@ -40,6 +40,26 @@ def test_encoder_equals_the_library(spark, sf_dir):
         assert np.frombuffer(small.encode(text.encode()), "<u4").tolist() == encode(text)
 
 
+def test_every_letter_before_every_mark():
+    """Where the encoder cuts closing punctuation off, the library must cut too: all letters, all marks, and what can stand between."""
+    encode, own = library(bpe.tokenizer_path()), bpe.WordEncoder(bpe.tokenizer_path())
+    marks = [chr(c) for c in range(33, 127) if not chr(c).isalnum()]
+    for code in range(0x41, 0x250):
+        letter = chr(code)
+        plain = " ".join(f"{letter}{m} H{letter}{m}x {letter}{m}{m}" for m in marks)
+        for text in (plain, f"{letter}\u0307, a{letter}\u0301. {letter}\u0323!", f"{letter}<|endoftext|>, {letter}, <|startoftext|>{letter}."):
+            assert np.frombuffer(own.encode(text.encode()), "<u4").tolist() == encode(text), hex(code)
+
+
+def test_random_strings():
+    encode, own, r = library(bpe.tokenizer_path()), bpe.WordEncoder(bpe.tokenizer_path()), random.Random(20)
+    letters = "aBcİıŞßÀÿœ\u0307\u0301\u0323ΣςЖ日ｶ1２９ \t\n.,'!?-_()<|>#’…\u200d\u00a0"
+    texts = ["".join(r.choices(letters, k=r.randint(1, 12))) for _ in range(20_000)]
+    texts += ["BİRLİKTELİĞİ.", "İ,", "Hİ.", "İ!İ? 'İ'"]
+    for text in texts:
+        assert np.frombuffer(own.encode(text.encode()), "<u4").tolist() == encode(text), text
+
+
 def test_encoder_cuts_long_texts(monkeypatch):
     monkeypatch.setattr(bpe, "STRETCH", 50)
     path = bpe.tokenizer_path()
