@@ -34,6 +34,7 @@ from corpusloom.session import materialize
 ARCHIVE_BYTES = 8 << 20         # an archive closes at the first record end after so many bytes
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"       # fixed value of the format
 ID = "urn:x-page:"
+MEMBER_STEP = 16 << 10
 
 
 def payload_digest(payload: bytes) -> str:
@@ -101,14 +102,31 @@ def parse_record(raw: bytes) -> dict:
 
 
 def members(content: bytes) -> Iterator[tuple[int, int, bytes]]:
-    """(offset, length, record) of every gzip member of an archive."""
+    """(offset, length, record) of every gzip member of an archive, without an index.
+
+    The archive is fed in steps, as what follows a member is copied with it.
+    """
     at, view = 0, memoryview(content)
-    while at < len(content):
-        unpack = zlib.decompressobj(wbits=31)
-        raw = unpack.decompress(view[at:])
-        length = len(content) - at - len(unpack.unused_data)
-        yield at, length, raw
-        at += length
+    while at < len(view):
+        unpack, end, parts = zlib.decompressobj(wbits=31), at, []
+        while not unpack.eof:
+            step = view[end : end + MEMBER_STEP]
+            if not step:
+                raise ValueError(f"archive ends inside the record at {at}")
+            parts.append(unpack.decompress(step))
+            end += len(step)
+        end -= len(unpack.unused_data)
+        yield at, end - at, b"".join(parts)
+        at = end
+
+
+def member(content: memoryview, offset: int, length: int) -> bytes:
+    """The record that the index places at `offset`; it must fill `length` bytes."""
+    unpack = zlib.decompressobj(wbits=31)
+    raw = unpack.decompress(content[offset : offset + length])
+    if not unpack.eof or unpack.unused_data:
+        raise ValueError(f"no record of {length} bytes at {offset}")
+    return raw
 
 
 def revisits(pages: DataFrame, least_bytes: int) -> DataFrame:
@@ -265,20 +283,27 @@ def _index_batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def read_records(stored: DataFrame) -> DataFrame:
-    """Every record of the archives: (archive, offset, page_id, payload_bytes, payload_digest, record_type, refers_to, url, captured)."""
+    """Every record of the archives: (archive, offset, page_id, payload_bytes, payload_digest, record_type, refers_to, url, captured).
+
+    Each is cut out by its line of the capture run, in order of offsets.
+    """
     kinds = {"page_id": pa.int64(), "payload_bytes": pa.int64(), "refers_to": pa.int64()}
     names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "captured"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
-            for archive, content in zip(*batch.columns):
-                found = [(at, parse_record(raw)) for at, _, raw in members(content.as_py())]
+            for archive, content, lines in zip(*batch.columns):
+                view = memoryview(content.as_py())
+                places = sorted((line["offset"], line["length"]) for line in lines.as_py())
+                if sum(length for _, length in places) != len(view):
+                    raise ValueError(f"the index of {archive} leaves out a part of it")
+                found = [(at, parse_record(member(view, at, length))) for at, length in places]
                 columns = [pa.array([f[n] for _, f in found], kinds.get(n, pa.string())) for n in names]
                 where = [pa.array([archive.as_py()] * len(found)), pa.array([at for at, _ in found], pa.int64())]
                 yield pa.RecordBatch.from_arrays([*where, *columns], names=["archive", "offset", *names])
 
     schema = ", ".join(f"{n} {'bigint' if n in kinds else 'string'}" for n in names)
-    return stored.select("archive", "content").mapInArrow(run, f"archive string, offset bigint, {schema}")
+    return stored.select("archive", "content", "run").mapInArrow(run, f"archive string, offset bigint, {schema}")
 
 
 def capture_histories(spark: SparkSession, pages: DataFrame, folder: str, captured: Column, least_bytes: int = 0) -> DataFrame:
