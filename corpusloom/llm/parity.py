@@ -4,12 +4,14 @@ A document is its set of word shingles, hashed to 64 bits.  Each shingle flips o
 bit of a sketch; what two sets share cancels, so the Hamming distance of two
 sketches never exceeds the size of the sets' symmetric difference.  A similarity of
 t bounds that difference by d = (1-t)/(1+t) (|A|+|B|).  A sketch of a size band
-therefore has d+2 words of 64 bits: at most d of them can be touched by the
-difference, so similar sets agree on two words at least.  A word with few bits says
-little, and unrelated sets often agree on one; such words are joined in twos only.
-So a pair of similar sets meets on (band, word number, word) of a full word, or on two
-sparse ones, and no link is missed.  What the join brings together is verified on
-the texts.
+has a quarter more words of 64 bits than d: at most d of them can be touched by the
+difference, and similar sets agree on all others.  A word is posted with its bits and
+with the XOR of the whole hashes in it, which the same difference leaves alone.  Words
+of no or one shingle say little and are many; a set with more than d heavier words
+posts those only, since one of them must be untouched.  The few sets without so
+many post their lighter words too, and if these are not enough, meet each other.
+So a pair of similar sets meets on (band, word number, word), no link is missed, and a set
+has keys in proportion to its size.  What the join brings together is verified on the texts.
 
 Links are wanted as components, not as a list of pairs, and a group of near copies
 agrees on the same words.  So first every group compares its members with one of
@@ -92,7 +94,7 @@ class Join:
         return out
 
     def homes(self, size: int) -> list[tuple[int, bool, int]]:
-        """(band, whether it is the set's own, words of its sketch) wherever a set of `size` must appear.
+        """(band, whether it is the set's own, largest difference of its pairs) wherever a set of `size` must appear.
 
         A pair meets in the band of its smaller set.  A set also appears in lower bands
         whose sets can be its smaller partner.
@@ -104,10 +106,15 @@ class Join:
                 break
             apart = self.difference(top + self.partner(top))
             if apart:                   # otherwise only equal sets are similar, and they are one class already
-                found.append((band, band == len(edges) - 2, apart + 2))
+                found.append((band, band == len(edges) - 2, apart))
         return found
 
 
+def sketch_words(apart: int) -> int:
+    """Words of a sketch whose sets differ in at most `apart` shingles."""
+    return apart + apart // 4 + 8
+
+
 def sketch(codes: np.ndarray, n_words: int) -> np.ndarray:
     """Parity sketch of `n_words` 64-bit words: each shingle flips one bit of one word."""
     word = (codes >> np.uint64(6)) % np.uint64(n_words)
@@ -116,21 +123,31 @@ def sketch(codes: np.ndarray, n_words: int) -> np.ndarray:
     return np.packbits(parity, bitorder="little").view("<u8")
 
 
-def sparse_bits(n_words: int) -> int:
-    """Words of at most so many bits are joined in twos; fewer in long sketches, whose twos would be many."""
-    return 3 if n_words <= 128 else 2 if n_words <= 512 else 1
+def _word_keys(codes: np.ndarray, band: int, apart: int) -> np.ndarray:
+    """Keys of a set in a band: its heavy words, and the others where those are not more than `apart`."""
+    n_words = sketch_words(apart)
+    bits = sketch(codes, n_words)
+    word = ((codes >> np.uint64(6)) % np.uint64(n_words)).astype(np.int64)
+    load = np.bincount(word, minlength=n_words)
+    whole = np.zeros(n_words, np.uint64)
+    filled = np.flatnonzero(load)
+    starts = np.cumsum(load[filled]) - load[filled]
+    whole[filled] = np.bitwise_xor.reduceat(codes[np.argsort(word, kind="stable")], starts)
+    place = np.arange(n_words, dtype=np.uint64) + np.uint64(band << 32)
+    keys = _mix(_mix(whole ^ _mix(place)) ^ bits)
+    heavy = load > 1
+    if heavy.sum() > apart:
+        return keys[heavy]
+    # sets that have too few even so can only miss each other
+    rest = _mix(np.array([(band << 32) + (1 << 31)], np.uint64))
+    return keys[filled] if len(filled) > apart else np.concatenate([keys[filled], rest])
 
 
 def postings(codes: np.ndarray, join: Join) -> tuple[np.ndarray, np.ndarray]:
     """Join keys of a set: for its own band, and for the lower bands it must also appear in."""
     own, lower = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
-    for band, is_own, n_words in join.homes(len(codes)):
-        words = sketch(codes, n_words)
-        keys = _mix(words ^ _mix(np.arange(n_words, dtype=np.uint64) + np.uint64(band << 32)))
-        sparse = np.bitwise_count(words) <= sparse_bits(n_words)
-        i, k = np.triu_indices(int(sparse.sum()), 1)
-        twos = keys[sparse]
-        (own if is_own else lower).extend([keys[~sparse], _mix(twos[i] * _M3 + twos[k])])
+    for band, is_own, apart in join.homes(len(codes)):
+        (own if is_own else lower).append(_word_keys(codes, band, apart))
     return np.concatenate(own), np.concatenate(lower)
 
 
@@ -300,18 +317,16 @@ def similar_groups(docs: DataFrame, join: Join = Join(), doc_id: str = "doc_id",
 
 
 def keep_one(docs: DataFrame, join: Join = Join(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of `docs` with the smallest id of each group, one row per id; columns as in `docs`.
+    """One row of `docs` of each group of similar texts, and all rows without words; columns as in `docs`.
 
-    Documents without words and rows with a null id all stay.  Of rows that share an id
-    any one stays.
+    Rows are told apart by a written key of their own, so neither repeated nor null ids matter to the groups.  The
+    row with the smallest id stays (nulls last; ties by a hash of the text, then any of the equal ones).
     """
-    groups = materialize(similar_groups(docs, join, doc_id, text).where("n_shingles > 0 AND doc_id IS NOT NULL"), "groups")
-    gone = groups.where("doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    # the same plan at every size: texts are placed by id
-    kept = docs.join(gone.hint("merge"), F.col(doc_id) == F.col("_gone"), "left_anti")
-    repeated = groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias("_twice"))
-    if repeated.isEmpty():
-        return kept
-    again = F.col(doc_id) == F.col("_twice")
-    some = kept.join(repeated, again, "left_semi").dropDuplicates([doc_id])
-    return kept.join(repeated, again, "left_anti").unionByName(some)
+    rows = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "keyed-rows")
+    groups = similar_groups(rows, join, "_row", text).where("n_shingles > 0").select("doc_id", "component_id")
+    names = rows.select(F.col("_row").alias("doc_id"), F.struct(F.col(doc_id).isNull(), F.col(doc_id), F.xxhash64(text), F.col("_row")).alias("name"))
+    named = materialize(groups.join(names, "doc_id"), "named-rows")
+    first = named.groupBy("component_id").agg(F.min("name").alias("first"))
+    gone = named.join(first, "component_id").where("name != first").select(F.col("doc_id").alias("_row"))
+    # the same plan at every size: texts are placed by row
+    return rows.join(gone.hint("merge"), "_row", "left_anti").drop("_row").select(*docs.columns)
