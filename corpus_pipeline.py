@@ -20,8 +20,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each group of similar ones: three-word shingles, similarity 0.9."""
-    return parity.keep_one(docs, parity.Join(words=3, percent=90))
+    """One document, that with the smallest id, of each group of similar ones: five-word shingles, similarity 0.8."""
+    return parity.keep_one(docs, parity.Join(words=5, percent=80))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
