@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import zlib
+
+import numpy as np
 import zstandard
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from corpusloom.llm import bpe, quality
-from test_joins import contaminated, grouped
+from test_joins import contaminated
+from test_near_stage import survivors
 
 
 def test_stages(spark, sf_dir, tmp_path):
@@ -25,11 +30,19 @@ def test_stages(spark, sf_dir, tmp_path):
         if name == "quality rules":
             want = [d for d, t in before if quality.assess((t or "").encode(), quality.RULES, packer)[-1]]
         elif name == "n-gram Jaccard join":
-            want = [d for d, n, c in grouped(before) if d == c or not n]
+            want = survivors(before)
         else:
             want = [r[0] for r in contaminated(before, items) if not r[-1]]
         assert kept == sorted(want) and kept
-    tokens = bpe.WordEncoder(bpe.tokenizer_path())
-    rows = docs.collect()
-    assert sum(r.length for r in rows) == sum(len(tokens.encode((t or "").encode())) // 4 + 1 for _, t in before)
-    assert {r.doc_id for r in rows} == {d for d, _ in before}
+    pieces = {}
+    for r in docs.collect():
+        pieces.setdefault(r.doc_id, []).append((r.start, r.length, r.ids_crc32, r.doc_tokens))
+    library = Tokenizer.from_file(bpe.tokenizer_path())
+    assert set(pieces) == {d for d, _ in before}
+    for d, t in before:
+        ids = np.array([*library.encode(t or "", add_special_tokens=False).ids, 1], "<u4")
+        at = 0
+        for start, length, crc, whole in sorted(pieces[d]):
+            assert (start, whole, crc) == (at, len(ids), zlib.crc32(ids[at : at + length].tobytes()))
+            at += length
+        assert at == len(ids)
