@@ -46,7 +46,7 @@ class Repeats:
 
     least: int = 200
     gram: int = 32
-    together: int = 256
+    together: int = 1 << 16     # 20 MB
 
     def __post_init__(self) -> None:
         if not 0 < self.gram <= self.least <= BLOCK:
