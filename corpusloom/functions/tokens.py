@@ -17,19 +17,18 @@ def byte_tokens(text: Column) -> Column:
     Reading the bytes back as Latin-1 gives one character per byte, so the
     split and `ascii` stay linear in the text.
     """
-    chars = F.split(F.decode(F.encode(text, "UTF-8"), "ISO-8859-1"), "")
-    return F.when(F.length(text) > 0, F.transform(chars, lambda c: F.ascii(c))).otherwise(
-        F.array().cast("array<int>")
-    )
+    return raw_tokens(F.encode(text, "UTF-8"))
+
+
+def raw_tokens(raw: Column) -> Column:
+    """Bytes of a binary value as ARRAY<INT>."""
+    chars = F.split(F.decode(raw, "ISO-8859-1"), "")
+    return F.when(F.octet_length(raw) > 0, F.transform(chars, lambda c: F.ascii(c))).otherwise(F.array().cast("array<int>"))
 
 
 def first_byte_tokens(text: Column, length: int) -> Column:
     """The first `length` of `byte_tokens`; what is cut off is never expanded."""
-    head = F.substring(F.encode(text, "UTF-8"), 1, length)
-    chars = F.split(F.decode(head, "ISO-8859-1"), "")
-    return F.when(F.length(text) > 0, F.transform(chars, lambda c: F.ascii(c))).otherwise(
-        F.array().cast("array<int>")
-    )
+    return raw_tokens(F.substring(F.encode(text, "UTF-8"), 1, length))
 
 
 def byte_count(text: Column) -> Column:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.functions.exact import exact_mean
+
 
 def cross_entropy(logits: Column, target: Column) -> Column:
     """logsumexp(logits) - logits[target], with the maximum taken out first."""
@@ -36,7 +38,7 @@ def batch_losses(losses: DataFrame, batch: Sequence[str]) -> DataFrame:
         F.count(F.lit(1)).alias("n_rows"),
         F.count("loss").alias("n_scored"),
         F.count_if("bad_target").alias("n_bad"),
-        F.avg("loss").alias("loss"),
+        exact_mean(F.col("loss")).alias("loss"),
     )
 
 
@@ -44,7 +46,7 @@ def perplexity(batches: DataFrame) -> DataFrame:
     """Both readings: mean of the batches' exp(loss), and exp of the mean batch loss."""
     return batches.agg(
         F.count("loss").alias("n_batches"),
-        F.avg("loss").alias("mean_loss"),
-        F.avg(F.exp("loss")).alias("mean_of_exp"),
-        F.exp(F.avg("loss")).alias("exp_of_mean"),
+        exact_mean(F.col("loss")).alias("mean_loss"),
+        exact_mean(F.exp("loss")).alias("mean_of_exp"),
+        F.exp(exact_mean(F.col("loss"))).alias("exp_of_mean"),
     )

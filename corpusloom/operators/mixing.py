@@ -9,14 +9,9 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.arith import ceil_div, int_div
 from corpusloom.operators.ordering import Levels, ordered_index
+from corpusloom.operators.permutation import permuted, unpermuted
 
-# The multipliers and shifts of the shuffle order.
-KEY_MULTIPLIER = 2654435761
-SEED_MULTIPLIER = 40503
-EPOCH_MULTIPLIER = 69069
-ROUNDS = ((15, 2246822519), (13, 3266489917))
-MODULUS = 1 << 31
-CELL_ROWS = 1 << 16
+RUN = 1 << 16           # positions that one row of a resumed epoch stands for
 
 
 def concat_index(df: DataFrame, key: Sequence[str], levels: Levels, source: str = "source_ord") -> DataFrame:
@@ -24,50 +19,34 @@ def concat_index(df: DataFrame, key: Sequence[str], levels: Levels, source: str
     return ordered_index(df, ["split"], [source, *key], [[F.col(source)], *levels])
 
 
-def with_shuffle_value(df: DataFrame, key: str, seed: int, epoch: int, out: str = "_h") -> DataFrame:
-    """Add the order value of a non-negative key, in [0, 2**62).
-
-    The key's upper half is mixed first and shifts the lower half, so keys that share
-    one half are strangers in the other epochs; the second 31 bits order what the
-    first cannot tell apart.
-    """
-    modulus = F.lit(MODULUS)
-    halves = df.withColumns({"_upper": F.shiftright(key, 31), "_lower": F.col(key) % modulus})
-    above = _mixed(halves, "_above", F.col("_upper"), seed, epoch)
-    high = _mixed(above, "_high", (F.col("_lower") + F.col("_above")) % modulus, seed, epoch)
-    low = _mixed(high, "_low", (F.col("_upper") + F.col("_high")) % modulus, seed + 1, epoch)
-    return low.withColumn(out, F.col("_high") * modulus + F.col("_low")).drop("_upper", "_lower", "_above", "_high", "_low")
-
-
-def _mixed(df: DataFrame, out: str, key: Column, seed: int, epoch: int) -> DataFrame:
-    """Add a 31-bit mix of a 31-bit key, without ties.
+def shuffle_epoch(indexed: DataFrame, seed: int, epoch: int, train: str = "train") -> DataFrame:
+    """`position` of each row in an epoch: shuffled for train, key order elsewhere.
 
-    The first step alone would only rotate the order from one epoch to the next; the
-    shift rounds make the epochs' orders unrelated.  Each step is a column of its own,
-    as it reads the one before twice.
+    The position is computed from the row's index, the row count, seed and epoch alone: no sort, no
+    shuffle, and the same order whenever it is asked for.
     """
-    df = df.withColumn(out, (key * F.lit(KEY_MULTIPLIER) + F.lit(seed * SEED_MULTIPLIER + epoch * EPOCH_MULTIPLIER)) % F.lit(MODULUS))
-    for shift, multiplier in ROUNDS:
-        df = df.withColumn(out, (F.col(out).bitwiseXOR(F.shiftright(out, shift)) * F.lit(multiplier)) % F.lit(MODULUS))
-    return df
+    drawn = permuted(F.col("idx"), F.col("n_rows"), seed, epoch)
+    return indexed.withColumn("position", F.when(F.col("split") == train, drawn).otherwise(F.col("idx")))
 
 
-def shuffle_epoch(indexed: DataFrame, seed: int, epoch: int, train: str = "train") -> DataFrame:
-    """`position` of each row in an epoch: shuffled for train, key order elsewhere.
+def resume_epoch(shuffled: DataFrame, seed: int, epoch: int, start: Column, train: str = "train") -> DataFrame:
+    """(split, position, idx) of an epoch from position `start` on, without ordering what came before.
 
-    The order value is spread evenly, so its high bits make balanced cells; their
-    number follows the row count, about 2**16 rows each, under at most 2**20 parents.  A
-    seed and an epoch always give the same order.
+    `shuffled` has one row per split with `n_rows`; each remaining position names its row by the inverse order.
+    Positions are made in runs of 2**16, and those in runs of as many, so one split is the work of many tasks.
     """
-    bits = F.ceil(F.log2(F.greatest(F.col("n_rows") / CELL_ROWS, F.lit(1.0)))).cast("int")
-    drawn = with_shuffle_value(indexed.where(F.col("split") == train), "idx", seed, epoch)
-    drawn = drawn.withColumns({"_bits": bits, "_n": F.col("n_rows")})
-    drawn = drawn.withColumnRenamed("idx", "_idx").drop("n_rows")
-    levels = [["shiftright(_h, 62 - least(_bits, 20))"], ["shiftright(_h, 62 - _bits)"]]
-    placed = ordered_index(drawn, ["split"], ["_h", "_idx"], levels).drop("n_rows")
-    placed = placed.withColumnsRenamed({"idx": "position", "_idx": "idx", "_n": "n_rows"})
-    kept = indexed.where(F.col("split") != train).withColumn("position", F.col("idx"))
-    return placed.select(*indexed.columns, "position").unionByName(kept.select(*indexed.columns, "position"))
+    first = F.greatest(start.cast("bigint"), F.lit(0))
+    open_ = shuffled.where(F.col("n_rows") > first).select("split", "n_rows", first.alias("_first"), (F.col("n_rows") - 1).alias("_last"))
+    wide = F.sequence(int_div(F.col("_first"), RUN * RUN), int_div(F.col("_last"), RUN * RUN))
+    left = open_.withColumn("_wide", F.explode(wide)).repartition("split", "_wide")
+    inside = F.sequence(
+        F.greatest(F.col("_wide") * RUN, int_div(F.col("_first"), RUN)), F.least((F.col("_wide") + 1) * RUN - 1, int_div(F.col("_last"), RUN))
+    )
+    left = left.withColumn("_run", F.explode(inside)).repartition("split", "_run")
+    low, high = F.greatest(F.col("_run") * RUN, F.col("_first")), F.least((F.col("_run") + 1) * RUN - 1, F.col("_last"))
+    rows = left.select("split", "n_rows", F.explode(F.sequence(low, high)).alias("position"))
+    drawn = unpermuted(F.col("position"), F.col("n_rows"), seed, epoch)
+    return rows.select("split", "position", F.when(F.col("split") == train, drawn).otherwise(F.col("position")).alias("idx"))
 
 
 def assign_batches(indexed: DataFrame, batch_size: int, index: str = "idx") -> DataFrame:

@@ -1,7 +1,9 @@
 """Bigram language model: fit, held-out loss, next-token choice.
 
-Counts are kept by token text until they are small: pairs are counted first
-(combined before the shuffle), and only distinct pairs are joined to ids.
+A pair of tokens is one LONG, (prev << 32) | next, as soon as it is made: the vocabulary's head, of bounded
+size, is broadcast and names both sides of nearly every pair in the task that read it, so what is counted
+and shuffled is LONGs.  Only pairs with a token outside of the head keep that token's text, once per
+task, until the rest of the vocabulary names it.
 """
 
 from __future__ import annotations
@@ -11,13 +13,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusloom.functions.exact import exact_sum
 from corpusloom.functions.tokens import next_token_pairs, word_tokens
 from corpusloom.operators.lookup import keyed_lookup
 from corpusloom.operators.ordering import ordered_index
+from corpusloom.operators.vocab import HEAD_ROWS, head_and_tail
 from corpusloom.schemas import EOS_ID, FIRST_WORD_ID, UNK_ID
 from corpusloom.session import materialize
 
-EOS_TOKEN = ""      # no word is empty, so this cannot clash with a token
+EOS_TOKEN = ""          # no word is empty, so this cannot clash with a token
+LOSS_HEAD_ROWS = 1 << 20        # pairs whose losses are broadcast, 16 bytes each
+CLASS_CELL_BITS = 14    # next ids of one cell where pairs of a count are ordered
 
 
 def pair_tokens(docs: DataFrame, key: Sequence[str] = (), text: str = "text") -> DataFrame:
@@ -28,22 +34,56 @@ def pair_tokens(docs: DataFrame, key: Sequence[str] = (), text: str = "text") ->
     )
 
 
-def _with_ids(pairs: DataFrame, vocab: DataFrame) -> DataFrame:
-    """Attach prev and next ids to a table of distinct token pairs."""
-    out = pairs
-    for side in ("prev", "next"):
-        names = vocab.select(F.col("token").alias(f"{side}_token"), F.col("id").alias(side))
-        out = keyed_lookup(out, names, [f"{side}_token"])
-        fallback = F.when(F.col(f"{side}_token") == EOS_TOKEN, EOS_ID).otherwise(UNK_ID)
-        # written: the next lookup reads its input twice
-        out = materialize(out.withColumn(side, F.coalesce(side, fallback)), f"pairs-{side}")
-    return out
+def pair_of(prev: Column, following: Column) -> Column:
+    return F.shiftleft(prev.cast("bigint"), 32).bitwiseOR(following.cast("bigint"))
+
+
+def prev_of(pair: Column) -> Column:
+    return F.shiftright(pair, 32).cast("int")
+
+
+def next_of(pair: Column) -> Column:
+    return pair.bitwiseAND((1 << 32) - 1).cast("int")
 
 
-def bigram_counts(docs: DataFrame, vocab: DataFrame, text: str = "text") -> DataFrame:
+def _coded(docs: DataFrame, head: DataFrame, key: Sequence[str], text: str) -> DataFrame:
+    """(key, pair, prev_open, next_open) per pair: a token outside of the head leaves 0 in the pair and its text beside it."""
+    rows = pair_tokens(docs, key, text)
+    ids, open_ = {}, {}
+    for side in ("prev", "next"):
+        token = f"{side}_token"
+        names = head.select(F.col("token").alias(token), F.col("id").alias(f"_{side}"))
+        rows = rows.join(F.broadcast(names), token, "left")
+        ids[side] = F.coalesce(f"_{side}", F.when(F.col(token) == EOS_TOKEN, EOS_ID), F.lit(0))
+        open_[side] = F.when(F.col(f"_{side}").isNull() & (F.col(token) != EOS_TOKEN), F.col(token))
+    return rows.select(*key, pair_of(ids["prev"], ids["next"]).alias("pair"), *[x.alias(f"{side}_open") for side, x in open_.items()])
+
+
+def _named(counted: DataFrame, tail: DataFrame) -> DataFrame:
+    """Rows with open tokens, coded through the rest of the vocabulary; what that does not know is unknown."""
+    rows = counted
+    for side, shift in (("prev", 32), ("next", 0)):
+        names = tail.select(F.col("token").alias(f"{side}_open"), F.col("id").cast("bigint").alias("_id"))
+        rows = rows.join(names, f"{side}_open", "left")
+        rows = rows.withColumn("pair", F.col("pair").bitwiseOR(F.shiftleft(F.coalesce("_id", F.lit(UNK_ID).cast("bigint")), shift))).drop("_id")
+    return rows.drop("prev_open", "next_open")
+
+
+def pair_counts(docs: DataFrame, vocab: DataFrame, text: str = "text", max_rows: int = HEAD_ROWS) -> DataFrame:
+    """(pair, n) over all documents; one pass over the texts, counts combined before the shuffle."""
+    head, tail = head_and_tail(vocab, max_rows)
+    counted = _coded(docs, head, [], text).groupBy("pair", "prev_open", "next_open").agg(F.count(F.lit(1)).alias("n"))
+    counted = materialize(counted, "coded-pairs")
+    is_open = F.col("prev_open").isNotNull() | F.col("next_open").isNotNull()
+    # a pair named by the tail holds an id the head does not have, so the two parts share no pair
+    named = _named(counted.where(is_open), tail).groupBy("pair").agg(F.sum("n").alias("n"))
+    return counted.where(~is_open).select("pair", "n").unionByName(named)
+
+
+def bigram_counts(docs: DataFrame, vocab: DataFrame, text: str = "text", max_rows: int = HEAD_ROWS) -> DataFrame:
     """(prev, next, n) by token id."""
-    typed = pair_tokens(docs, text=text).groupBy("prev_token", "next_token").agg(F.count(F.lit(1)).alias("n"))
-    return _with_ids(materialize(typed, "pairs"), vocab).groupBy("prev", "next").agg(F.sum("n").alias("n"))
+    pairs = pair_counts(docs, vocab, text, max_rows)
+    return pairs.select(prev_of(F.col("pair")).alias("prev"), next_of(F.col("pair")).alias("next"), "n")
 
 
 def context_totals(bigrams: DataFrame) -> DataFrame:
@@ -66,38 +106,66 @@ def vocab_size(vocab: DataFrame) -> int:
 
 
 def pair_types_scored(
-    held_out: DataFrame, vocab: DataFrame, bigrams: DataFrame, size: int, k: float, text: str = "text"
+    held_out: DataFrame, vocab: DataFrame, bigrams: DataFrame, size: int, k: float, text: str = "text", max_rows: int = HEAD_ROWS
 ) -> DataFrame:
-    """Each distinct held-out token pair with its count and loss -ln p(next | prev)."""
-    types = pair_tokens(held_out, text=text).groupBy("prev_token", "next_token").agg(F.count(F.lit(1)).alias("n_pairs"))
-    named = _with_ids(materialize(types, "pairs"), vocab)
-    scored = keyed_lookup(named.join(bigrams, ["prev", "next"], "left"), context_totals(bigrams), ["prev"])
+    """(pair, n_pairs, loss): each distinct held-out pair, its count and -ln p(next | prev)."""
+    types = pair_counts(held_out, vocab, text, max_rows).withColumnRenamed("n", "n_pairs")
+    known = bigrams.select(pair_of(F.col("prev"), F.col("next")).alias("pair"), "n")
+    found = types.join(known, "pair", "left").withColumn("prev", prev_of(F.col("pair")))
+    scored = keyed_lookup(found, context_totals(bigrams), ["prev"])
     p = smoothed(F.coalesce("n", F.lit(0)), F.coalesce("context_n", F.lit(0)), size, k)
-    return scored.select("prev_token", "next_token", "n_pairs", (-F.log(p)).alias("loss"))
+    return scored.select("pair", "n_pairs", (-F.log(p)).alias("loss"))
 
 
 def overall_loss(scored: DataFrame) -> DataFrame:
     """Held-out loss and perplexity from the scored pair types."""
-    loss = F.sum(F.col("n_pairs") * F.col("loss")) / F.sum("n_pairs")
+    loss = exact_sum(F.col("n_pairs") * F.col("loss")) / F.sum("n_pairs")
     return scored.agg(F.sum("n_pairs").alias("n_pairs"), loss.alias("loss"), F.exp(loss).alias("perplexity"))
 
 
-def document_losses(held_out: DataFrame, key: Sequence[str], scored: DataFrame, text: str = "text") -> DataFrame:
-    """Held-out loss and perplexity per document.
+def _most_frequent(scored: DataFrame, max_rows: int) -> Column:
+    """Condition for the pairs of the most frequent magnitudes, `max_rows` of them at most."""
+    sizes = scored.groupBy(F.floor(F.log2("n_pairs")).alias("bits")).agg(F.count(F.lit(1)).alias("k")).collect()     # 63 rows at most
+    least, seen = 62, 0
+    for row in sorted(sizes, reverse=True):
+        seen += row.k
+        if seen > max_rows:
+            break
+        least = row.bits
+    return F.col("n_pairs") >= (1 << int(least))
+
+
+def document_losses(
+    held_out: DataFrame,
+    key: Sequence[str],
+    vocab: DataFrame,
+    scored: DataFrame,
+    text: str = "text",
+    max_rows: int = HEAD_ROWS,
+    max_losses: int = LOSS_HEAD_ROWS,
+) -> DataFrame:
+    """Held-out loss and perplexity per document; `scored` is a written table of `pair_types_scored`.
 
-    A document's repeated pairs are counted first; the loss of each pair then
-    comes from the type table by a lookup that tolerates frequent pairs.
+    Losses of the most frequent pairs are broadcast, so most of a document is summed where it is
+    read and leaves one row; only its other pairs are shuffled, as LONGs.
     """
     key = list(key)
-    # placed by document first, so the raw text is shuffled and not its pairs
-    pairs = pair_tokens(held_out.select(*key, text).repartition(*key), key, text).groupBy(*key, "prev_token", "next_token").agg(
-        F.count(F.lit(1)).alias("n_pairs")
-    )
-    priced = keyed_lookup(pairs, scored.drop("n_pairs"), ["prev_token", "next_token"])
-    loss = F.sum(F.col("n_pairs") * F.col("loss")) / F.sum("n_pairs")
-    return priced.groupBy(*key).agg(
-        F.sum("n_pairs").alias("n_pairs"), loss.alias("loss"), F.exp(loss).alias("perplexity")
+    head, tail = head_and_tail(vocab, max_rows)
+    often = scored.where(_most_frequent(scored, max_losses)).select(F.col("pair").alias("_closed"), "loss")
+    rows = _coded(held_out, head, key, text)
+    closed = F.when(F.col("prev_open").isNull() & F.col("next_open").isNull(), F.col("pair"))
+    rows = rows.withColumn("_closed", closed).join(F.broadcast(often), "_closed", "left")
+    left = F.col("loss").isNull()
+    place = [F.when(left, F.col(c)).alias(c) for c in ("pair", "prev_open", "next_open")]
+    counted = rows.select(*key, *place, "loss").groupBy(*key, "pair", "prev_open", "next_open").agg(
+        F.count(F.lit(1)).alias("n_pairs"), exact_sum(F.col("loss")).alias("lost")
     )
+    counted = materialize(counted, "document-pairs")
+    named = _named(counted.where("pair IS NOT NULL").drop("lost"), tail)
+    priced = named.join(scored.select("pair", "loss"), "pair").select(*key, "n_pairs", (F.col("n_pairs") * F.col("loss")).alias("lost"))
+    every = counted.where("pair IS NULL").select(*key, "n_pairs", "lost").unionByName(priced)
+    loss = exact_sum(F.col("lost")) / F.sum("n_pairs")
+    return every.groupBy(*key).agg(F.sum("n_pairs").alias("n_pairs"), loss.alias("loss"), F.exp(loss).alias("perplexity"))
 
 
 def tempered(bigrams: DataFrame, temperature: float) -> DataFrame:
@@ -119,18 +187,24 @@ def top_k(distribution: DataFrame, k: int, weight: str = "n") -> DataFrame:
 
 
 def top_p(bigrams: DataFrame, p: float) -> DataFrame:
-    """Nucleus: next tokens kept while the probability before them is under `p`.
+    """Nucleus: next tokens kept while the probability before them is under `p`, most frequent first, then by id.
 
-    The running total is exact (integer counts) and two-level inside each
-    context: cells are count magnitudes, and id ranges among the pairs seen
-    once, the long tail of a frequent context.
+    The pairs of a context that share a count form a class.  A context has few of them (k different
+    counts need k*k/2 occurrences), and their running totals say which can be in the nucleus.  Only the pairs of
+    those are ordered, class by class, in cells of ids.  All totals are integers.
     """
-    ranked = bigrams.withColumn("_fall", -F.col("n"))
-    tail = F.when(F.col("n") == 1, F.shiftright("next", 20)).otherwise(0)
-    levels = [[-F.floor(F.log2("n")), tail]]
-    placed = ordered_index(ranked, ["prev"], ["_fall", "next"], levels, weights=["n"])
-    kept = placed.where(F.col("n_before") < F.lit(p) * F.col("n_total"))
-    return kept.select("prev", "next", "n", (F.col("n_before") / F.col("n_total")).alias("p_before"))
+    classes = materialize(bigrams.groupBy("prev", "n").agg(F.count(F.lit(1)).alias("k")), "count-classes")
+    mass = (F.col("n") * F.col("k")).alias("_mass")
+    falling = Window.partitionBy("prev").orderBy(F.col("n").desc())
+    upto = F.sum("_mass").over(falling.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    placed = classes.select("prev", "n", mass).select(
+        "prev", "n", (upto - F.col("_mass")).alias("_before"), F.sum("_mass").over(Window.partitionBy("prev")).alias("_total")
+    )
+    placed = placed.where(F.col("_before") < F.lit(p) * F.col("_total"))
+    inside = ordered_index(bigrams.join(placed, ["prev", "n"]), ["prev", "n"], ["next"], [[f"shiftright(next, {CLASS_CELL_BITS})"]])
+    before = F.col("_before") + F.col("n") * F.col("idx")
+    kept = inside.select("prev", "next", "n", before.alias("_before"), "_total").where(F.col("_before") < F.lit(p) * F.col("_total"))
+    return kept.select("prev", "next", "n", (F.col("_before") / F.col("_total")).alias("p_before"))
 
 
 def greedy_table(bigrams: DataFrame) -> DataFrame:

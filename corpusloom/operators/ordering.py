@@ -103,6 +103,23 @@ def ordered_index(
     )
 
 
+def _prefixes(cells: DataFrame, by: list[str], fn, pick, bits: int, tiers: int) -> DataFrame:
+    """`_prefix` of each `_cell`: `fn` over `_v` of all earlier cells.
+
+    Cells are scanned inside parents of 2**bits, parents inside theirs, so no window is longer
+    than that below the last tier.
+    """
+    if not tiers:
+        earlier = Window.partitionBy(*by).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+        return cells.select(*by, "_cell", fn("_v").over(earlier).alias("_prefix"))
+    up = F.shiftright("_cell", bits).alias("_up")
+    earlier = Window.partitionBy(*by, "_up").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    local = cells.select(*by, up, "_cell", "_v").withColumn("_local", fn("_v").over(earlier))
+    parents = cells.groupBy(*by, up).agg(fn("_v").alias("_v")).withColumnRenamed("_up", "_cell")
+    above = _prefixes(parents, by, fn, pick, bits, tiers - 1).withColumnsRenamed({"_cell": "_up", "_prefix": "_above"})
+    return local.join(above, [*by, "_up"]).select(*by, "_cell", pick("_local", "_above").alias("_prefix"))
+
+
 def running(
     df: DataFrame,
     by: Sequence[str],
@@ -113,17 +130,18 @@ def running(
     out: str,
     include_current: bool = False,
     cell_bits: int = 16,
+    tiers: int = 1,
 ) -> DataFrame:
     """Running min or max of `value` over the dense position `pos` inside `by`.
 
     `fn` is the aggregate (`F.min`/`F.max`), `pick` its row-wise form
-    (`F.least`/`F.greatest`, which skip nulls).
+    (`F.least`/`F.greatest`, which skip nulls).  Positions fall into cells of 2**cell_bits, cells into
+    parents of as many, and so on for `tiers`: with the defaults no window is over 2**16 rows up to 2**48 positions.
     """
     by = list(by)
     rows = df.withColumn("_cell", F.shiftright(F.col(pos).cast("bigint"), cell_bits))
     cells = rows.groupBy(*by, "_cell").agg(fn(value).alias("_v"))
-    earlier = Window.partitionBy(*by).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    prefix = cells.select(*by, "_cell", fn("_v").over(earlier).alias("_prefix"))
+    prefix = _prefixes(cells, by, fn, pick, cell_bits, tiers)
     last = Window.currentRow if include_current else -1
     inside = Window.partitionBy(*by, "_cell").orderBy(pos).rowsBetween(Window.unboundedPreceding, last)
     return (

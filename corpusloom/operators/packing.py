@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.arith import ceil_div, int_div
 from corpusloom.operators.ordering import Levels, cell_offsets, ordered_index
-from corpusloom.schemas import PACK_BATCH_ROWS
+from corpusloom.functions.tokens import raw_tokens
+from corpusloom.schemas import BYTE_EOS, PACK_BATCH_ROWS
 from corpusloom.session import materialize
 
 
@@ -95,22 +97,44 @@ def _level_columns(df: DataFrame, by: list[str], key: list[str]) -> list[str]:
     return [c for c in df.columns if c.startswith("cell") and c not in by and c not in key]
 
 
+@dataclass(frozen=True)
+class Content:
+    """A document's tokens as bytes, `width` to a token, and the mark that ends it (None for none).
+
+    Only bytes are cut and moved; `decode` makes ids of what a block gathered.
+    """
+
+    raw: Column
+    eos: int | None = BYTE_EOS
+    width: int = 1
+    decode: Callable[[Column], Column] = raw_tokens
+
+    def count(self) -> Column:
+        return int_div(F.octet_length(self.raw), self.width) + int(self.eos is not None)
+
+
+def text_bytes(text: str = "text", eos: int | None = BYTE_EOS) -> Content:
+    """The UTF-8 bytes of a text as tokens."""
+    return Content(F.coalesce(F.col(text), F.lit("")).cast("binary"), eos)
+
+
 def pack_blocks(
     df: DataFrame,
     plan: DataFrame,
     by: Sequence[str],
     key: Sequence[str],
-    ids: Column,
+    ids: Column | Content,
     block_length: int,
     join: str = "shuffle_hash",
 ) -> DataFrame:
     """Blocks of exactly `block_length` tokens; each group's tail is dropped.
 
-    `ids` builds a row's tokens and `plan` (from `pack_plan`) says where they
+    `ids` is a row's tokens and `plan` (from `pack_plan`) says where they
     go.  Every row is cut into the fragments that fall in each block, and a
     block gathers its fragments: at most `block_length` of them, however long
-    or skewed the documents are.  `join` may say `broadcast` for a plan of
-    proven size.
+    or skewed the documents are.  Tokens given as `Content` travel as bytes; where
+    `df` is a table of buckets by `by` and `key`, the texts meet the plan in place.
+    `join` may say `broadcast` for a plan of proven size.
     """
     by, key = list(by), list(key)
     size = F.lit(block_length).cast("bigint")
@@ -119,11 +143,12 @@ def pack_blocks(
     )
     start, end = F.col("token_offset"), F.col("token_offset") + F.col("n_tokens")
     last = F.least(int_div(end - 1, block_length), int_div(F.col("group_tokens"), block_length) - 1)
+    content = ids if isinstance(ids, Content) else None
     # Hashing the narrow plan leaves the wide text rows unsorted, and never
     # broadcasts the text however small a run is.
     rows = df.join(used.hint(join), [*by, *key]).select(
         *by, "pack_group", "first_block", "token_offset", "n_tokens",
-        int_div(start, block_length).alias("_from"), last.alias("_to"), ids.alias("_ids"),
+        int_div(start, block_length).alias("_from"), last.alias("_to"), (content.raw if content else ids).alias("_tokens"),
     )
 
     # The slice stays outside higher-order functions: there it would unpack the
@@ -131,23 +156,40 @@ def pack_blocks(
     spans = rows.select("*", F.explode(F.sequence("_from", "_to")).alias("block"))
     at = F.greatest(start, F.col("block") * size)
     stop = F.least(end, (F.col("block") + 1) * size)
-    part = F.slice("_ids", (at - start + 1).cast("int"), (stop - at).cast("int"))
+    part = _slice(content, at - start, stop - start, F.col("n_tokens"))
     pieces = spans.select(*by, "pack_group", "first_block", "block", at.alias("at"), part.alias("part"))
     block_id = (F.col("first_block") + F.col("block")).alias("block_id")
     blocks = pieces.groupBy(*by, "pack_group", block_id).agg(
         F.sort_array(F.collect_list(F.struct("at", "part"))).alias("_parts")
     )
-    tokens = F.flatten(F.col("_parts.part"))
-    return blocks.select(
+    tokens = F.flatten(F.transform("_parts", lambda p: _ids(content, p["part"])))
+    return blocks.select(*by, "block_id", "pack_group", tokens.alias("input_ids")).select(
         *by,
         "block_id",
         "pack_group",
-        tokens.alias("input_ids"),
-        tokens.alias("labels"),
+        "input_ids",
+        F.col("input_ids").alias("labels"),
         F.array_repeat(F.lit(1), block_length).alias("attention_mask"),
     )
 
 
+def _slice(content: Content | None, first: Column, stop: Column, n_tokens: Column) -> Column:
+    """Tokens `first` to `stop` of a document: an array, or bytes and whether its end mark follows."""
+    if content is None:
+        return F.slice("_tokens", (first + 1).cast("int"), (stop - first).cast("int"))
+    ends = (stop == n_tokens) if content.eos is not None else F.lit(False)
+    length = (stop - first - ends.cast("int")) * content.width
+    raw = F.substring("_tokens", (first * content.width + 1).cast("int"), length.cast("int"))
+    return F.struct(raw.alias("raw"), ends.alias("ends"))
+
+
+def _ids(content: Content | None, part: Column) -> Column:
+    if content is None:
+        return part
+    ids = content.decode(part["raw"])
+    return ids if content.eos is None else F.when(part["ends"], F.concat(ids, F.array(F.lit(content.eos)))).otherwise(ids)
+
+
 def pack_stats(plan: DataFrame, by: Sequence[str], block_length: int) -> DataFrame:
     """Tokens, whole blocks and dropped tail tokens of each pack group."""
     return plan.groupBy(*by, "pack_group").agg(F.sum("n_tokens").alias("n_tokens")).select(

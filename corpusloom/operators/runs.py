@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.arith import int_div
+from corpusloom.functions.exact import exact_sum
 from corpusloom.operators.ordering import ordered_index, running
 from corpusloom.session import materialize
 
@@ -27,7 +28,7 @@ def epoch_means(metrics: DataFrame, weight: str) -> DataFrame:
     return metrics.groupBy("run", "epoch", "name").agg(
         F.count(F.lit(1)).alias("n_steps"),
         F.max_by("value", "step").alias("last_value"),
-        (F.sum(F.col("value") * F.col(weight)) / F.sum(weight)).alias("mean_value"),
+        (exact_sum(F.col("value") * F.col(weight)) / F.sum(weight)).alias("mean_value"),
     )
 
 

@@ -31,6 +31,12 @@ def build_vocab(docs: DataFrame, text: str = "text") -> DataFrame:
     return materialize(ranked, "vocab")
 
 
+def head_and_tail(vocab: DataFrame, max_rows: int = HEAD_ROWS) -> tuple[DataFrame, DataFrame]:
+    """The most frequent tokens, of a size that may be broadcast, and all others."""
+    in_head = (F.col("id") < FIRST_WORD_ID + max_rows) & (F.octet_length("token") <= HEAD_TOKEN_BYTES)
+    return vocab.where(in_head), vocab.where(~in_head)
+
+
 def map_arrays(
     df: DataFrame,
     key: Sequence[str],
@@ -50,8 +56,7 @@ def map_arrays(
     goes through a shuffle once per row and token, frequent tokens never.
     """
     key = list(key)
-    in_head = (F.col("id") < FIRST_WORD_ID + max_rows) & (F.octet_length("token") <= HEAD_TOKEN_BYTES)
-    head, tail = vocab.where(in_head).select(on, value), vocab.where(~in_head).select(on, value)
+    head, tail = (part.select(on, value) for part in head_and_tail(vocab, max_rows))
     # an empty array still yields one row, without a position, so its row survives
     exploded = df.repartition(*key).select(*key, F.posexplode_outer(array).alias("_at", on))
     found = exploded.join(F.broadcast(head), on, "left")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as txt
+from corpusloom.functions.arith import int_div
 from corpusloom.operators import manifest, mixing
 from corpusloom.operators.slicing import (
     first_rows,
@@ -174,6 +175,14 @@ def shuffle_epoch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shuffled.select("split", "dataset", "key1", "key2", "idx", "position")
 
 
+def resume_epoch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of the epoch after a third of each split: the rows by their positions, in no need of the earlier ones."""
+    indexed = fx.concatenated(spark, sf_dir)
+    sizes = indexed.groupBy("split").agg(F.first("n_rows").alias("n_rows"))
+    left = mixing.resume_epoch(sizes, fx.SEED, fx.EPOCH, int_div(F.col("n_rows"), 3))
+    return left.join(indexed.drop("n_rows"), ["split", "idx"]).select("split", "position", "idx", "dataset", "key1", "key2")
+
+
 def batch_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     batched = mixing.assign_batches(fx.concatenated(spark, sf_dir), BATCH_SIZE)
     return batched.select("split", "idx", "dataset", "key1", "key2", "batch_id", "batch_pos")
@@ -212,6 +221,7 @@ QUERIES = {
     "sample_per_dataset": sample_per_dataset,
     "concat_sources": concat_sources,
     "shuffle_epoch": shuffle_epoch,
+    "resume_epoch": resume_epoch,
     "batch_assign": batch_assign,
     "rank_plan": rank_plan,
 }

@@ -82,23 +82,23 @@ def bigram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram.with_context_totals(bigrams).select("prev", "next", "n", "context_n", F.round(p, 6).alias("p"))
 
 
-def _scored_pairs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def _scored_pairs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Held-out texts, vocabulary, and the held-out pair types with their losses."""
     vocab, bigrams = _train_bigrams(spark, sf_dir)
     held_out = text_documents(spark, sf_dir).where(F.col("split") == "validation")
-    size = ngram.vocab_size(vocab)
-    return held_out, ngram.pair_types_scored(held_out, vocab, bigrams, size, SMOOTHING)
+    return held_out, vocab, ngram.pair_types_scored(held_out, vocab, bigrams, ngram.vocab_size(vocab), SMOOTHING)
 
 
 def bigram_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, scored = _scored_pairs(spark, sf_dir)
+    _, _, scored = _scored_pairs(spark, sf_dir)
     return ngram.overall_loss(scored).select(
         "n_pairs", F.round("loss", 6).alias("loss"), F.round("perplexity", 4).alias("perplexity")
     )
 
 
 def bigram_eval_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    held_out, scored = _scored_pairs(spark, sf_dir)
-    found = ngram.document_losses(held_out, ["doc_id"], materialize(scored, "pair-losses"))
+    held_out, vocab, scored = _scored_pairs(spark, sf_dir)
+    found = ngram.document_losses(held_out, ["doc_id"], vocab, materialize(scored, "pair-losses"))
     return found.select(
         "doc_id", "n_pairs", F.round("loss", 6).alias("loss"), F.round("perplexity", 3).alias("perplexity")
     )

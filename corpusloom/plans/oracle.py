@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from corpusloom.functions.text import WHITESPACE
 from corpusloom.functions.tokens import WORD_PATTERN
+from corpusloom.operators.permutation import KEY_MODULUS, KEY_SHIFT, MIX_MODULUS, MIX_SHIFT, MULTIPLIERS, salts
 
 SPLIT = "CASE {key} % 10 WHEN 0 THEN 'validation' WHEN 1 THEN 'test' ELSE 'train' END"
 
@@ -37,22 +38,27 @@ REPR = (
 )
 
 
-def _shuffled(source: str, key: str, seed: int = 42, epoch: int = 1) -> str:
-    """`drawn`: the rows of `source` with the two halves h and l of their shuffle order."""
-    steps, at = [], source
+def _shuffled(source: str, key: str, n: str, seed: int = 42, epoch: int = 1) -> str:
+    """`drawn`: the rows of `source` (with `split`) and each one's `position` in the epoch's order of its split."""
 
-    def mix(out: str, value: str, salt: int) -> None:
-        nonlocal at
-        forms = [f"(({value}) * 2654435761 + {salt * 40503 + epoch * 69069}) % 2147483648"]
-        forms += [f"(xor({out}, {out} >> {shift}) * {factor}) % 2147483648" for shift, factor in ((15, 2246822519), (13, 3266489917))]
-        for i, form in enumerate(forms):
-            steps.append(f"{out}{i} AS (SELECT {'*, ' if i == 0 else '* REPLACE ('}{form} AS {out}{'' if i == 0 else ')'} FROM {at})")
-            at = f"{out}{i}"
+    def hashed(digit: str, salts: tuple[int, int]) -> str:
+        keyed = f"((({digit}) * {MULTIPLIERS[0]} + {salts[0]}) % {KEY_MODULUS} >> {KEY_SHIFT})"
+        return f"(({keyed} * {MULTIPLIERS[1]} + {salts[1]}) % {MIX_MODULUS} >> {MIX_SHIFT})"
 
-    mix("u", f"{key} // 2147483648", seed)
-    mix("h", f"({key} % 2147483648 + u) % 2147483648", seed)
-    mix("l", f"({key} // 2147483648 + h) % 2147483648", seed + 1)
-    return ",\n".join([*steps, f"drawn AS (SELECT * FROM {at})"])
+    def mixed(x: str) -> str:
+        high, low = f"({x} // b)", f"({x} % b)"
+        for i, pair in enumerate(salts(seed, epoch)):
+            if i % 2 == 0:
+                high = f"(({high} + {hashed(low, pair)}) % a)"
+            else:
+                low = f"(({low} + {hashed(high, pair)}) % b)"
+        return f"({high} * b + {low})"
+
+    return f"""digits AS (SELECT split, {key} AS k, {n} AS size, a, ({n} + a - 1) // a AS b
+  FROM (SELECT *, (floor(sqrt({n}::DOUBLE)) + 1)::BIGINT AS a FROM {source})),
+walked AS (SELECT *, {mixed('k')} AS place FROM digits UNION ALL SELECT split, k, size, a, b, {mixed('place')} FROM walked WHERE place >= size),
+drawn AS (SELECT s.*, CASE WHEN s.split = 'train' THEN w.place ELSE s.{key} END AS position
+  FROM {source} s JOIN walked w ON w.split = s.split AND w.k = s.{key} WHERE w.place < w.size)"""
 
 
 def _pack(group: str) -> str:
@@ -87,8 +93,8 @@ SHARD_GROUP = """(CASE
 WORDS = f"regexp_extract_all(text, '{WORD_PATTERN}')"
 
 VOCAB = DOCS + f""",
-counts AS (SELECT token, count(*) AS n FROM (SELECT unnest({WORDS}) AS token FROM docs WHERE split = 'train') GROUP BY token),
-vocab AS (SELECT token, n, (row_number() OVER (ORDER BY n DESC, token) + 2)::INT AS id FROM counts)"""
+counts AS MATERIALIZED (SELECT token, count(*) AS n FROM (SELECT unnest({WORDS}) AS token FROM docs WHERE split = 'train') GROUP BY token),
+vocab AS MATERIALIZED (SELECT token, n, (row_number() OVER (ORDER BY n DESC, token) + 2)::INT AS id FROM counts)"""
 
 ENCODED = VOCAB + f""",
 toks AS (SELECT doc_id, unnest(w) AS token, generate_subscripts(w, 1) AS p
@@ -98,10 +104,10 @@ enc AS (SELECT doc_id, p, token, coalesce(id, 0) AS id FROM toks LEFT JOIN vocab
 BIGRAMS = VOCAB + f""",
 words AS (SELECT doc_id, split, list_concat({WORDS}, ['']) AS w FROM docs),
 seq AS (SELECT doc_id, split, unnest(w) AS token, generate_subscripts(w, 1) AS p FROM words),
-ids AS (SELECT doc_id, split, p, CASE WHEN token = '' THEN 1 ELSE coalesce(id, 0) END AS id FROM seq LEFT JOIN vocab USING (token)),
+ids AS MATERIALIZED (SELECT doc_id, split, p, CASE WHEN token = '' THEN 1 ELSE coalesce(id, 0) END AS id FROM seq LEFT JOIN vocab USING (token)),
 pairs AS (SELECT * FROM (SELECT doc_id, split, id AS prev,
   lead(id) OVER (PARTITION BY doc_id ORDER BY p) AS next FROM ids) WHERE next IS NOT NULL),
-bigrams AS (SELECT prev, next, count(*) AS n FROM pairs WHERE split = 'train' GROUP BY prev, next),
+bigrams AS MATERIALIZED (SELECT prev, next, count(*) AS n FROM pairs WHERE split = 'train' GROUP BY prev, next),
 contexts AS (SELECT prev, sum(n)::BIGINT AS context_n FROM bigrams GROUP BY prev),
 size AS (SELECT count(*) + 3 AS v FROM vocab)"""
 
@@ -196,10 +202,12 @@ SELECT dataset, split, key1, key2, text FROM ix WHERE dataset <> 'pages' AND (sp
 SELECT dataset, sample, key1, key2, text FROM (SELECT *,
   row_number() OVER (PARTITION BY dataset ORDER BY key1, key2)::INT AS sample FROM usable) WHERE sample <= 3""",
     "concat_sources": f"WITH {CONCAT} SELECT split, dataset, key1, key2, idx, n_rows FROM concat_rows",
-    "shuffle_epoch": f"""WITH {CONCAT},
-{_shuffled('concat_rows', 'idx')}
-SELECT split, dataset, key1, key2, idx, row_number() OVER (
-  PARTITION BY split ORDER BY CASE WHEN split = 'train' THEN h END, CASE WHEN split = 'train' THEN l END, idx) - 1 AS position FROM drawn""",
+    "shuffle_epoch": f"""WITH RECURSIVE {CONCAT},
+{_shuffled('concat_rows', 'idx', 'n_rows')}
+SELECT split, dataset, key1, key2, idx, position FROM drawn""",
+    "resume_epoch": f"""WITH RECURSIVE {CONCAT},
+{_shuffled('concat_rows', 'idx', 'n_rows')}
+SELECT split, position, idx, dataset, key1, key2 FROM drawn WHERE position >= n_rows // 3""",
     "batch_assign": f"""WITH {CONCAT} SELECT split, idx, dataset, key1, key2, idx // 4 AS batch_id, idx % 4 AS batch_pos FROM concat_rows""",
     "rank_plan": f"""WITH {CONCAT}, slots AS (SELECT split, idx,
   unnest(range(idx, ((n_rows + 1) // 2) * 2, n_rows)) AS slot FROM concat_rows)
@@ -334,12 +342,10 @@ cut AS (SELECT dataset, source_ord, split, g, o // 128 AS b, string_agg(id::VARC
 blocks AS (SELECT *, row_number() OVER (PARTITION BY dataset, split ORDER BY g, b) - 1 AS block_id FROM cut),
 together AS (SELECT *, row_number() OVER (PARTITION BY split ORDER BY source_ord, block_id) - 1 AS i,
   count(*) OVER (PARTITION BY split) AS n FROM blocks),
-{_shuffled('together', 'i')},
-placed AS (SELECT *, row_number() OVER (PARTITION BY split
-  ORDER BY CASE WHEN split = 'train' THEN h END, CASE WHEN split = 'train' THEN l END, i) - 1 AS place FROM drawn),
-slots AS (SELECT *, unnest(range(place, ((n + 1) // 2) * 2, n)) AS slot FROM placed)"""
+{_shuffled('together', 'i', 'n')},
+slots AS (SELECT *, unnest(range(position, ((n + 1) // 2) * 2, n)) AS slot FROM drawn)"""
 
-TOKEN_SQL["rank_export"] = f"""WITH {_SLICED} SELECT split, slot, slot % 2 AS rank, (slot // 2) // 4 AS micro_batch,
+TOKEN_SQL["rank_export"] = f"""WITH RECURSIVE {_SLICED} SELECT split, slot, slot % 2 AS rank, (slot // 2) // 4 AS micro_batch,
   ((slot // 2) // 4) // 2 AS opt_step, dataset, block_id, input_ids FROM slots"""
 
 TOKEN_SQL["rank_export_no_eos"] = TOKEN_SQL["rank_export"].replace(f"list_concat({BYTES}, [256])", BYTES)

@@ -16,10 +16,11 @@ from corpusloom.operators.vocab import build_vocab, decode_words, encode_words
 from corpusloom.plans import fixtures as fx
 from corpusloom.plans import prepare as prep
 from corpusloom.schemas import BATCH_SIZE, BLOCK_LENGTH, BYTE_EOS, EOS_ID, PACKED_COLUMNS
-from corpusloom.session import scratch_path
+from corpusloom.session import bucketed, scratch_path
 from corpusloom.sources import store
 from corpusloom.sources.corpora import CORPUS_KEY, read_table, scan_corpora
 from corpusloom.streaming import ingest
+from corpusloom.streaming.stateful import pack_stateful
 
 BYTE_MASK = 101     # fixed value: the byte standing in for the mask token
 
@@ -146,12 +147,14 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def packed_documents(
     spark: SparkSession, sf_dir: str, scope: str = "batch", batch_rows: int = fx.PACK_ROWS, shards: int = 1
 ) -> DataFrame:
-    """Byte-packed blocks of every split of the documents."""
-    docs = fx.documents(spark, sf_dir).select("split", "doc_id", "text")
-    plan = packing.pack_plan(
-        docs, ["split"], fx.DOC_KEY, fx.DOC_LEVELS, byte_length(), BLOCK_LENGTH, scope, batch_rows, shards
-    )
-    return packing.pack_blocks(docs, plan, ["split"], fx.DOC_KEY, byte_ids(), BLOCK_LENGTH)
+    """Byte-packed blocks of every split of the documents.
+
+    The texts are placed once, in buckets by their key; counts, plan and texts meet there.
+    """
+    docs = bucketed(text_documents(spark, sf_dir), "texts", "split", *fx.DOC_KEY)
+    content = packing.text_bytes()
+    plan = packing.pack_plan(docs, ["split"], fx.DOC_KEY, fx.DOC_LEVELS, content.count(), BLOCK_LENGTH, scope, batch_rows, shards)
+    return packing.pack_blocks(docs, plan, ["split"], fx.DOC_KEY, content, BLOCK_LENGTH)
 
 
 def pack_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -259,19 +262,21 @@ def stream_tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents arriving in files that hold whole pack groups, packed per arriving batch."""
+    """Documents whose pack groups arrive in parts, over three batches; open groups wait in the stream's state."""
     docs = fx.documents(spark, sf_dir)
     placed = ordered_index(docs.select("split", "doc_id"), ["split"], fx.DOC_KEY, fx.DOC_LEVELS)
-    groups = placed.select("doc_id", int_div(F.col("idx"), fx.PACK_ROWS).alias("arrival_group"))
+    group = int_div(F.col("idx"), fx.PACK_ROWS)
+    last = group == int_div(F.col("n_rows") - 1, fx.PACK_ROWS)
+    rows = F.when(last, F.col("n_rows") - group * fx.PACK_ROWS).otherwise(fx.PACK_ROWS)
+    groups = placed.select("doc_id", group.alias("arrival_group"), rows.cast("bigint").alias("group_rows"))
     arriving = docs.select("split", "doc_id", "text").join(groups, "doc_id")
-    folder = _landed(arriving.repartition("split", "arrival_group"), "arriving")
+    folder = _landed(arriving.repartition(6, "doc_id"), "arriving")
     sink, checkpoint = scratch_path(spark, "packed"), scratch_path(spark, "progress")
-    ingest.pack_arriving(
-        ingest.read_arriving(spark, folder, arriving.schema, 4), ["split", "arrival_group"], fx.DOC_KEY, fx.DOC_LEVELS,
-        byte_ids(), byte_length(), BLOCK_LENGTH, sink, checkpoint,
+    pack_stateful(
+        ingest.read_arriving(spark, folder, arriving.schema, 2), ["split", "arrival_group"], fx.DOC_KEY,
+        F.col("text").cast("binary"), BLOCK_LENGTH, sink, checkpoint, announced=F.col("group_rows"),
     )
-    packed = ingest.read_sink(spark, sink)
-    return as_text(packed.select("split", "arrival_group", "block_id", "input_ids"), "input_ids")
+    return as_text(ingest.read_sink(spark, sink), "input_ids")
 
 
 def rank_export(spark: SparkSession, sf_dir: str, eos: bool = True) -> DataFrame:

@@ -42,7 +42,7 @@ CORPORA = (
 STAGE_SPLITS = {"fit": ("train", "validation"), "test": ("test",), None: SPLITS}
 
 CORPUS_KEY = ("key1", "key2")
-CORPUS_CELLS = (("cell0",), ("cell1", "cell2"))
+CORPUS_CELLS = (("cell00",), ("cell0",), ("cell1", "cell2"))
 
 
 # Declared schemas, so that opening a table starts no inference job.
@@ -96,6 +96,7 @@ def _branch(spark: SparkSession, sf_dir: str, corpus: Corpus, order: int) -> Dat
         key1.alias("key1"),
         key2.alias("key2"),
         # cells of the sort key, as operators.ordering.integer_levels cuts them
+        F.shiftright(key1, 40).alias("cell00"),
         F.shiftright(key1, 20).alias("cell0"),
         (key1 if two else none).alias("cell1"),
         (F.shiftright(key2, 20) if two else none).alias("cell2"),

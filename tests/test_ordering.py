@@ -65,3 +65,32 @@ def test_ranked_table_is_dense_and_ordered(spark):
     ranked = ranked_table(df, [F.col("n").desc(), F.col("token")], "id", 3, "test").collect()
     expected = {t: i + 3 for i, (t, _) in enumerate(sorted(rows, key=lambda r: (-r[1], r[0])))}
     assert {r.token: r.id for r in ranked} == expected
+
+
+@pytest.mark.parametrize("tiers", [0, 1, 3])
+def test_running_in_tiers(spark, tiers):
+    """Cells, parents and their parents; no window over more than four rows below the last tier."""
+    rng = random.Random(tiers)
+    rows = [(g, i, rng.choice([None, rng.randrange(1000)])) for g in "ab" for i in range(300)]
+    df = spark.createDataFrame(rows, "g string, pos bigint, v bigint")
+    found = running(df, ["g"], "pos", "v", F.max, F.greatest, "best", include_current=True, cell_bits=2, tiers=tiers)
+    expected, best = {}, {}
+    for g, pos, v in rows:
+        best[g] = max((x for x in (best.get(g), v) if x is not None), default=None)
+        expected[g, pos] = best[g]
+    assert {(r.g, r.pos): r.best for r in found.collect()} == expected
+
+
+def test_cells_of_corpora_hold_random_ids(spark, tmp_path):
+    """Ids over the whole 64-bit range: the parents of their cells are few enough to be scanned."""
+    from corpusloom.sources import corpora
+
+    rng = random.Random(9)
+    ids = [rng.randrange(-(2**63), 2**63) for _ in range(500)]
+    spark.createDataFrame([(i, "t") for i in ids], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = corpora.scan_corpora(spark, str(tmp_path), [corpora.Corpus("benchmark", "benchmark", ("item_id",))]).drop("text")
+    got = ordered_index(rows, ["dataset", "split"], corpora.CORPUS_KEY, corpora.CORPUS_CELLS).collect()
+    for split in ("train", "test", "validation"):
+        mine = sorted((r.key1, r.idx) for r in got if r.split == split)
+        assert [i for _, i in mine] == list(range(len(mine)))
+    assert len(corpora.CORPUS_CELLS) == 3 and rows.select("cell00").distinct().count() <= 500

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import tokens as tok
 from corpusloom.operators.ordering import integer_levels
-from corpusloom.operators.packing import batch_group, pack_blocks, pack_plan, pack_stats
+from corpusloom.operators.packing import batch_group, pack_blocks, pack_plan, pack_stats, text_bytes
 
 EOS = 256
 
@@ -109,3 +109,35 @@ def test_batch_numbers_are_dense(spark, n, batch_rows, shards):
             expected.append(g + i // batch_rows)
         g += -(-size // batch_rows)
     assert found == expected
+
+
+def test_texts_stay_and_only_bytes_move(spark, sf_dir):
+    """Texts meet their plan in their buckets, and fragments cross the exchange as bytes."""
+    from corpusloom.plans.token_queries import packed_documents
+
+    plan = packed_documents(spark, sf_dir)._jdf.queryExecution().executedPlan()
+    seen, todo = [], [plan]
+    while todo:
+        node = todo.pop()
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+        if node.nodeName() == "AdaptiveSparkPlan":
+            todo.append(node.initialPlan())
+        if "Exchange" in node.nodeName():
+            seen.append(node.schema().simpleString())
+    assert seen and not any("text:" in s or "array<int>" in s for s in seen)
+    assert any("binary" in s for s in seen)        # lists of slices, combined before they move
+
+
+def test_bytes_pack_as_arrays_do(spark):
+    rows = [("s", i, t) for i, t in enumerate(["abc", "", "é" * 30, None, "x" * 100, "yz"])]
+    df = spark.createDataFrame(rows, "split string, doc_id bigint, text string")
+    for eos in (256, None):
+        content = text_bytes("text", eos)
+        plan = pack_plan(df, ["split"], ["doc_id"], integer_levels("doc_id"), content.count(), 7, "split")
+        ids = tok.append_eos(tok.byte_tokens(F.coalesce("text", F.lit(""))), eos)
+        one, two = (
+            {r.block_id: (r.input_ids, r.labels, r.attention_mask) for r in pack_blocks(df, plan, ["split"], ["doc_id"], x, 7).collect()}
+            for x in (content, ids)
+        )
+        assert one == two and len(one) > 20

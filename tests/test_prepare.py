@@ -12,7 +12,7 @@ from corpusloom.operators.vocab import build_vocab, encode_words
 from corpusloom.plans import prepare as prep
 from corpusloom.schemas import EOS_ID
 from corpusloom.session import materialize
-from corpusloom.sources.corpora import CORPUS_KEY, scan_corpora
+from corpusloom.sources.corpora import CORPUS_CELLS, CORPUS_KEY, scan_corpora
 
 CONFIG = {"documents": {"train_slice": [0.5, 1.0]}, "benchmark": {}}
 
@@ -55,7 +55,7 @@ def test_interrupted_run_is_redone(spark, sf_dir, tmp_path):
 def test_word_tokenizer_plugs_in(spark, sf_dir, tmp_path):
     rows = scan_corpora(spark, sf_dir)
     vocab = build_vocab(rows.where("dataset = 'benchmark'"))
-    key = ["dataset", "split", *CORPUS_KEY, "cell0", "cell1", "cell2"]
+    key = ["dataset", "split", *CORPUS_KEY, *[c for level in CORPUS_CELLS for c in level]]
 
     def by_words(df, eos):
         encoded = materialize(encode_words(df, key, vocab), "encoded")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions import tokens as tok
 from corpusloom.operators.ordering import integer_levels
 from corpusloom.streaming.ingest import ingest, pack_arriving, read_arriving, read_sink
+from corpusloom.streaming.stateful import pack_stateful
 
 
 def test_restart_takes_only_what_is_new(spark, tmp_path):
@@ -47,3 +48,46 @@ def test_a_group_may_not_arrive_twice(spark, tmp_path):
     with pytest.raises(Exception, match="1 groups of batch 2 were packed by an earlier batch"):
         take()
     assert read_sink(spark, sink).count() == first + first // 2
+
+
+def _batch_blocks(rows, length):
+    """Blocks per group of (g, k, text) rows, by plain Python."""
+    out = []
+    for g in sorted({r[0] for r in rows}):
+        ids = [x for _, _, text in sorted(r for r in rows if r[0] == g) for x in [*text.encode(), 256]]
+        out += [(g, b, ids[b * length : (b + 1) * length]) for b in range(len(ids) // length)]
+    return out
+
+
+def test_a_group_may_arrive_in_parts(spark, tmp_path):
+    source, sink, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    rows = [(g, k, f"é text {k}" * (k % 3)) for g in range(4) for k in range(10)]
+    schema = "g bigint, k bigint, text string, n bigint"
+
+    def take(part, **options):
+        frame = spark.createDataFrame([(*r, 10 if r[0] < 3 else None) for r in part], schema)
+        frame.coalesce(1).write.mode("append").parquet(source)
+        stream = read_arriving(spark, source, frame.schema, 1)
+        pack_stateful(stream, ["g"], ["k"], F.col("text").cast("binary"), 16, sink, progress, announced=F.col("n"), **options)
+        return sorted((r.g, r.block_id, r.input_ids) for r in read_sink(spark, sink, spark.createDataFrame([], "g bigint, block_id bigint, input_ids array<int>").schema).collect())
+
+    want = _batch_blocks(rows, 16)
+    # group 0 in three batches and out of order, 1 at once, 2 in two, 3 never announces its size
+    assert take([r for r in rows if r[0] == 0 and r[1] % 3 == 1] + [r for r in rows if r[0] in (1, 3)]) == [x for x in want if x[0] == 1]
+    assert take([r for r in rows if r[0] == 0 and r[1] % 3 == 0] + [r for r in rows if r[0] == 2 and r[1] > 4]) == [x for x in want if x[0] == 1]
+    last = [r for r in rows if r[0] == 0 and r[1] % 3 == 2] + [r for r in rows if r[0] == 2 and r[1] <= 4]
+    assert take(last) == [x for x in want if x[0] < 3]
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+    with pytest.raises(Exception, match="arrived after it was packed"):
+        take([(1, 99, "late")])
+
+
+def test_a_group_that_stays_open_is_closed_by_its_timer(spark, tmp_path):
+    source, sink, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    rows = [(0, k, f"text {k}") for k in range(8)] + [(1, 0, "x" * 40)]
+    schema = spark.createDataFrame([], "g bigint, k bigint, text string").schema
+    for part in (rows[:8], rows[8:]):       # the second batch comes after the first group's time
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(source)
+        pack_stateful(read_arriving(spark, source, schema), ["g"], ["k"], F.col("text").cast("binary"), 16, sink, progress, wait_ms=1)
+    got = sorted((r.g, r.block_id, r.input_ids) for r in read_sink(spark, sink).collect())
+    assert [x for x in got if x[0] == 0] == _batch_blocks(rows[:8], 16)
