@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom.functions import text as txt
 from corpusloom.functions.arith import int_div
@@ -48,8 +49,15 @@ def stage_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpora.stage_totals(scan_corpora(spark, sf_dir))
 
 
+def _cached(spark: SparkSession, sf_dir: str) -> tuple[str, T.StructType]:
+    path, rows = scratch_path(spark, "cache"), scan_corpora(spark, sf_dir).select(*PLACE, "text")
+    store.write_cache(rows, path, CORPUS_KEY)
+    return path, rows.schema
+
+
 def stage_select(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return corpora.select_stage(scan_corpora(spark, sf_dir), "fit").select(*PLACE)
+    """A stage's rows from the cache, whose folders of other splits are not listed."""
+    return corpora.select_stage(store.read_cache(spark, *_cached(spark, sf_dir)), "fit").select(*PLACE)
 
 
 def scan_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,9 +71,7 @@ def scan_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cache_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "cache")
-    store.write_cache(scan_corpora(spark, sf_dir).select(*PLACE, "text"), path)
-    return store.cache_counts(spark.read.parquet(path))
+    return store.cache_counts(store.read_cache(spark, *_cached(spark, sf_dir)))
 
 
 def text_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -250,6 +250,9 @@ SELECT split, idx // 100 AS pack_group, sum(n)::BIGINT AS n_tokens, (sum(n) // 1
     "peek_packed": f"""WITH {BATCHES} SELECT block_id, {JOINED.format(ids='ids[1:15]')} AS first_ids,
   {JOINED.format(ids='ids[114:128]')} AS last_ids, {REPR.format(ids='ids')} AS decoded
 FROM blocks WHERE split = 'train' ORDER BY block_id LIMIT 3""",
+    "rows_at": f"""WITH {BATCHES}, t AS (SELECT *, count(*) OVER () AS n FROM blocks WHERE split = 'train')
+SELECT i::INT AS slot, block_id AS idx, 'documents' AS dataset, block_id, {JOINED.format(ids='ids')} AS input_ids
+FROM t JOIN range(64) r(i) ON block_id = i * 7919 % n""",
     "tokenizer_report": f"""WITH {CORPORA}, usable AS (SELECT * FROM corpora WHERE split = 'train' AND {HAS_TEXT}),
 top AS (SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY key1, key2)::INT AS sample FROM usable QUALIFY sample <= 3),
 b AS (SELECT dataset, sample, text, {BYTES} AS raw FROM top),

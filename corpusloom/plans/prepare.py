@@ -7,39 +7,35 @@ and `export` fix the order of an epoch and write it out by rank.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from corpusloom.functions import tokens as tok
 from corpusloom.operators import mixing
-from corpusloom.operators.packing import pack_blocks, pack_plan
+from corpusloom.operators.packing import Content, pack_blocks, pack_plan, text_bytes
 from corpusloom.operators.slicing import multi_slice
 from corpusloom.schemas import BLOCK_LENGTH, BYTE_EOS, PACK_BATCH_ROWS, PACKED_COLUMNS
+from corpusloom.session import bucketed
 from corpusloom.sources.corpora import CORPORA, CORPUS_CELLS, CORPUS_KEY, STAGE_SPLITS, Corpus, split_names
 from corpusloom.sources.naming import parse_slice, storage_key, tokenizer_id
-from corpusloom.sources.store import as_export, path_exists
+from corpusloom.sources.store import as_export, read_if_there
 
 PLAN_SCHEMA = "dataset string, source_ord int, split string, start double, end double, storage_key string"
-MANIFEST_SCHEMA = T.StructType(
-    [
-        T.StructField("storage_key", T.StringType()),
-        T.StructField("dataset", T.StringType()),
-        T.StructField("split", T.StringType()),
-        T.StructField("n_blocks", T.LongType()),
-    ]
-)
+LOG = "storage_key string, dataset string, split string, n_blocks bigint, writer string, committed_at timestamp"
+CLAIMS = "storage_key string, writer string, claimed_at timestamp"
 
 # (rows with text, whether documents end in a mark) -> rows with text or ids, token column, token count column
-Tokenize = Callable[[DataFrame, bool], tuple[DataFrame, Column, Column]]
+Tokenize = Callable[[DataFrame, bool], tuple[DataFrame, Column | Content, Column]]
 
 
-def by_bytes(rows: DataFrame, eos: bool) -> tuple[DataFrame, Column, Column]:
-    text = F.col("text")
-    return rows, tok.append_eos(tok.byte_tokens(text), BYTE_EOS if eos else None), tok.byte_count(text) + int(eos)
+def by_bytes(rows: DataFrame, eos: bool) -> tuple[DataFrame, Content, Column]:
+    content = text_bytes("text", BYTE_EOS if eos else None)
+    return rows, content, content.count()
 
 
 @dataclass(frozen=True)
@@ -87,48 +83,69 @@ def run_plan(
 
 
 def read_manifest(spark: SparkSession, root: str) -> DataFrame:
-    """What is stored under `root`: a row per finished dataset and split."""
-    path = f"{root}/manifest"
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], MANIFEST_SCHEMA)
-    return spark.read.schema(MANIFEST_SCHEMA).parquet(path)
+    """What is stored under `root`: a row per finished dataset and split, with the writer whose copy counts.
+
+    The log may hold a key twice, where two runs prepared it at the same time.  Both copies are whole and, as the key
+    stands for all that decides the content, equal; the first committed is the one all readers take.
+    """
+    first = F.min_by(F.struct("dataset", "split", "n_blocks", "writer"), F.struct("committed_at", "writer"))
+    return read_if_there(spark, f"{root}/log", LOG).groupBy("storage_key").agg(first.alias("_f")).select("storage_key", "_f.*")
 
 
-def prepare(spark: SparkSession, rows: DataFrame, plan: DataFrame, root: str, packing: Packing = Packing()) -> int:
+def claim(spark: SparkSession, root: str, keys: Sequence[str], writer: str, lease_s: float) -> list[str]:
+    """The keys of `keys` that `writer` should prepare: it says so in a log, and takes those nobody claimed before.
+
+    A claim ends after `lease_s` seconds, so that one of a run that died holds nothing up.  Claims only save work: the
+    commit log decides, whoever wrote.
+    """
+    now = F.current_timestamp()
+    mine = spark.createDataFrame([(k, writer) for k in keys], "storage_key string, writer string")
+    mine.withColumn("claimed_at", now).coalesce(1).write.mode("append").parquet(f"{root}/claims")
+    live = spark.read.schema(CLAIMS).parquet(f"{root}/claims").where(F.col("claimed_at") > now - F.make_interval(secs=F.lit(lease_s)))
+    owner = F.min_by("writer", F.struct("claimed_at", "writer"))
+    owned = live.where(F.col("storage_key").isin(*keys)).groupBy("storage_key").agg(owner.alias("owner")).collect()
+    others = {r.storage_key for r in owned if r.owner != writer}
+    return [k for k in keys if k not in others]
+
+
+def prepare(
+    spark: SparkSession, rows: DataFrame, plan: DataFrame, root: str, packing: Packing = Packing(), lease_s: float | None = None
+) -> int:
     """Slice, tokenize, pack and store every planned split that is not stored yet.
 
-    All pending splits go through one job.  The manifest is appended after the
-    blocks are committed, and a split written by an interrupted run is
-    overwritten by the next, so a split is either listed and whole or redone.
-    Returns the number of splits prepared.
+    All pending splits go through one job, into folders of this run.  They are listed in the log after the blocks are
+    committed, with counts taken while they were written; folders that are not listed are never read.
+    With `lease_s`, keys that another run claimed less than so many seconds ago are left to it.  Returns
+    the number of splits prepared.
     """
+    writer = uuid.uuid4().hex
     pending = plan.join(read_manifest(spark, root).select("storage_key"), "storage_key", "left_anti")
     names = pending.select(*[c for c in plan.columns if c != "source_ord"]).collect()      # configuration-sized
+    if names and lease_s is not None:
+        taken = set(claim(spark, root, [r.storage_key for r in names], writer, lease_s))
+        names = [r for r in names if r.storage_key in taken]
     if not names:
         return 0
     todo = spark.createDataFrame(names, "dataset string, split string, start double, end double, storage_key string")
-    sliced = multi_slice(rows, todo.drop("storage_key"), CORPUS_KEY, CORPUS_CELLS)
-    documents, ids, count = packing.tokenize(sliced, packing.eos)
     by = ["dataset", "split"]
+    sliced = bucketed(multi_slice(rows, todo.drop("storage_key"), CORPUS_KEY, CORPUS_CELLS), "sliced-texts", *by, *CORPUS_KEY)
+    documents, ids, count = packing.tokenize(sliced, packing.eos)
     placed = pack_plan(
         documents, by, CORPUS_KEY, CORPUS_CELLS, count, packing.block_length, packing.scope, packing.batch_rows, packing.shards
     )
     blocks = pack_blocks(documents, placed, by, CORPUS_KEY, ids, packing.block_length)
+    # the run's configuration: a row per dataset and split
     blocks = blocks.join(F.broadcast(todo.select(*by, "storage_key")), by)
-    path = f"{root}/blocks"
-    blocks = blocks.select("block_id", "pack_group", *PACKED_COLUMNS, "storage_key")
-    blocks.repartitionByRange("storage_key", "block_id").sortWithinPartitions("storage_key", "block_id").write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy("storage_key").parquet(path)
-    if path_exists(spark, path) and any(path_exists(spark, f"{path}/storage_key={r.storage_key}") for r in names):
-        fresh = F.col("storage_key").isin(*[r.storage_key for r in names])
-        stored = spark.read.parquet(path).where(fresh).groupBy("storage_key").agg(F.count(F.lit(1)).alias("n_blocks"))
-    else:
-        stored = spark.createDataFrame([], "storage_key string, n_blocks bigint")
-    done = todo.join(stored, "storage_key", "left").select(
-        "storage_key", "dataset", "split", F.coalesce("n_blocks", F.lit(0).cast("bigint")).alias("n_blocks")
-    )
-    done.coalesce(1).write.mode("append").parquet(f"{root}/manifest")
+    blocks = blocks.select("block_id", "pack_group", *PACKED_COLUMNS, "storage_key", F.lit(writer).alias("writer"))
+    written, key = Observation(), F.col("storage_key")
+    # observed behind the shuffle: before it, the sampling of the ranges would count too
+    blocks = blocks.repartitionByRange("storage_key", "block_id").sortWithinPartitions("storage_key", "block_id")
+    blocks = blocks.observe(written, *[F.count_if(key == r.storage_key).alias(f"n{i}") for i, r in enumerate(names)])
+    blocks.write.mode("append").partitionBy("storage_key", "writer").parquet(f"{root}/blocks")
+    counts = written.get
+    done = [(r.storage_key, r.dataset, r.split, counts[f"n{i}"] or 0, writer) for i, r in enumerate(names)]
+    entries = spark.createDataFrame(done, "storage_key string, dataset string, split string, n_blocks bigint, writer string")
+    entries.withColumn("committed_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{root}/log")
     return len(names)
 
 
@@ -145,12 +162,12 @@ def open_stage(spark: SparkSession, plan: DataFrame, root: str, stage: str | Non
     if failures:
         raise RuntimeError("splits not prepared: " + "; ".join(f"{r.dataset}: {', '.join(r.splits)}" for r in failures))
     keys = wanted.select("storage_key", "dataset", "source_ord", "split")
-    stored = [r.storage_key for r in keys.join(manifest.where("n_blocks > 0"), "storage_key", "left_semi").collect()]
+    stored = manifest.where("n_blocks > 0").join(keys.select("storage_key"), "storage_key", "left_semi").collect()
     if not stored:
         empty = ", ".join(["block_id bigint, pack_group bigint", *(f"{c} array<int>" for c in PACKED_COLUMNS)])
         return spark.createDataFrame([], f"{empty}, storage_key string, dataset string, source_ord int, split string")
-    blocks = spark.read.parquet(f"{root}/blocks").where(F.col("storage_key").isin(*stored))
-    return blocks.join(F.broadcast(keys), "storage_key")
+    copies = reduce(or_, [(F.col("storage_key") == r.storage_key) & (F.col("writer") == r.writer) for r in stored])
+    return spark.read.parquet(f"{root}/blocks").where(copies).drop("writer").join(F.broadcast(keys), "storage_key")
 
 
 def order_for_epoch(blocks: DataFrame, seed: int, epoch: int, world: int, batch_size: int, accumulate: int) -> DataFrame:

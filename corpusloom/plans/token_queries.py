@@ -22,6 +22,7 @@ from corpusloom.sources.corpora import CORPUS_KEY, read_table, scan_corpora
 from corpusloom.streaming import ingest
 from corpusloom.streaming.stateful import pack_stateful
 
+SCATTER = 7919      # fixed value: steps between the positions a batch asks for
 BYTE_MASK = 101     # fixed value: the byte standing in for the mask token
 
 
@@ -201,6 +202,16 @@ def peek_packed(spark: SparkSession, sf_dir: str, n_blocks: int = 3) -> DataFram
     )
 
 
+def rows_at(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A loader's batch of 64 scattered training blocks, read by position from the files that hold them."""
+    path = scratch_path(spark, "packed")
+    store.write_packed(packed_documents(spark, sf_dir).withColumn("dataset", F.lit("documents")), path)
+    sizes = store.committed(spark, path).where("split = 'train'").first()
+    asked = [i * SCATTER % sizes.n_rows for i in range(64)]
+    rows = store.blocks_at(spark, path, "train", asked, ["documents"])
+    return as_text(rows.select("slot", "idx", "dataset", "block_id", "input_ids"), "input_ids")
+
+
 def tokenizer_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three usable training rows per corpus as the tokenizer sees them."""
     rows = drop_blank(scan_corpora(spark, sf_dir).where(F.col("split") == "train"), "text")
@@ -320,6 +331,7 @@ QUERIES = {
     "pack_stats": pack_stats,
     "packed_roundtrip": packed_roundtrip,
     "peek_packed": peek_packed,
+    "rows_at": rows_at,
     "tokenizer_report": tokenizer_report,
     "batch_report": batch_report,
     "stream_tokenize": stream_tokenize,

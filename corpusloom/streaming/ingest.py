@@ -1,4 +1,4 @@
-"""Resumable ingest and packing as Structured Streaming jobs."""
+"""Resumable ingest as a Structured Streaming job."""
 
 from __future__ import annotations
 
@@ -7,10 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from corpusloom.operators.ordering import Levels
-from corpusloom.operators.packing import pack_blocks, pack_plan
-from corpusloom.sources.store import path_exists
-
 
 def read_arriving(spark: SparkSession, folder: str, schema: T.StructType, files_per_trigger: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet")
@@ -37,44 +33,6 @@ def ingest(stream: DataFrame, columns: Sequence[Column | str], sink: str, checkp
     query.awaitTermination()
 
 
-def pack_arriving(
-    stream: DataFrame,
-    by: Sequence[str],
-    key: Sequence[str],
-    levels: Levels,
-    ids: Column,
-    n: Column,
-    block_length: int,
-    sink: str,
-    checkpoint: str,
-) -> None:
-    """Pack complete groups as they arrive.
-
-    `by` must name the arriving group, and a group must arrive in one batch:
-    packing keeps no state between batches, as each group drops its own tail.  A group
-    that an earlier batch has packed is an error, raised before anything of the batch is
-    written: `{sink}-groups` lists the groups of every batch.  A replayed batch
-    overwrites its own folders.
-    """
-    seen = f"{sink}-groups"
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        groups = batch.select(*by).distinct()
-        if path_exists(spark, seen):
-            earlier = spark.read.parquet(seen).where(f"batch != {batch_id}")
-            twice = groups.join(earlier.select(*by), by).count()
-            if twice:
-                raise ValueError(f"{twice} groups of batch {batch_id} were packed by an earlier batch, see {seen}")
-        groups.write.mode("overwrite").parquet(f"{seen}/batch={batch_id}")
-        plan = pack_plan(batch, by, key, levels, n, block_length, scope="split")
-        blocks = pack_blocks(batch, plan, by, key, ids, block_length)
-        blocks.drop("pack_group").write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
-
-    query = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
-
-
 def read_sink(spark: SparkSession, sink: str, schema: T.StructType | None = None) -> DataFrame:
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(sink)

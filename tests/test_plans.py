@@ -51,6 +51,11 @@ def test_a_filtered_union_branch_disappears(spark, sf_dir):
     assert "benchmark.parquet" in plan and "documents.parquet" not in plan
 
 
+def test_a_stage_lists_its_own_folders_only(spark, sf_dir):
+    plan = physical(QUERIES["stage_select"](spark, sf_dir))
+    assert re.search(r"PartitionFilters: \[[^]]*split[^]]*(fit|train|validation)", plan)
+
+
 def test_text_is_never_shuffled_by_a_slice(spark, sf_dir):
     plan = physical(fx.documents(spark, sf_dir).where(F.col("split") == "train"))
     assert "Exchange" not in plan

@@ -40,16 +40,44 @@ def test_prepared_once_and_opened_by_stage(spark, sf_dir, tmp_path):
 
 
 def test_interrupted_run_is_redone(spark, sf_dir, tmp_path):
-    """Blocks without a manifest row are overwritten, not doubled."""
+    """Blocks that no log row names are never read, so they are not doubled by the next run."""
     root, rows = str(tmp_path / "store"), scan_corpora(spark, sf_dir)
     plan = prep.run_plan(spark, {"benchmark": {}})
     packing = prep.Packing()
     prep.prepare(spark, rows, plan, root, packing)
-    before = spark.read.parquet(f"{root}/blocks").count()
+    before = prep.open_stage(spark, plan, root, None).count()
     copy = str(tmp_path / "again")
-    spark.read.parquet(f"{root}/blocks").write.partitionBy("storage_key").parquet(f"{copy}/blocks")
+    spark.read.parquet(f"{root}/blocks").write.partitionBy("storage_key", "writer").parquet(f"{copy}/blocks")
     assert prep.prepare(spark, rows, plan, copy, packing) == 3
-    assert spark.read.parquet(f"{copy}/blocks").count() == before
+    assert prep.open_stage(spark, plan, copy, None).count() == before > 0
+
+
+def test_two_runs_at_once_leave_one_copy(spark, sf_dir, tmp_path, monkeypatch):
+    """A second run prepares the same splits while the first is packing; both commit, readers take one."""
+    root, rows = str(tmp_path / "store"), scan_corpora(spark, sf_dir)
+    plan = prep.run_plan(spark, {"benchmark": {}})
+    plain, nested = prep.multi_slice, []
+
+    def meanwhile(*args):
+        if not nested:
+            nested.append(None)
+            nested.append(prep.prepare(spark, rows, plan, root))
+        return plain(*args)
+
+    monkeypatch.setattr(prep, "multi_slice", meanwhile)
+    assert prep.prepare(spark, rows, plan, root) == 3 and nested[1] == 3
+    blocks = prep.open_stage(spark, plan, root, None)
+    assert spark.read.parquet(f"{root}/log").count() == 6 and prep.read_manifest(spark, root).count() == 3
+    assert blocks.count() == sum(r.n_blocks for r in prep.read_manifest(spark, root).collect())
+    assert blocks.count() == blocks.select("storage_key", "block_id").distinct().count()
+
+
+def test_claims_leave_work_to_the_first(spark, tmp_path):
+    root = str(tmp_path / "store")
+    assert prep.claim(spark, root, ["x", "y"], "one", 60) == ["x", "y"]
+    assert prep.claim(spark, root, ["y", "z"], "two", 60) == ["z"]
+    assert prep.claim(spark, root, ["x"], "one", 60) == ["x"]
+    assert prep.claim(spark, root, ["x", "y", "z"], "three", 0.001) == ["x", "y", "z"]       # all earlier claims are over
 
 
 def test_word_tokenizer_plugs_in(spark, sf_dir, tmp_path):

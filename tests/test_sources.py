@@ -174,8 +174,54 @@ def test_a_second_dataset_leaves_the_first(spark, tmp_path):
     store.write_cache(rows, path, ["block_id"])
     store.write_cache(rows.withColumn("dataset", F.lit("b")), path, ["block_id"])
     store.write_cache(rows.withColumn("dataset", F.lit("b")).limit(7), path)
-    found = {r.dataset: r.n_rows for r in store.cache_counts(spark.read.parquet(path)).collect()}
+    found = {r.dataset: r.n_rows for r in store.cache_counts(store.read_cache(spark, path, rows.schema)).collect()}
     assert found == {"a": 2000, "b": 7} and store.is_complete(spark, path)
+    assert {r.dataset: r.n_rows for r in store.committed(spark, path).collect()} == found
+
+
+def test_interleaved_writers_leave_one_whole_copy(spark, tmp_path, monkeypatch):
+    """The second writer starts and ends while the first has its files written and is about to commit."""
+    path = str(tmp_path / "cache")
+    rows = spark.range(3000).select(F.lit("a").alias("dataset"), F.lit("train").alias("split"), F.col("id").alias("block_id"))
+    plain, inside = store._data, []
+
+    def meanwhile(*args):
+        if not inside:
+            inside.append(store.read_cache(spark, path, rows.schema).count() if store.is_complete(spark, path) else 0)
+            store.write_cache(rows.where("block_id < 1000"), path, ["block_id"])
+            inside.append(store.read_cache(spark, path, rows.schema).count())
+        return plain(*args)
+
+    monkeypatch.setattr(store, "_data", meanwhile)
+    store.write_cache(rows, path, ["block_id"])
+    assert inside[0] == 0 and inside[1] == 1000                 # the uncommitted copy is never seen
+    got = store.read_cache(spark, path, rows.schema)
+    assert got.count() == 3000 == got.distinct().count()        # the last commit counts, whole
+    bad = rows.withColumn("block_id", F.raise_error(F.lit("boom")).cast("bigint"))
+    with pytest.raises(Exception, match="boom"):
+        store.write_cache(bad, path)
+    assert store.read_cache(spark, path, rows.schema).count() == 3000
+
+
+def test_blocks_by_position(spark, tmp_path):
+    path = str(tmp_path / "store")
+    ids = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: (F.col("id") * 4 + i).cast("int"))
+    for name, n in (("b", 300), ("a", 1000)):
+        rows = spark.range(n).select(
+            F.lit(name).alias("dataset"), F.lit("train").alias("split"), F.col("id").alias("block_id"), F.lit(0).cast("bigint").alias("pack_group"),
+            *[ids.alias(c) for c in ("input_ids", "labels", "attention_mask")],
+        )
+        store.write_packed(rows.repartition(5), path)
+    asked = [1299, 0, 999, 1000, 17, 0]
+    found = store.blocks_at(spark, path, "train", asked, ["a", "b", "c"])
+    got = sorted((r.slot, r.idx, r.dataset, r.input_ids[0] // 4) for r in found.collect())
+    assert got == [(i, p, "a" if p < 1000 else "b", p if p < 1000 else p - 1000) for i, p in enumerate(asked)]
+    one = store.blocks_at(spark, path, "train", [17], ["a", "b"])
+    files = [f for f in one.inputFiles() if f.endswith(".parquet")]
+    assert len(files) == 1 < len(store.read_packed(spark, path).inputFiles())
+    assert "In(block_id" in one._jdf.queryExecution().executedPlan().toString() or "EqualTo(block_id,17)" in one._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(IndexError, match="from 0 to 1299"):
+        store.blocks_at(spark, path, "train", [5, 1300], ["a", "b"])
 
 
 def test_a_mirror_reads_its_data_folder_only(spark, tmp_path):
