@@ -20,7 +20,7 @@ ARTICLE = """<html><body class="has-sidebar"><header><h1>Site</h1></header><nav>
 
 
 def test_furniture_goes_and_text_stays():
-    text = pages.extract(pages.parse(ARTICLE), None)
+    text = pages.extract(pages.parse(ARTICLE))[0]
     assert text.split("\n\n") == ["Title & more", "One two three, four <x>", "Five", "i1", "i2", 'quote "x" < 3', "Last"]
 
 
@@ -33,7 +33,7 @@ def test_furniture_goes_and_text_stays():
     ],
 )
 def test_odd_pages(source, text):
-    assert pages.extract(pages.parse(source), None) == text
+    assert pages.extract(pages.parse(source))[0] == text
 
 
 def page(template, i):
@@ -58,6 +58,30 @@ def test_a_host_votes_for_its_path(spark):
     assert pages.main_text(table.limit(0)).count() == 0
 
 
+def test_two_templates_keep_both_articles(spark):
+    long = "".join(f"<p>Part {k}, of a long read, with commas, and words.</p>" for k in range(9))
+    rows = [(i, "http://h/", f'<body><div class="post"><p>Post {i}, with text, and more text.</p><p>Again, more.</p></div></body>') for i in range(9)]
+    rows.append((9, "http://h/", f'<body><div class="longread">{long}</div><div class="post"><p>Read also: another post.</p></div></body>'))
+    rows += [(10 + i, url, f"<div class=x{i}><p>Alone {i}, and own.</p></div>") for i, url in enumerate([None, "odd", "odd2"])]
+    got = {r.page_id: r for r in pages.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[9].text.startswith("Part 0") and "Read also" not in got[9].text and got[9].path == "/body/div.longread"
+    assert all(got[i].text == f"Post {i}, with text, and more text.\n\nAgain, more." for i in range(9))
+    assert [got[10 + i].text for i in range(3)] == [f"Alone {i}, and own." for i in range(3)]
+
+
+@pytest.mark.parametrize("unit", ['<div class="abc">', "<div>text, and more ", "<b>x</i>", "<b><div></div>", "<p><b>t", "<li><nav>", "<article><nav>", '<a href="'])
+def test_deep_pages_take_time_in_proportion(unit):
+    import time
+    import tracemalloc
+
+    source = unit * ((1 << 20) // len(unit)) + "<p>the end"
+    tracemalloc.start()
+    start = time.process_time()
+    pages.extract(pages.parse(source))
+    assert time.process_time() - start < 60 and tracemalloc.get_traced_memory()[1] < 200 << 20
+    tracemalloc.stop()
+
+
 def test_pages_of_the_table_lose_nothing(spark, sf_dir):
     """Brute force: the article element's text, cut at tags."""
     import html
