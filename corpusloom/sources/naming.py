@@ -25,21 +25,9 @@ def parse_slice(value: str | float | int | list | tuple | None) -> tuple[float,
     return (start, end)
 
 
-# A stored name's suffix by the number of bounds its slice was given with, in thousandths.
-SUFFIX_FORMATS = ("_full", "_p%03d", "_r%03d_%03d")
-
-
-def slice_suffix(value: Slice) -> str:
-    """Readable bounds; the digest of the key keeps slices apart that share them."""
-    if isinstance(value, str):
-        raise TypeError(f"unsupported slice {value!r}")
-    scalar = (min(1.0, max(0.0, float(value))),) if isinstance(value, (int, float)) else None
-    bounds = scalar or parse_slice(value) or ()
-    return SUFFIX_FORMATS[len(bounds)] % tuple(int(1000 * bound) for bound in bounds)
-
-
-def stored_name(dataset: str, config: str | None, split: str, value: Slice) -> str:
-    return f"{dataset}_{config or 'default'}_{split}{slice_suffix(value)}"
+def stored_name(dataset: str, config: str | None, split: str) -> str:
+    """Readable part of a storage key; the digest beside it tells slices apart."""
+    return f"{dataset}_{config or 'default'}_{split}"
 
 
 def tokenizer_id(name: str | None) -> str:
@@ -53,4 +41,4 @@ def storage_key(dataset: str, config: str | None, split: str, value: Slice, sett
     in the digest, so two different preparations never share a key.
     """
     payload = json.dumps({"slice": value, **settings}, sort_keys=True, default=str)
-    return f"{stored_name(dataset, config, split, value)}-{hashlib.sha256(payload.encode()).hexdigest()[:16]}"
+    return f"{stored_name(dataset, config, split)}-{hashlib.sha256(payload.encode()).hexdigest()[:16]}"
