@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -107,13 +109,28 @@ def multi_slice(df: DataFrame, plan: DataFrame, key: Sequence[str], levels: Leve
     return df.where(in_key_ranges(limits, by, key, source="dataset"))
 
 
-def first_rows(df: DataFrame, by: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
+def first_rows(df: DataFrame, by: str, order: Sequence[str], n: int, keys: DataFrame, widen: int = 16) -> DataFrame:
     """The first `n` rows of each group by a unique order, numbered in `sample`.
 
-    Keys are ranked without the rest of the row (the rank filter also runs
-    before the shuffle), and at most `n` keys per group go back to the rows.
+    `keys` is the source before any filter, with `by` and the lead key: its least and largest key per group say where to
+    look.  The rows are then read in key ranges, literal in the scan so that row groups beyond them are skipped: one of
+    `n` keys, and `widen` times as many again and again until every group has `n` rows or is read to its end.
     Groups are configured datasets.
     """
-    rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
-    picked = df.select(*by, *order).withColumn("sample", rank).where(F.col("sample") <= n)
-    return df.join(F.broadcast(picked), [*by, *order])
+    lead = order[0]
+    ends = keys.groupBy(by).agg(F.min(lead).alias("lo"), F.max(lead).alias("hi"))
+    reach = {r[by]: [r.lo, min(r.lo + n, r.hi), r.hi] for r in ends.collect()}      # a row per dataset
+    open_, span = set(reach), n
+
+    def within(names: Iterable) -> Column:
+        each = [(F.col(by) == F.lit(name)) & F.col(lead).between(reach[name][0], reach[name][1]) for name in sorted(names)]
+        return reduce(or_, each, F.lit(False))
+
+    while open_:
+        found = {r[by]: r["count"] for r in df.where(within(open_)).groupBy(by).count().collect()}
+        open_ = {name for name in open_ if found.get(name, 0) < n and reach[name][1] < reach[name][2]}
+        span *= widen
+        for name in open_:
+            reach[name][1] = min(reach[name][0] + span, reach[name][2])
+    rank = F.row_number().over(Window.partitionBy(by).orderBy(*order))
+    return df.where(within(reach)).withColumn("sample", rank).where(F.col("sample") <= n)

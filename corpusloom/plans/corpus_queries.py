@@ -165,11 +165,12 @@ def multi_slice_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sample_per_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First three usable rows of each train split; blank rows do not count."""
-    rows = scan_corpora(spark, sf_dir).where(F.col("split") == "train")
+    source = scan_corpora(spark, sf_dir).where(F.col("split") == "train")
+    rows = source
     hole = (F.col("dataset") == "documents") & (F.col("key1") % 13 == 0)
     rows = rows.withColumn("text", F.when(hole, F.lit(" \t\n")).otherwise(F.col("text")))
     usable = txt.drop_blank(rows, "text")
-    return first_rows(usable, ["dataset"], CORPUS_KEY, 3).select("dataset", "sample", "key1", "key2", "text")
+    return first_rows(usable, "dataset", CORPUS_KEY, 3, source).select("dataset", "sample", "key1", "key2", "text")
 
 
 def concat_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

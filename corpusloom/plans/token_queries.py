@@ -19,7 +19,7 @@ from corpusloom.schemas import BATCH_SIZE, BLOCK_LENGTH, BYTE_EOS, EOS_ID, PACKE
 from corpusloom.session import bucketed, scratch_path
 from corpusloom.sources import store
 from corpusloom.sources.corpora import CORPUS_KEY, read_table, scan_corpora
-from corpusloom.streaming import ingest
+from corpusloom.streaming import ingest, ledger
 from corpusloom.streaming.stateful import pack_stateful
 
 SCATTER = 7919      # fixed value: steps between the positions a batch asks for
@@ -214,8 +214,8 @@ def rows_at(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tokenizer_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three usable training rows per corpus as the tokenizer sees them."""
-    rows = drop_blank(scan_corpora(spark, sf_dir).where(F.col("split") == "train"), "text")
-    rows = first_rows(rows, ["dataset"], CORPUS_KEY, 3).withColumn("_ids", tok.first_byte_tokens(F.col("text"), BLOCK_LENGTH))
+    source = scan_corpora(spark, sf_dir).where(F.col("split") == "train")
+    rows = first_rows(drop_blank(source, "text"), "dataset", CORPUS_KEY, 3, source).withColumn("_ids", tok.first_byte_tokens(F.col("text"), BLOCK_LENGTH))
     rows = rows.withColumns(
         {
             "_padded": tok.pad_right(F.col("_ids"), BLOCK_LENGTH, BYTE_EOS),
@@ -272,6 +272,22 @@ def stream_tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_text(ingest.read_sink(spark, sink), "input_ids")
 
 
+def ingest_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file per source and a damaged one, taken in two runs: the second has only the damaged file to try again."""
+    docs = read_table(spark, sf_dir, "documents").select("source", "doc_id", "text")
+    folder, sink, book = (scratch_path(spark, x) for x in ("arriving", "taken", "ledger"))
+    docs.repartition("source").write.partitionBy("source").parquet(folder)
+    spark.range(1).select(F.lit("no table").alias("value")).write.text(f"{folder}/source=damaged")
+    schema = docs.drop("source").schema
+    for _ in range(2):
+        ledger.take_files(spark, folder, schema, sink, book, pattern="part-*")
+    states = ledger.file_states(spark, book)
+    rows = ledger.taken_rows(spark, schema, sink, book)
+    total = rows.agg(F.count(F.lit(1)).alias("all_rows"), F.sum(F.octet_length("text")).alias("all_bytes"))
+    states = states.select(F.regexp_extract("path", "source=([^/]*)/", 1).alias("source"), "status", "n_rows", "attempts")
+    return states.withColumn("one", F.lit(1)).join(F.broadcast(total.withColumn("one", F.lit(1))), "one").drop("one")
+
+
 def stream_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents whose pack groups arrive in parts, over three batches; open groups wait in the stream's state."""
     docs = fx.documents(spark, sf_dir)
@@ -336,6 +352,7 @@ QUERIES = {
     "batch_report": batch_report,
     "stream_tokenize": stream_tokenize,
     "stream_pack": stream_pack,
+    "ingest_ledger": ingest_ledger,
     "rank_export": rank_export,
     "rank_export_no_eos": rank_export_no_eos,
 }

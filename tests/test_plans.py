@@ -51,6 +51,23 @@ def test_a_filtered_union_branch_disappears(spark, sf_dir):
     assert "benchmark.parquet" in plan and "documents.parquet" not in plan
 
 
+def test_first_rows_read_the_first_keys_only(spark, tmp_path):
+    """Files of consecutive keys: what is read grows with the rows asked for, not with the table."""
+    from corpusloom.functions.text import drop_blank
+    from corpusloom.operators.slicing import first_rows
+
+    path = str(tmp_path / "t")
+    blank = F.when((F.col("id") >= 10) & (F.col("id") % 100 < 97), F.lit(" ")).otherwise(F.concat(F.lit("text "), "id"))
+    rows = spark.range(10, 20_000).select(F.lit("d").alias("dataset"), F.col("id").alias("key1"), F.lit(0).alias("key2"), blank.alias("text"))
+    rows.repartitionByRange(40, "key1").write.parquet(path)
+    table = spark.read.parquet(path)
+    found = first_rows(drop_blank(table, "text"), "dataset", ["key1", "key2"], 4, table)
+    assert [(r.sample, r.key1) for r in found.orderBy("sample").collect()] == [(1, 97), (2, 98), (3, 99), (4, 197)]
+    plan = physical(found)
+    bound = max(int(x) for x in re.findall(r"key1#\d+L <= (\d+)", plan))
+    assert 197 <= bound < 2000
+
+
 def test_a_stage_lists_its_own_folders_only(spark, sf_dir):
     plan = physical(QUERIES["stage_select"](spark, sf_dir))
     assert re.search(r"PartitionFilters: \[[^]]*split[^]]*(fit|train|validation)", plan)

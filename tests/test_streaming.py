@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.functions import tokens as tok
+from corpusloom.streaming.ledger import file_states, take_files, taken_rows, waiting_files
 from corpusloom.streaming.ingest import ingest, read_arriving, read_sink
 from corpusloom.streaming.stateful import pack_stateful
 
@@ -70,3 +71,33 @@ def test_a_group_that_stays_open_is_closed_by_its_timer(spark, tmp_path):
         pack_stateful(read_arriving(spark, source, schema), ["g"], ["k"], F.col("text").cast("binary"), 16, sink, progress, wait_ms=1)
     got = sorted((r.g, r.block_id, r.input_ids) for r in read_sink(spark, sink).collect())
     assert [x for x in got if x[0] == 0] == _batch_blocks(rows[:8], 16)
+
+
+def test_damaged_files_are_retried_and_listed(spark, tmp_path):
+    folder, sink, book = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "ledger")
+    rows = spark.range(5000).select("id", F.concat(F.lit("text "), "id").alias("text"))
+    rows.where("id < 3000").coalesce(1).write.parquet(str(folder / "good"))
+    rows.where("id < 0").coalesce(1).write.parquet(str(folder / "empty"))
+    rows.where("id >= 3000").coalesce(1).write.option("parquet.block.size", 4096).parquet(str(tmp_path / "elsewhere"))
+    content = next((tmp_path / "elsewhere").glob("*.parquet")).read_bytes()
+    whole = folder / "later.parquet"
+    whole.write_bytes(content[:200] + b"\x00" * 2000 + content[2200:])      # the footer is fine, a row group is not
+    summed = next((folder / "empty").glob("*.parquet"))                    # Spark wrote a checksum beside this one
+    summed.write_bytes(b"\x00" * summed.stat().st_size)
+    (folder / "cut.parquet").write_bytes(content[:500])
+    (folder / "other.parquet").write_bytes(b"nothing of the kind")
+
+    def take():
+        n = take_files(spark, str(folder), rows.schema, sink, book)
+        return n, sorted(r.id for r in taken_rows(spark, rows.schema, sink, book).collect())
+
+    assert take_files(spark, str(folder), rows.schema, sink, book, most_files=1) == 1
+    assert take() == (5, list(range(3000)))         # the first file of the list was damaged and is tried again
+    assert take() == (4, list(range(3000)))
+    whole.write_bytes(content)
+    assert take() == (4, list(range(5000)))         # a replaced file starts anew
+    tried = [take()[0] for _ in range(3)]
+    assert tried[-1] == 0 and waiting_files(spark, str(folder), book, "*.parquet").count() == 0
+    states = {r.path.rsplit("/", 1)[1]: (r.status, r.attempts) for r in file_states(spark, book).where("status = 'damaged'").collect()}
+    assert states["other.parquet"] == states["cut.parquet"] == states[summed.name] == ("damaged", 5)
+    assert all(r.error for r in file_states(spark, book).where("status = 'damaged'").collect())
