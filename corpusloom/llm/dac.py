@@ -35,6 +35,7 @@ from corpusloom.llm.common import small_batches
 MAGIC = b"DAC1"         # fixed value of the format
 HEAD = "<4sQQI"
 BLOCK = 512
+PROBE_LISTS = 16        # lists that the positions asked of one segment are dealt to
 SEGMENT_TOKENS = 1 << 20
 SEGMENT_SCHEMA = "part int, seq int, n_docs bigint, n_tokens bigint, first_doc bigint, last_doc bigint, payload binary"
 
@@ -111,6 +112,26 @@ class Segment:
             at = self._rank(level, at)
         return out
 
+    def ranges(self, cuts: np.ndarray) -> Iterator[np.ndarray]:
+        """Ids between neighbouring `cuts`, ascending positions: each range is read by the ranks of its two ends.
+
+        On every level a range is where the ranks of its ends on the level above say; no range needs another.
+        """
+        places = [np.asarray(cuts, np.int64)]
+        for level, (chunks, _, _) in enumerate(self.levels[:-1]):
+            inside = places[-1] < len(chunks)
+            below = np.full(len(places[-1]), len(self.levels[level + 1][0]), np.int64)
+            below[inside] = self._rank(level, places[-1][inside])
+            places.append(below)
+        more = [np.unpackbits(bitmap, count=len(chunks), bitorder="little").astype(bool) for chunks, bitmap, _ in self.levels]
+        for i in range(len(places[0]) - 1):
+            out = np.zeros(0, np.uint32)
+            for (chunks, _, _), bits, at in zip(reversed(self.levels), reversed(more), reversed(places)):
+                here = chunks[at[i] : at[i + 1]].astype(np.uint32)
+                here[bits[at[i] : at[i + 1]]] |= out << np.uint32(8)
+                out = here
+            yield out
+
     def all_tokens(self) -> np.ndarray:
         """Every id, level by level without ranks: the k-th set bit continues at entry k."""
         out = np.zeros(0, np.uint32)
@@ -185,14 +206,14 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
     """(part, seq, doc_id, local, n_tokens, ids) of every document in the segments of `folder`.
 
     `local` is the document's first token inside its segment, `ids` are little-endian
-    u32.  Segments are decoded where they are read.
+    u32.  Each document is addressed by the rank directories, in the task that reads its segment.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, seq, payload in zip(*batch.columns):
                 segment = Segment(payload.as_py())
-                raw, starts = segment.all_tokens().astype("<u4"), segment.starts
+                starts = segment.starts
                 n = len(starts) - 1
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -201,7 +222,7 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
                         pa.array(segment.doc_ids, pa.int64()),
                         pa.array(starts[:-1]),
                         pa.array(np.diff(starts)),
-                        pa.array([raw[x:y].tobytes() for x, y in zip(starts, starts[1:])], pa.binary()),
+                        pa.array([ids.astype("<u4").tobytes() for ids in segment.ranges(starts)], pa.binary()),
                     ],
                     names=["part", "seq", "doc_id", "local", "n_tokens", "ids"],
                 )
@@ -231,16 +252,16 @@ def read_tokens(spark: SparkSession, folder: str, positions: DataFrame, position
     asked = positions.select(F.col(position).cast("bigint").alias("position")).withColumn("cell", F.floor(F.col("position") / SEGMENT_TOKENS))
     found = asked.join(spread, "cell").where(F.col("position").between(F.col("seg_start"), F.col("seg_last")))
     probes = found.select("part", "seq", "position", (F.col("position") - F.col("seg_start")).alias("local"))
-    with_payload = probes.join(segments.select("part", "seq", "payload"), ["part", "seq"])
+    # the positions of a segment travel together, in lists of bounded length, and meet its payload once per list
+    lists = probes.withColumn("batch", F.pmod(F.xxhash64("position"), F.lit(PROBE_LISTS))).groupBy("part", "seq", "batch")
+    lists = lists.agg(F.collect_list(F.struct("position", "local")).alias("probes"))
+    with_payload = segments.select("part", "seq", "payload").join(lists, ["part", "seq"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
-            by_payload: dict[bytes, list[int]] = {}
-            for i, payload in enumerate(batch.column(2)):
-                by_payload.setdefault(payload.as_py(), []).append(i)
-            local, out = batch.column(1).to_numpy(), np.zeros(batch.num_rows, np.int64)
-            for payload, rows in by_payload.items():
-                out[rows] = Segment(payload).tokens_at(local[rows])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out)], names=["position", "token"])
-
-    return with_payload.select("position", "local", "payload").mapInArrow(run, "position bigint, token bigint")
+            for payload, asked in zip(*batch.columns):
+                position, local = asked.values.flatten()
+                tokens = Segment(payload.as_py()).tokens_at(local.to_numpy())
+                yield pa.RecordBatch.from_arrays([position, pa.array(tokens, pa.int64())], names=["position", "token"])
+
+    return with_payload.select("payload", "probes").mapInArrow(run, "position bigint, token bigint")

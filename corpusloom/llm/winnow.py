@@ -111,8 +111,15 @@ def overlaps(
         .agg(F.collect_set("print").alias("prints"))
     )
     suspects = materialize(hits, "suspect-texts")
-    keyed = pairs.select("text", *text_key(F.col("text")))
-    again = with_hashes(with_words(keyed.join(suspects, KEY).dropDuplicates(KEY), "text"))
+    # of copies, the row with the smallest id stands for the text: chosen without it, so that the others' texts stay
+    first = profiles.join(suspects.select(*KEY), KEY, "left_semi").groupBy(*KEY).agg(F.min("doc_id").alias("first"))
+    chosen = materialize(suspects.join(first, KEY), "chosen-texts").withColumnsRenamed({k: f"_{k}" for k in KEY})
+    keyed = pairs.select("doc_id", "text", *text_key(F.col("text")))
+    same_row = F.col("doc_id").eqNullSafe(F.col("first"))
+    for k in KEY:
+        same_row = same_row & (F.col(k) == F.col(f"_{k}"))
+    picked = keyed.join(chosen, same_row).select(*KEY, "text", "prints").dropDuplicates(KEY)
+    again = with_hashes(with_words(picked, "text"))
     marked = again.withColumns({f"at{m}": _starts(m) for m in lengths})
     parts = [_windows_at(f"at{m}", m) for m in lengths]
     if not parts:

@@ -77,6 +77,21 @@ def test_segment_round_trip_and_random_access(n, top):
     assert (segment.tokens_at(asked) == ids[asked]).all()
     with pytest.raises(IndexError):
         segment.tokens_at([n])
+    cuts = np.array([0, *sorted(r.integers(0, n + 1, 6)), n])
+    assert [x.tolist() for x in segment.ranges(cuts)] == [ids[a:b].tolist() for a, b in zip(cuts, cuts[1:])]
+
+
+def test_a_spoiled_rank_directory_shows():
+    ids = np.random.default_rng(3).integers(0, 49_000, 5000).astype("u4")
+    segment = dac.Segment(dac.encode_segment([1, 2], [3000, 2000], ids))
+    assert np.concatenate(list(segment.ranges(segment.starts))).tolist() == ids.tolist()
+    chunks, bitmap, ranks = segment.levels[0]
+    segment.levels[0] = (chunks, bitmap, np.where(np.arange(len(ranks)) == 5, ranks + 1, ranks))
+    try:
+        read = np.concatenate(list(segment.ranges(segment.starts))).tolist()
+    except (ValueError, IndexError):
+        return
+    assert read != ids.tolist()
 
 
 def test_addressable_codes(spark, tmp_path, monkeypatch):
