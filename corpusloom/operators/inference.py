@@ -9,8 +9,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.functions.exact import exact_sum
 from corpusloom.functions.tokens import word_tokens
-from corpusloom.operators.lookup import keyed_lookup
+from corpusloom.operators.lookup import most_frequent
+from corpusloom.operators.vocab import HEAD_ROWS, HEAD_TOKEN_BYTES
 from corpusloom.session import materialize
 
 FAILURE_PREFIX = "GENERATION FAILED: "     # fixed value: marks a failed row
@@ -74,7 +76,7 @@ def predict_safe(df: DataFrame, load: Callable[[], Callable[[int, str], str]], k
 def fit_bayes(train: DataFrame, label: str, text: str = "text") -> tuple[DataFrame, list, list[float]]:
     """Multinomial naive Bayes over word tokens, for any number of classes.
 
-    Returns (token, loglik) with one log likelihood per class (add-one smoothing over
+    Returns (token, n, loglik) with one log likelihood per class (add-one smoothing over
     the training vocabulary) as a written table, the classes in order, and their log
     priors.  Words keep their identity; nothing is hashed.
     """
@@ -85,21 +87,33 @@ def fit_bayes(train: DataFrame, label: str, text: str = "text") -> tuple[DataFra
     counts = materialize(counts, "class-counts")
     sums = counts.agg(F.count(F.lit(1)), *[F.sum(f"_n{i}") for i in range(len(classes))]).first()
     logs = [F.log((F.col(f"_n{i}") + 1) / F.lit(float((sums[i + 1] or 0) + sums[0]))) for i in range(len(classes))]
-    table = materialize(counts.select("token", F.array(*logs).alias("loglik")), "class-words")
+    seen = sum((F.col(f"_n{i}") for i in range(len(classes))), F.lit(0).cast("bigint"))
+    table = materialize(counts.select("token", seen.alias("n"), F.array(*logs).alias("loglik")), "class-words")
     return table, classes, [math.log(r.n / total) for r in shares]
 
 
-def classify(train: DataFrame, score: DataFrame, key: str, label: str, text: str = "text") -> tuple[DataFrame, list]:
+def classify(
+    train: DataFrame, score: DataFrame, key: str, label: str, text: str = "text", max_rows: int = HEAD_ROWS
+) -> tuple[DataFrame, list]:
     """(key, logits, prediction) for every row of `score`, and the classes the logits stand for.
 
     Words outside the training vocabulary count for no class; a row without known words
-    gets the priors.  Equal logits go to the earlier class.
+    gets the priors.  Equal logits go to the earlier class.  The most frequent words are broadcast and summed where
+    the text is read, one row per document and task; only a document's other words are shuffled.
     """
     table, classes, priors = fit_bayes(train, label, text)
-    words = score.select(key, F.explode(word_tokens(F.col(text))).alias("token"))
-    counts = words.groupBy(key, "token").agg(F.count(F.lit(1)).alias("_n"))
-    found = keyed_lookup(counts, table, ["token"]).where(F.col("loglik").isNotNull())
-    sums = found.groupBy(key).agg(*[F.sum(F.col("_n") * F.get("loglik", F.lit(i))).alias(f"_s{i}") for i in range(len(classes))])
+    often = table.where(most_frequent(table, "n", max_rows) & (F.octet_length("token") <= HEAD_TOKEN_BYTES)).select("token", "loglik")
+    words = score.select(key, F.explode(word_tokens(F.col(text))).alias("token")).join(F.broadcast(often), "token", "left")
+    known = [F.get("loglik", F.lit(i)) for i in range(len(classes))]
+    open_ = F.when(F.col("loglik").isNull(), F.col("token")).alias("token")
+    counted = words.select(key, open_, "loglik").groupBy(key, "token").agg(
+        F.count(F.lit(1)).alias("_n"), *[exact_sum(x).alias(f"_s{i}") for i, x in enumerate(known)]
+    )
+    counted = materialize(counted, "document-words")
+    rare = counted.where("token IS NOT NULL").select(key, "token", "_n").join(table.select("token", "loglik"), "token")
+    rare = rare.select(key, *[(F.col("_n") * x).alias(f"_s{i}") for i, x in enumerate(known)])
+    every = counted.where("token IS NULL").select(key, *[f"_s{i}" for i in range(len(classes))]).unionByName(rare)
+    sums = every.groupBy(key).agg(*[exact_sum(F.col(f"_s{i}")).alias(f"_s{i}") for i in range(len(classes))])
     logits = F.array(*[F.coalesce(f"_s{i}", F.lit(0.0)) + F.lit(p) for i, p in enumerate(priors)])
     best = F.array_position("logits", F.array_max("logits"))
     scored = score.select(key).join(sums, key, "left").select(key, logits.alias("logits"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.exact import exact_sum
 from corpusloom.functions.tokens import next_token_pairs, word_tokens
-from corpusloom.operators.lookup import keyed_lookup
+from corpusloom.operators.lookup import keyed_lookup, most_frequent
 from corpusloom.operators.ordering import ordered_index
 from corpusloom.operators.vocab import HEAD_ROWS, head_and_tail
 from corpusloom.schemas import EOS_ID, FIRST_WORD_ID, UNK_ID
@@ -123,18 +123,6 @@ def overall_loss(scored: DataFrame) -> DataFrame:
     return scored.agg(F.sum("n_pairs").alias("n_pairs"), loss.alias("loss"), F.exp(loss).alias("perplexity"))
 
 
-def _most_frequent(scored: DataFrame, max_rows: int) -> Column:
-    """Condition for the pairs of the most frequent magnitudes, `max_rows` of them at most."""
-    sizes = scored.groupBy(F.floor(F.log2("n_pairs")).alias("bits")).agg(F.count(F.lit(1)).alias("k")).collect()     # 63 rows at most
-    least, seen = 62, 0
-    for row in sorted(sizes, reverse=True):
-        seen += row.k
-        if seen > max_rows:
-            break
-        least = row.bits
-    return F.col("n_pairs") >= (1 << int(least))
-
-
 def document_losses(
     held_out: DataFrame,
     key: Sequence[str],
@@ -151,7 +139,7 @@ def document_losses(
     """
     key = list(key)
     head, tail = head_and_tail(vocab, max_rows)
-    often = scored.where(_most_frequent(scored, max_losses)).select(F.col("pair").alias("_closed"), "loss")
+    often = scored.where(most_frequent(scored, "n_pairs", max_losses)).select(F.col("pair").alias("_closed"), "loss")
     rows = _coded(held_out, head, key, text)
     closed = F.when(F.col("prev_open").isNull() & F.col("next_open").isNull(), F.col("pair"))
     rows = rows.withColumn("_closed", closed).join(F.broadcast(often), "_closed", "left")

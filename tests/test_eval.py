@@ -183,7 +183,11 @@ def test_bayes_takes_any_number_of_classes(spark):
     texts = {"a": "cat cat dog", "b": "dog bird", "c": "fish fish"}
     train = spark.createDataFrame([(c, t) for c, t in texts.items() for _ in range(3)], "label string, text string")
     asked = spark.createDataFrame([(1, "cat"), (2, "bird bird"), (3, "fish dog fish"), (4, ""), (5, None)], "k int, text string")
-    scored, classes = inference.classify(train, asked, "k", "label")
-    rows = {r.k: r for r in scored.collect()}
+    found = []
+    for head in (0, 2, 500_000):
+        scored, classes = inference.classify(train, asked, "k", "label", max_rows=head)
+        rows = {r.k: r for r in scored.collect()}
+        found.append({k: (tuple(r.logits), r.prediction) for k, r in rows.items()})
+    assert found[0].keys() == found[1].keys() and all(x[k][0] == pytest.approx(found[0][k][0]) for x in found for k in x)
     assert classes == ["a", "b", "c"] and [rows[k].prediction for k in (1, 2, 3, 4, 5)] == ["a", "b", "c", "a", "a"]
     assert rows[1].logits == pytest.approx([math.log(7 / 13) + math.log(1 / 3), math.log(1 / 10) + math.log(1 / 3), math.log(1 / 10) + math.log(1 / 3)])

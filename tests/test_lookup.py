@@ -15,6 +15,16 @@ def test_heavy_and_light_keys_agree_with_a_plain_join(spark):
     assert sorted(map(tuple, split.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
 
 
+def test_heavy_keys_of_wide_values_are_salted(spark, monkeypatch):
+    rows = [(i, "the") for i in range(500)] + [(500 + i, "odd") for i in range(500)] + [(1000 + i, f"w{i % 97}") for i in range(490)]
+    facts = spark.createDataFrame(rows, "i bigint, token string").repartition(6)
+    table = spark.createDataFrame([("the", "x" * 1000)] + [(f"w{i}", "y") for i in range(90)], "token string, value string")
+    monkeypatch.setattr(lk, "fits_broadcast", lambda *_: False)
+    found = lk.keyed_lookup(facts, table, ["token"], heavy_share=8).select("i", "token", "value")
+    plain = facts.join(table, ["token"], "left").select("i", "token", "value")
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+
+
 def test_size_check_counts_rows_and_bytes(spark):
     df = spark.createDataFrame([("x" * 1000,)] * 50, "s string")
     assert lk.fits_broadcast(df)
