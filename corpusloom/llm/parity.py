@@ -4,7 +4,7 @@ A document is its set of word shingles, hashed to 64 bits.  Each shingle flips o
 bit of a sketch; what two sets share cancels, so the Hamming distance of two
 sketches never exceeds the size of the sets' symmetric difference.  A similarity of
 t bounds that difference by d = (1-t)/(1+t) (|A|+|B|).  A sketch of a size band
-has a quarter more words of 64 bits than d: at most d of them can be touched by the
+has an eighth more words of 64 bits than d: at most d of them can be touched by the
 difference, and similar sets agree on all others.  A word is posted with its bits and
 with the XOR of the whole hashes in it, which the same difference leaves alone.  Words
 of no or one shingle say little and are many; a set with more than d heavier words
@@ -30,7 +30,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import small_batches
@@ -112,7 +112,7 @@ class Join:
 
 def sketch_words(apart: int) -> int:
     """Words of a sketch whose sets differ in at most `apart` shingles."""
-    return apart + apart // 4 + 8
+    return apart + apart // 8 + 8
 
 
 def sketch(codes: np.ndarray, n_words: int) -> np.ndarray:
@@ -151,36 +151,60 @@ def postings(codes: np.ndarray, join: Join) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(own), np.concatenate(lower)
 
 
-PROFILE = "doc_id bigint, n_shingles bigint, s1 bigint, s2 bigint, own array<bigint>, lower array<bigint>"
+PROFILE = "doc_id bigint, n_shingles bigint, s1 bigint, s2 bigint"
+POSTING = "key bigint, doc_id bigint, own boolean"
+SEEN = 100_000          # sets a task remembers, so that copies are posted once per task
+
+
+def _identity(codes: np.ndarray) -> tuple[int, int]:
+    """128 bits of a set."""
+    one, two = np.frombuffer(hashlib.blake2b(codes.tobytes(), digest_size=16).digest(), "<i8").tolist()
+    return one, two
 
 
 def profiles(docs: DataFrame, join: Join) -> DataFrame:
-    """PROFILE per row of (doc_id, text): set size, 128-bit identity of the set (null if empty), join keys."""
+    """PROFILE per row of (doc_id, text): set size and 128-bit identity of the set (null if empty)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
-            rows = []
-            for raw in pc.cast(batch.column(1), pa.binary()):
-                codes = shingles(raw.as_py() or b"", join.words)
-                s1 = s2 = None
-                if len(codes):
-                    digest = hashlib.blake2b(codes.tobytes(), digest_size=16).digest()
-                    s1, s2 = np.frombuffer(digest, "<i8").tolist()
-                own, lower = postings(codes, join)
-                rows.append((len(codes), s1, s2, own.view(np.int64), lower.view(np.int64)))
-            n, s1, s2, own, lower = zip(*rows)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), _lists(own), _lists(lower)],
-                names=["doc_id", "n_shingles", "s1", "s2", "own", "lower"],
-            )
+            sets = [shingles(raw.as_py() or b"", join.words) for raw in pc.cast(batch.column(1), pa.binary())]
+            names = [_identity(codes) if len(codes) else (None, None) for codes in sets]
+            columns = [[len(codes) for codes in sets], *zip(*names)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, pa.int64()) for c in columns]], names=["doc_id", "n_shingles", "s1", "s2"])
 
     return docs.mapInArrow(run, PROFILE)
 
 
-def _lists(arrays: tuple[np.ndarray, ...]) -> pa.ListArray:
-    offsets = np.zeros(len(arrays) + 1, np.int32)
-    offsets[1:] = np.cumsum([len(x) for x in arrays])
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(arrays)))
+def posted_keys(docs: DataFrame, join: Join) -> DataFrame:
+    """POSTING rows of (doc_id, text): the keys of every set.
+
+    Made anew from the texts, as the keys take more room than the texts' words.  Of equal sets that a
+    task meets, one is posted: they are one class whichever of them it is.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()
+        for batch in small_batches(batches, 1 << 20):
+            out: list[tuple[int, np.ndarray, bool]] = []
+            for doc, raw in zip(batch.column(0).to_pylist(), pc.cast(batch.column(1), pa.binary())):
+                codes = shingles(raw.as_py() or b"", join.words)
+                if len(codes) and (name := _identity(codes)) not in seen:
+                    if len(seen) == SEEN:
+                        seen.clear()
+                    seen.add(name)
+                    out.extend((doc, keys, own) for keys, own in zip(postings(codes, join), (True, False)))
+            sizes = [len(keys) for _, keys, _ in out]
+            if sum(sizes):
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.concatenate([keys for _, keys, _ in out]).view(np.int64)),
+                        pa.array(np.repeat([doc for doc, _, _ in out], sizes), pa.int64()),
+                        pa.array(np.repeat([own for _, _, own in out], sizes)),
+                    ],
+                    names=["key", "doc_id", "own"],
+                )
+
+    return docs.where("doc_id IS NOT NULL").mapInArrow(run, POSTING)
 
 
 def verified(pairs: DataFrame, texts: DataFrame, join: Join) -> DataFrame:
@@ -279,15 +303,12 @@ def similar_groups(docs: DataFrame, join: Join = Join(), doc_id: str = "doc_id",
     classes = materialize(made.where("n_shingles > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("rep")), "classes")
     members = materialize(made.select("doc_id", "n_shingles", "s1", "s2").join(classes, ["s1", "s2"], "left").drop("s1", "s2"), "members")
 
-    # keys that more than one id has, at least one of them in its own band
-    keys = made.where("doc_id IS NOT NULL")
-    posted = keys.select("doc_id", F.explode("own").alias("key"), F.lit(True).alias("own")).unionByName(
-        keys.select("doc_id", F.explode("lower").alias("key"), F.lit(False).alias("own"))
-    )
-    shared = posted.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.max("own").alias("any_own"))
-    shared = shared.where("lo != hi AND any_own").select("key")
+    # keys that more than one id has, at least one of them in its own band; one shuffle of the keys, counted where they meet
+    same = Window.partitionBy("key")
+    shared = posted_keys(rows, join).withColumns({"g": F.count(F.lit(1)).over(same), "any_own": F.max("own").over(same)})
+    shared = shared.where("g > 1 AND any_own").select("key", "doc_id", "own")
     rep_of = members.where("doc_id IS NOT NULL AND rep IS NOT NULL").select("doc_id", "rep").distinct()
-    active = materialize(posted.join(shared, "key").join(rep_of, "doc_id").select("key", "rep", "own").distinct(), "shared-words")
+    active = materialize(shared.join(rep_of, "doc_id").select("key", "rep", "own").distinct(), "shared-words")
 
     # every group against its hub
     hubs = active.groupBy("key").agg(F.min(F.when(F.col("own"), F.col("rep"))).alias("hub"), F.count(F.lit(1)).alias("g")).where("g > 1")
