@@ -266,10 +266,8 @@ SELECT dataset, sample, CASE WHEN length(text) > 103 THEN substring(text, 1, 100
   {JOINED.format(ids='ids[1:20]')} AS first_labels, len(ids)::INT AS length, {REPR.format(ids='ids')} AS decoded,
   1::INT AS labels_equal, NULL::VARCHAR AS decoded_labels FROM blocks WHERE block_id % 4 < 2""",
     "stream_tokenize": f"SELECT doc_id, array_to_string(list_concat({BYTES}, [256]), ' ') AS input_ids FROM documents",
-    "ingest_ledger": """WITH total AS (SELECT count(*) AS all_rows, sum(strlen(text))::BIGINT AS all_bytes FROM documents),
-f AS (SELECT source, 'taken' AS status, count(*) AS n_rows, 1::BIGINT AS attempts FROM documents GROUP BY source
-  UNION ALL SELECT 'damaged', 'damaged', 0, 2)
-SELECT f.*, all_rows, all_bytes FROM f CROSS JOIN total""",
+    "ingest_ledger": """SELECT source, 'taken' AS status, count(*) AS n_rows, 1::BIGINT AS attempts, NULL::BIGINT AS n_bytes FROM documents GROUP BY source
+UNION ALL SELECT 'damaged', 'damaged', 0, 2, NULL UNION ALL SELECT 'all', 'read back', count(*), NULL, sum(strlen(text))::BIGINT FROM documents""",
     "stream_pack": f"WITH {BATCHES} SELECT split, pack_group AS arrival_group, b AS block_id, {JOINED.format(ids='ids')} AS input_ids FROM blocks",
 }
 

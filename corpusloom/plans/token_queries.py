@@ -283,9 +283,10 @@ def ingest_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         ledger.take_files(spark, folder, schema, sink, book, pattern="part-*")
     states = ledger.file_states(spark, book)
     rows = ledger.taken_rows(spark, schema, sink, book)
-    total = rows.agg(F.count(F.lit(1)).alias("all_rows"), F.sum(F.octet_length("text")).alias("all_bytes"))
     states = states.select(F.regexp_extract("path", "source=([^/]*)/", 1).alias("source"), "status", "n_rows", "attempts")
-    return states.withColumn("one", F.lit(1)).join(F.broadcast(total.withColumn("one", F.lit(1))), "one").drop("one")
+    total = rows.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.octet_length("text").cast("bigint")).alias("n_bytes"))
+    total = total.withColumns({"source": F.lit("all"), "status": F.lit("read back")})
+    return states.unionByName(total, allowMissingColumns=True)
 
 
 def stream_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
