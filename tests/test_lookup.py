@@ -64,3 +64,17 @@ def test_a_vocabulary_in_two_parts_gives_the_same_ids(spark):
         assert plan.count("posexplode") <= 1
         decoded = {r.doc_id: r.decoded for r in decode_words(encoded, ["doc_id"], vocab, max_rows=head).collect()}
         assert decoded == {0: f"a a a b b c {long}", 1: "", 2: f"c d {long} a", 3: ""}
+
+
+def test_arrays_are_mapped_where_they_are_read(spark):
+    """No token becomes a row of its own, and rows of unique keys are not gathered; repeated and null keys are merged by position."""
+    docs = spark.createDataFrame([(0, "a a b"), (1, None), (2, "b c a")], "doc_id bigint, text string")
+    vocab = build_vocab(docs)
+    encoded = encode_words(docs, ["doc_id"], vocab)
+    plans = [x._jdf.queryExecution().executedPlan().toString() for x in (encoded, decode_words(encoded, ["doc_id"], vocab))]
+    assert not any("Generate" in p or "Aggregate" in p or "Exchange" in p for p in plans)
+    ids = {r.token: r.id for r in vocab.collect()}
+    twice = docs.unionAll(docs.where("doc_id = 2")).unionAll(spark.createDataFrame([(None, "c c"), (None, "a")], docs.schema))
+    found = {r.doc_id: r.input_ids for r in encode_words(twice, ["doc_id"], vocab).collect()}
+    assert found[0] == [ids["a"], ids["a"], ids["b"]] and found[1] == []
+    assert found[2] == [ids[x] for x in "bbccaa"] and found[None] == sorted([ids["a"], ids["c"]]) + [ids["c"]]
