@@ -90,3 +90,18 @@ def test_nucleus_with_many_equal_counts(spark, bits, monkeypatch):
                 before -= k
         got = ngram.top_p(spark.createDataFrame(rows, "prev int, next int, n bigint"), p).collect()
         assert {(x.prev, x.next): x.p_before for x in got} == pytest.approx(want)
+
+
+def test_a_task_combines_its_pairs_and_contexts_are_no_keyed_lookup(spark, frames):
+    """Pairs are counted in the parts a task reads, not as a row each; totals of frequent contexts are broadcast, whatever their keys hold."""
+    train, _, vocab, _ = frames
+    head, _ = ngram.head_and_tail(vocab)
+    held = spark.sparkContext.broadcast(head.select("token", "id").toArrow())
+    tokens = spark.createDataFrame([(["a"] * 5 + [""],), (["a", "a", ""],), (None,), ([""],)], "_tokens array<string>").coalesce(1)
+    parts = tokens.mapInArrow(ngram._pair_counter(held), "pair bigint, prev_open string, next_open string, n bigint").collect()
+    assert sum(r.n for r in parts) == 7 and len(parts) == 2
+    totals = spark.createDataFrame([(0, 5), (3, 7), (9, 1)], "prev int, context_n bigint")
+    rows = spark.createDataFrame([(0, 1), (3, 2), (3, 3), (9, 4), (10, 5), (None, 6)], "prev int, x int")
+    for most in (0, 2, 500_000):
+        found = {(r.prev, r.x, r.context_n) for r in ngram.by_context(rows, totals, most).collect()}
+        assert found == {(0, 1, 5), (3, 2, 7), (3, 3, 7), (9, 4, 1), (10, 5, None), (None, 6, None)}
