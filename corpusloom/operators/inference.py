@@ -15,15 +15,22 @@ from corpusloom.operators.lookup import most_frequent
 from corpusloom.operators.vocab import HEAD_ROWS, HEAD_TOKEN_BYTES
 from corpusloom.session import materialize
 
+PART_BYTES = 8 << 20        # of a batch in memory that a user function gets at a time
 FAILURE_PREFIX = "GENERATION FAILED: "     # fixed value: marks a failed row
 
 
-def map_batches(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
-    """Apply `fn` to Arrow batches; it may return any number of rows."""
+def map_batches(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str, part_bytes: int = PART_BYTES) -> DataFrame:
+    """Apply `fn` to parts of Arrow batches; it may return any number of rows.
+
+    A part has about `part_bytes` in memory, one row at least: what `fn` makes of it, often several times its
+    size, is passed on before the next part is cut.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield fn(batch)
+            step = max(1, len(batch) * part_bytes // max(1, int(batch.memory_usage(deep=True).sum())))
+            for at in range(0, max(1, len(batch)), step):
+                yield fn(batch.iloc[at : at + step])
 
     return df.mapInPandas(run, schema)
 

@@ -191,3 +191,14 @@ def test_bayes_takes_any_number_of_classes(spark):
     assert found[0].keys() == found[1].keys() and all(x[k][0] == pytest.approx(found[0][k][0]) for x in found for k in x)
     assert classes == ["a", "b", "c"] and [rows[k].prediction for k in (1, 2, 3, 4, 5)] == ["a", "b", "c", "a", "a"]
     assert rows[1].logits == pytest.approx([math.log(7 / 13) + math.log(1 / 3), math.log(1 / 10) + math.log(1 / 3), math.log(1 / 10) + math.log(1 / 3)])
+
+
+def test_user_functions_get_bounded_parts(spark):
+    from corpusloom.operators import inference
+
+    def sizes(batch):
+        return batch.assign(n=len(batch))[["id", "n"]]
+
+    rows = spark.range(0, 64, 1, 1).select("id", F.repeat(F.lit("x"), 1000).alias("text"))
+    found = inference.map_batches(rows, sizes, "id bigint, n bigint", part_bytes=10_000).collect()
+    assert sorted(r.id for r in found) == list(range(64)) and max(r.n for r in found) <= 10
