@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.functions.exact import exact_sum
+from corpusloom.functions.exact import exact_parts, exact_sum, sum_of_parts
 from corpusloom.functions.tokens import word_tokens
 from corpusloom.operators.lookup import most_frequent
 from corpusloom.operators.vocab import HEAD_ROWS, HEAD_TOKEN_BYTES
@@ -109,12 +109,15 @@ def classify(
     the text is read, one row per document and task; only a document's other words are shuffled.
     """
     table, classes, priors = fit_bayes(train, label, text)
-    often = table.where(most_frequent(table, "n", max_rows) & (F.octet_length("token") <= HEAD_TOKEN_BYTES)).select("token", "loglik")
+    often = table.where(most_frequent(table, "n", max_rows) & (F.octet_length("token") <= HEAD_TOKEN_BYTES))
+    # decimals are made once for a word of the table, not for each of its occurrences
+    parts = [exact_parts(F.get("loglik", F.lit(i))) for i in range(len(classes))]
+    often = often.select("token", F.lit(True).alias("_known"), *[c.alias(f"_{x}{i}") for i, both in enumerate(parts) for x, c in zip("wf", both)])
     words = score.select(key, F.explode(word_tokens(F.col(text))).alias("token")).join(F.broadcast(often), "token", "left")
     known = [F.get("loglik", F.lit(i)) for i in range(len(classes))]
-    open_ = F.when(F.col("loglik").isNull(), F.col("token")).alias("token")
-    counted = words.select(key, open_, "loglik").groupBy(key, "token").agg(
-        F.count(F.lit(1)).alias("_n"), *[exact_sum(x).alias(f"_s{i}") for i, x in enumerate(known)]
+    open_ = F.when(F.col("_known").isNull(), F.col("token")).alias("token")
+    counted = words.withColumn("token", open_).groupBy(key, "token").agg(
+        F.count(F.lit(1)).alias("_n"), *[sum_of_parts(F.col(f"_w{i}"), F.col(f"_f{i}")).alias(f"_s{i}") for i in range(len(classes))]
     )
     counted = materialize(counted, "document-words")
     rare = counted.where("token IS NOT NULL").select(key, "token", "_n").join(table.select("token", "loglik"), "token")

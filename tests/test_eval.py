@@ -202,3 +202,14 @@ def test_user_functions_get_bounded_parts(spark):
     rows = spark.range(0, 64, 1, 1).select("id", F.repeat(F.lit("x"), 1000).alias("text"))
     found = inference.map_batches(rows, sizes, "id bigint, n bigint", part_bytes=10_000).collect()
     assert sorted(r.id for r in found) == list(range(64)) and max(r.n for r in found) <= 10
+
+
+def test_decimals_made_before_a_lookup_give_the_same_sum(spark):
+    from corpusloom.functions.exact import exact_parts, exact_sum, sum_of_parts
+
+    rows = [(0, -7.123456789012345), (0, 1e15 + 0.25), (0, None), (1, None), (2, 0.1), (2, 0.2), (2, -0.3)]
+    df = spark.createDataFrame(rows, "k int, x double")
+    whole, fraction = exact_parts(F.col("x"))
+    parts = df.select("k", "x", whole.alias("w"), fraction.alias("f"))
+    found = parts.groupBy("k").agg(exact_sum(F.col("x")).alias("a"), sum_of_parts(F.col("w"), F.col("f")).alias("b")).collect()
+    assert len(found) == 3 and all(r.a == r.b for r in found)
