@@ -126,6 +126,7 @@ def pack_blocks(
     ids: Column | Content,
     block_length: int,
     join: str = "shuffle_hash",
+    in_ranges: bool = False,
 ) -> DataFrame:
     """Blocks of exactly `block_length` tokens; each group's tail is dropped.
 
@@ -134,7 +135,8 @@ def pack_blocks(
     block gathers its fragments: at most `block_length` of them, however long
     or skewed the documents are.  Tokens given as `Content` travel as bytes; where
     `df` is a table of buckets by `by` and `key`, the texts meet the plan in place.
-    `join` may say `broadcast` for a plan of proven size.
+    `join` may say `broadcast` for a plan of proven size.  `in_ranges` gathers blocks in ranges of `by` and `block_id`,
+    so a store need not move them again.
     """
     by, key = list(by), list(key)
     size = F.lit(block_length).cast("bigint")
@@ -157,9 +159,11 @@ def pack_blocks(
     at = F.greatest(start, F.col("block") * size)
     stop = F.least(end, (F.col("block") + 1) * size)
     part = _slice(content, at - start, stop - start, F.col("n_tokens"))
-    pieces = spans.select(*by, "pack_group", "first_block", "block", at.alias("at"), part.alias("part"))
     block_id = (F.col("first_block") + F.col("block")).alias("block_id")
-    blocks = pieces.groupBy(*by, "pack_group", block_id).agg(
+    pieces = spans.select(*by, "pack_group", block_id, at.alias("at"), part.alias("part"))
+    if in_ranges:
+        pieces = pieces.repartitionByRange(*by, "block_id")
+    blocks = pieces.groupBy(*by, "pack_group", "block_id").agg(
         F.sort_array(F.collect_list(F.struct("at", "part"))).alias("_parts")
     )
     tokens = F.flatten(F.transform("_parts", lambda p: _ids(content, p["part"])))

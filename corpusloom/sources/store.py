@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -35,19 +35,22 @@ def read_if_there(spark: SparkSession, path: str, schema: str | T.StructType) ->
         return spark.createDataFrame([], schema)
 
 
-def write_cache(df: DataFrame, path: str, order: Sequence[str] = ()) -> str:
+def write_cache(df: DataFrame, path: str, order: Sequence[str] = (), finish: Callable[[DataFrame], DataFrame] = lambda rows: rows, placed: bool = False) -> str:
     """Columnar cache with a folder per dataset, split and version, rows in ranges of `order`; returns the version.
 
     Every call writes folders of its own and appends a row per dataset and split to `{path}/log` when they are
     whole; both go through Spark's committer.  Readers follow the log, so they never see a part of a write, a failed
     write leaves nothing to clean up, writers at the same time do not touch each other, and other datasets
     stay readable meanwhile.  Of several versions the last committed counts.  Old folders stay until their store is dropped.
+    `finish` is applied to the rows once they are placed: what it adds is stored, not shuffled.
+    `placed` says that the rows are in such ranges already.
     """
     spark, version = df.sparkSession, uuid.uuid4().hex
-    placed = df.repartitionByRange("dataset", "split", *order).sortWithinPartitions("dataset", "split", *order)
-    placed.withColumn("version", F.lit(version)).write.mode("append").partitionBy("dataset", "split", "version").parquet(f"{path}/data")
+    ranges = df if placed else df.repartitionByRange("dataset", "split", *order)
+    rows = finish(ranges.sortWithinPartitions("dataset", "split", *order))
+    rows.withColumn("version", F.lit(version)).write.mode("append").partitionBy("dataset", "split", "version").parquet(f"{path}/data")
     # partition columns only: the counts come from the files' footers
-    stored = _data(spark, path, df.schema).where(F.col("version") == version)
+    stored = _data(spark, path, rows.schema).where(F.col("version") == version)
     entries = stored.groupBy("dataset", "split", "version").agg(F.count(F.lit(1)).alias("n_rows"))
     entries.withColumn("committed_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{path}/log")
     return version
@@ -83,10 +86,18 @@ def cache_counts(df: DataFrame) -> DataFrame:
     return df.groupBy("dataset", "split").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def write_packed(df: DataFrame, path: str) -> None:
-    """Store packed blocks, in files of consecutive blocks, and list which file holds which."""
+def write_packed(df: DataFrame, path: str, placed: bool = False) -> None:
+    """Store packed blocks, in files of consecutive blocks, and list which file holds which.
+
+    Labels that equal the ids and masks of ones are placed as marks, and made again where the block is written.
+    Blocks that `pack_blocks` gathered in ranges are `placed`.
+    """
     check_packed(df)
-    version = write_cache(df, path, ["block_id"])
+    known = {"labels": F.col("input_ids"), "attention_mask": F.array_repeat(F.lit(1), F.size("input_ids"))}
+    marks = {f"_{c}": F.col(c).eqNullSafe(like) for c, like in known.items()}
+    left = {c: F.when(~marks[f"_{c}"], F.col(c)) for c in known}
+    made = {c: F.when(F.col(f"_{c}"), like).otherwise(F.col(c)) for c, like in known.items()}
+    version = write_cache(df.withColumns({**marks, **left}), path, ["block_id"], lambda rows: rows.withColumns(made).drop(*marks), placed)
     rows = _data(df.sparkSession, path, PACKED_SCHEMA).where(F.col("version") == version)
     files = rows.select("dataset", "split", "version", F.col("_metadata.file_path").alias("file"), "block_id")
     spans = files.groupBy("dataset", "split", "version", "file").agg(F.min("block_id").alias("first"), F.max("block_id").alias("last"))

@@ -141,3 +141,13 @@ def test_bytes_pack_as_arrays_do(spark):
             for x in (content, ids)
         )
         assert one == two and len(one) > 20
+
+
+def test_blocks_gathered_in_ranges_are_shuffled_once(spark, sf_dir):
+    from corpusloom.plans.token_queries import packed_documents
+
+    plain, ranged = packed_documents(spark, sf_dir), packed_documents(spark, sf_dir, in_ranges=True)
+    assert sorted(map(str, plain.collect())) == sorted(map(str, ranged.collect()))
+    plan = ranged._jdf.queryExecution().executedPlan().toString()
+    gathered = plan.split("rangepartitioning")[0]
+    assert "rangepartitioning" in plan and "hashpartitioning" not in gathered

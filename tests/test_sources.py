@@ -223,3 +223,19 @@ def test_a_mirror_reads_its_data_folder_only(spark, tmp_path):
     spark.range(5).write.parquet(f"{folder}/data/part")
     spark.range(50).write.parquet(f"{folder}/elsewhere")
     assert store.scan_glob(spark, folder).count() == 5
+
+
+def test_blocks_are_placed_without_what_follows_from_their_ids(spark, tmp_path, monkeypatch):
+    """Equal labels and masks of ones come back as they were, others and nulls too."""
+    from corpusloom.sources import store
+
+    rows = [([1, 2], [1, 2], [1, 1]), ([1, 2], [1, -100], [1, 0]), ([], [], []), ([7], None, None), (None, None, []), ([5], [5], [1, 1])]
+    table = [("d", "train", i, 0, *row) for i, row in enumerate(rows)]
+    df = spark.createDataFrame(table, "dataset string, split string, block_id bigint, pack_group bigint, input_ids array<int>, labels array<int>, attention_mask array<int>")
+    placed, write = [], store.write_cache
+    monkeypatch.setattr(store, "write_cache", lambda df, *rest: placed.append(df) or write(df, *rest))
+    store.write_packed(df, str(tmp_path / "p"))
+    back = {r.block_id: (r.input_ids, r.labels, r.attention_mask) for r in store.read_packed(spark, str(tmp_path / "p")).collect()}
+    assert back == dict(enumerate(rows))
+    first = placed[0].where("block_id = 0").first()
+    assert first.labels is None and first.attention_mask is None
