@@ -101,3 +101,13 @@ def test_damaged_files_are_retried_and_listed(spark, tmp_path):
     states = {r.path.rsplit("/", 1)[1]: (r.status, r.attempts) for r in file_states(spark, book).where("status = 'damaged'").collect()}
     assert states["other.parquet"] == states["cut.parquet"] == states[summed.name] == ("damaged", 5)
     assert all(r.error for r in file_states(spark, book).where("status = 'damaged'").collect())
+
+
+def test_a_batch_of_the_stream_has_a_file_for_every_core(spark, sf_dir, monkeypatch):
+    from corpusloom.plans import token_queries as tq
+
+    asked, read = [], tq.ingest.read_arriving
+    monkeypatch.setattr(tq.ingest, "read_arriving", lambda *args: asked.append(args[-1]) or read(*args))
+    tq.stream_tokenize(spark, sf_dir)
+    tq.stream_pack(spark, sf_dir)
+    assert asked and min(asked) >= spark.sparkContext.defaultParallelism
