@@ -5,8 +5,11 @@ from __future__ import annotations
 import math
 import random
 from collections import Counter
+from pathlib import Path
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from corpusloom.llm import queries, word_lm
 
@@ -76,3 +79,45 @@ def test_word_scores_separate_held_out_documents(spark, sf_dir):
     rows = word_lm.score(docs, labels.where("quality = 1 AND doc_id % 2 = 0")).join(labels.where("doc_id % 2 = 1"), "doc_id").collect()
     good, bad = ([r.score for r in rows if r.quality == q] for q in (1, 0))
     assert sum(a < b for a in good for b in bad) > 0.9 * len(good) * len(bad)
+
+
+def test_packed_numbers_come_back():
+    r = np.random.default_rng(1)
+    columns = [r.integers(0, 2**64, 500, np.uint64), np.ones(500, np.int64), r.integers(0, 70_000, 500), np.zeros(500, np.uint64)]
+    columns[0][:2] = 0, 2**64 - 1
+    for size in (500, 2, 1, 0):
+        back = word_lm.unpacked(word_lm.packed(*(c[:size] for c in columns)), size, 4)
+        assert all((b == c[:size].astype(np.uint64)).all() and len(b) == size for b, c in zip(back, columns, strict=True))
+
+
+def test_counts_of_chunks_and_ranges_match_plain_python(spark):
+    r = random.Random(5)
+    docs = [(i, " ".join(r.choice("abcdefg") for _ in range(r.randint(0, 20))), i % 3) for i in range(30)]
+    ids = spark.createDataFrame([(4, 1), (9, 0), (29, 2), (99, 0)], "doc_id long, chunk int")
+    keys = lambda t: [*(w := [*t.encode().split(), b""]), *zip([b"", *w], w)]
+    back = Counter(k for _, t, _ in docs for k in keys(t))
+    target = Counter(k for i, t, _ in docs if i in (4, 9, 29) for k in keys(t))
+    spots = {k: {c for _, t, c in docs if k in keys(t)} for k in back}
+    frame_ = spark.createDataFrame(docs, "doc_id long, text string, chunk int")
+    for ranges in (1, 7, 1000):
+        got = word_lm.counted(frame_, ids, ranges).collect()
+        assert len({(x.chunk, x.key) for x in got}) == len(got)
+        assert Counter((x.background, x.target) for x in got) == Counter((back[k], target[k]) for k in back for _ in spots[k])
+        assert Counter((x.background, x.target) for x in got if x.first) == Counter((back[k], target[k]) for k in back)
+
+
+def test_texts_travel_once_and_keys_as_packed_differences(spark):
+    """Written and shuffled: the texts once, a row per chunk and range instead of one per chunk and key, no table of counts."""
+    kept = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:")) / "corpusloom"
+    before = set(kept.glob("*"))
+    docs = frame(spark, [(i, " ".join(f"w{i}x{k}" for k in range(2000))) for i in range(40)])
+    ids = spark.createDataFrame([(i,) for i in range(9)], "doc_id long")
+    scored = word_lm.score(docs, ids)
+    assert len(scored.collect()) == 40
+    assert "ReusedExchange" in scored._jdf.queryExecution().executedPlan().toString()
+    assert set(kept.glob("*")) == before
+    none = ids.limit(0).withColumn("chunk", F.lit(0))
+    for ranges in (1, 5):
+        rows, keys, size = word_lm._sent(docs.withColumn("chunk", (F.col("doc_id") % 2).cast("int")), none, ranges).agg(
+            F.count("*"), F.sum("size"), F.sum(F.octet_length("packed"))).head()
+        assert (rows, keys) == (2 * ranges, 2 * (1 + 20 * 4001)) and size < 7.5 * keys
