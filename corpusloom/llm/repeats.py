@@ -223,6 +223,7 @@ def maximal_repeats(group: list[Member], least: int) -> Iterator[tuple[int, int,
     order = sorted(range(len(group)), key=lambda k: group[k].right)
     shared = [common(group[a].right, group[b].right) for a, b in zip(order, order[1:])]
     longest = max(len(m.left) for m in group)
+    inside: set[int] = set()                # members that others hold as a whole: their repeats have those as well
     for right, first, last in prefix_intervals(shared):
         if right + longest < least:
             continue
@@ -235,9 +236,10 @@ def maximal_repeats(group: list[Member], least: int) -> Iterator[tuple[int, int,
         for left, one, two in prefix_intervals(agree):
             members = backward[one : two + 1]
             if left + right >= least and any(child[k] != child[members[0]] for k in members):
+                inside.update(k for k in members if (len(group[k].left), len(group[k].right)) == (left, right))
                 yield left, right, members
     for k, member in enumerate(group):
-        if member.n > 1:
+        if member.n > 1 and k not in inside:
             yield len(member.left), len(member.right), [k]
 
 

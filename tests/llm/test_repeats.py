@@ -96,6 +96,11 @@ def test_maximal_repeats_on_both_sides():
     assert sorted((left, right, sorted(m)) for left, right, m in maximal_repeats(group, 3)) == [(1, 2, [0, 1, 2]), (1, 4, [0, 2]), (2, 2, [0, 1])]
 
 
+def test_a_repeated_segment_inside_another_is_listed_once_with_all():
+    group = [Member(b"ba", b"cd", 2), Member(b"bax", b"cdef", 1), Member(b"zz", b"cq", 3)]
+    assert sorted(maximal_repeats(group, 4)) == [(2, 2, [0, 1]), (2, 2, [2])]
+
+
 def test_equal_windows_have_equal_anchors():
     r = random.Random(2)
     shared = bytes(r.choices(b"abc", k=100))
