@@ -86,11 +86,14 @@ def chunk_of(texts: list[bytes]) -> Chunk:
     for i, raw in enumerate(texts):
         words = raw.lower().split()
         counts[i] = len(words) + 1
-        parts += [np.fromiter(map(number.__getitem__, words), np.int64, len(words)), np.zeros(1, np.int64)]
+        parts += [np.fromiter(map(number.__getitem__, words), np.int32, len(words)), np.zeros(1, np.int32)]
     word = np.concatenate(parts)
-    last = np.concatenate([np.zeros(1, np.int64), word[:-1]])   # the end of a text is the edge before the next one
+    del parts
     m = len(number)
-    pairs, pair = np.unique(last * m + word, return_inverse=True)
+    codes = word.astype(np.int64)
+    codes[1:] += m * codes[:-1]                             # the end of a text is the edge before the next one
+    pairs, pair = np.unique(codes, return_inverse=True)
+    pair = pair.astype(np.int32)
     hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, number), np.uint64, m)
     before, after = pairs // m, pairs % m
     return Chunk(counts, word, pair, _mix(hashes), _mix(hashes[before] * _M2 + _mix(hashes[after] + _M1)), before, after)
